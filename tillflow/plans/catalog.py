@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillflow import oracle
-from tillflow.plans import reports, warehouse
+from tillflow.plans import etl_steps, reports, warehouse
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -30,7 +30,9 @@ QUERIES: dict[str, Job] = {
     "status_distribution": _on_star(reports.status_distribution),
 }
 
-ORACLE: dict[str, Callable[[], str]] = dict(oracle.REPORT_SQL)
+QUERIES.update(etl_steps.STEP_QUERIES)
+
+ORACLE: dict[str, Callable[[], str]] = {**oracle.REPORT_SQL, **oracle.STEP_SQL}
 
 
 def queries() -> dict[str, Job]:
