@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillflow import oracle
-from tillflow.plans import etl_steps, reports, warehouse
+from tillflow.plans import etl_steps, profile, reports, warehouse
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -31,8 +31,11 @@ QUERIES: dict[str, Job] = {
 }
 
 QUERIES.update(etl_steps.STEP_QUERIES)
+QUERIES.update({name: _on_star(getattr(profile, name)) for name in (
+    "numeric_stats", "categorical_stats", "correlation_matrix", "iqr_bounds", "outlier_rows",
+    "outlier_summary", "outlier_detail", "top_outliers", "boxplot_stats", "dataset_profile")})
 
-ORACLE: dict[str, Callable[[], str]] = {**oracle.REPORT_SQL, **oracle.STEP_SQL}
+ORACLE: dict[str, Callable[[], str]] = {**oracle.REPORT_SQL, **oracle.STEP_SQL, **oracle.PROFILE_SQL}
 
 
 def queries() -> dict[str, Job]:
