@@ -100,3 +100,9 @@ def format_brl(c: Column | str) -> Column:
 def format_int_br(c: Column | str) -> Column:
     """'1.234' display string for a count."""
     return F.translate(F.format_number(_col(c).cast("double"), 0), ",", ".")
+
+
+def report_columns(df, price_cols=("Valor_Unitario",), money_cols=("Faturamento",)) -> list[Column]:
+    """Every column of df, with prices (6 decimals) and money (2 decimals) as DOUBLE."""
+    return [units_out(to_units(c, 6), 6).alias(c) if c in price_cols
+            else money_out(c).alias(c) if c in money_cols else F.col(c) for c in df.columns]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillflow import oracle
-from tillflow.plans import etl_steps, profile, reports, warehouse
+from tillflow.plans import etl_steps, kpis, profile, reports, warehouse
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -35,7 +35,24 @@ QUERIES.update({name: _on_star(getattr(profile, name)) for name in (
     "numeric_stats", "categorical_stats", "correlation_matrix", "iqr_bounds", "outlier_rows",
     "outlier_summary", "outlier_detail", "top_outliers", "boxplot_stats", "dataset_profile")})
 
-ORACLE: dict[str, Callable[[], str]] = {**oracle.REPORT_SQL, **oracle.STEP_SQL, **oracle.PROFILE_SQL}
+QUERIES.update({name: _on_star(getattr(kpis, name)) for name in (
+    "customer_lifecycle", "filter_domains", "kpi_summary", "churn_rate",
+    "retention_rate", "dash_category_revenue", "dash_status_counts", "dash_top_products",
+    "dash_state_ticket", "kpi_formatted")})
+
+
+def _resample(freq: str) -> Job:
+    def job(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return kpis.resample(warehouse.star(spark, sf_dir), freq)
+    return job
+
+
+QUERIES["filtered_sales"] = _on_star(kpis.filtered_sales_report)
+QUERIES.update({"resample_daily": _resample("D"), "resample_weekly": _resample("W"),
+                "resample_monthly": _resample("MS")})
+
+ORACLE: dict[str, Callable[[], str]] = {**oracle.REPORT_SQL, **oracle.STEP_SQL, **oracle.PROFILE_SQL,
+                                   **oracle.KPI_SQL}
 
 
 def queries() -> dict[str, Job]:

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.functions.money import money_out, ratio_out, to_units, units_out
+from tillflow.functions.money import ratio_out, report_columns, to_units
 from tillflow.operators.quantiles import COL, exact_quantiles, quantile_values
 from tillflow.plans.warehouse import Star
 
@@ -139,8 +139,7 @@ def iqr_bounds(s: Star) -> DataFrame:
 
 
 def _report_cols(df: DataFrame) -> list[Column]:
-    return [units_out(to_units(c, 6), 6).alias(c) if c == "Valor_Unitario"
-            else money_out(c).alias(c) if c == "Faturamento" else F.col(c) for c in df.columns]
+    return report_columns(df)
 
 
 def outlier_rows(s: Star, column: str = "Faturamento") -> DataFrame:
