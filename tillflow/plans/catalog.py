@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillflow import oracle
-from tillflow.plans import etl_steps, kpis, profile, reports, warehouse
+from tillflow.plans import etl_steps, forecast, kpis, profile, reports, warehouse
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -51,8 +51,21 @@ QUERIES["filtered_sales"] = _on_star(kpis.filtered_sales_report)
 QUERIES.update({"resample_daily": _resample("D"), "resample_weekly": _resample("W"),
                 "resample_monthly": _resample("MS")})
 
+QUERIES.update({
+    "daily_revenue_dense": _on_star(forecast.daily_revenue_dense),
+    "calendar_features": _on_star(forecast.calendar_feature_table),
+    "train_test_split": _on_star(forecast.train_test_split),
+    "split_summary": _on_star(forecast.split_summary),
+    "forecast_holdout": _on_star(forecast.forecast_holdout),
+    "forecast_metrics": _on_star(forecast.forecast_metrics),
+    "baseline_metrics": _on_star(forecast.baseline_metrics),
+    "forecast_next_month": _on_star(forecast.forecast_next_month),
+    "forecast_total": _on_star(forecast.forecast_total),
+    "mean_month_revenue": _on_star(forecast.mean_month_revenue),
+})
+
 ORACLE: dict[str, Callable[[], str]] = {**oracle.REPORT_SQL, **oracle.STEP_SQL, **oracle.PROFILE_SQL,
-                                   **oracle.KPI_SQL}
+                                   **oracle.KPI_SQL, **oracle.FORECAST_SQL}
 
 
 def queries() -> dict[str, Job]:
