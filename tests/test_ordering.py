@@ -1,0 +1,51 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tillflow.operators.ordering import global_row_index, ntile_from_index
+from tillflow.operators.quantiles import exact_quantiles
+
+
+def test_global_row_index_equals_sorted_position(spark):
+    rnd = random.Random(7)
+    data = [(i, rnd.choice([5, 5, 5, 7, 9]) * 1.0) for i in range(500)]  # heavy ties
+    df = spark.createDataFrame(data, "id long, v double")
+    indexed, total = global_row_index(df, [F.col("v").desc(), F.col("id").asc()], num_partitions=7)
+    got = {r["id"]: r["_row"] for r in indexed.collect()}
+    expected = {row[0]: i for i, row in enumerate(sorted(data, key=lambda t: (-t[1], t[0])))}
+    assert total == 500 and got == expected
+
+
+@pytest.mark.parametrize("n_rows,n", [(6, 4), (1, 4), (3, 4), (1500, 4), (100, 7), (10, 2000)])
+def test_ntile_from_index_matches_spark_ntile(spark, n_rows, n):
+    df = spark.range(n_rows).withColumn("v", (F.col("id") * 37) % 11)
+    indexed, total = global_row_index(df, [F.col("v").desc(), F.col("id")], num_partitions=5)
+    ours = indexed.select("id", ntile_from_index(F.col("_row"), total, n).alias("t"))
+    ref = df.select("id", F.ntile(n).over(Window.orderBy(F.col("v").desc(), F.col("id"))).alias("t"))
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ref.collect()))
+    if (n_rows, n) == (6, 4):
+        assert [r["t"] for r in ours.orderBy("t").collect()] == [1, 1, 2, 2, 3, 4]
+
+
+def test_exact_quantiles_literal_and_numpy(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (10.0,)], "x double")
+    q = {r["prob"]: r["valor"] for r in exact_quantiles(df, ["x"], [0.25, 0.5, 0.75]).collect()}
+    assert q == {0.25: 1.75, 0.5: 3.0, 0.75: 5.5}
+    rnd = np.random.default_rng(3)
+    vals = np.concatenate([rnd.integers(0, 1000, 3000), np.full(2000, 77)]).astype(float)  # a hot value
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    got = {r["prob"]: r["valor"] for r in
+           exact_quantiles(df, ["x"], [0.1, 0.25, 0.5, 0.9, 1.0], num_partitions=6).collect()}
+    for p, v in got.items():
+        assert v == pytest.approx(np.percentile(vals, p * 100), rel=1e-12)
+
+
+def test_exact_quantiles_decimal_and_empty(spark):
+    df = spark.createDataFrame([("0.01",), ("0.02",), (None,)], "s string") \
+        .select(F.col("s").cast("decimal(18,2)").alias("x"), F.lit(None).cast("double").alias("e"))
+    q = {(r["coluna"], r["prob"]): r["valor"] for r in
+         exact_quantiles(df, ["x", "e"], [0.25], "decimal(38,6)").collect()}
+    assert str(q[("x", 0.25)]) == "0.012500000000" and q[("e", 0.25)] is None
