@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the letter-run / non-letter-run split used for title case.
-# Upper-casing the first letter of every run of letters (and lower-casing the
-# rest) is how Python's str.title() behaves: "CORTA-VENTO 5kg" -> "Corta-Vento 5Kg".
-LETTER_RUNS = r"(\p{L}+|\P{L}+)"
+# Title case as Python's str.title(): every run of letters starts upper-case
+# and continues lower-case ("CORTA-VENTO 5kg" -> "Corta-Vento 5Kg"). Spark's
+# initcap only starts words after a space, so a private-use mark plus a
+# space is put between every non-letter and the letter after it, initcap is
+# applied, and the marks are removed again.
+_MARK = "\ue000"
+_BEFORE_LETTER_RUN = r"(\P{L})(?=\p{L})"
 
 # Unicode-aware leading/trailing whitespace (tabs, non-breaking spaces ...).
 # Spark's trim() only removes the space character.
@@ -27,15 +30,11 @@ def strip(c: Column | str) -> Column:
 def title_case(c: Column | str) -> Column:
     """Title case with a new word after every non-letter, like str.title().
 
-    Spark's initcap only starts words after a space ("Corta-vento", "5kg");
-    splitting into letter / non-letter runs and capitalising each run gives
+    Spark's initcap alone gives "Corta-vento", "5kg"; this gives
     "Corta-Vento", "5Kg". Empty strings stay empty, NULL stays NULL.
     """
-    runs = F.regexp_extract_all(_col(c), F.lit(LETTER_RUNS), 1)
-    capitalised = F.transform(
-        runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, 1 << 30))))
-    return F.when(_col(c).isNull(), F.lit(None).cast("string")).otherwise(
-        F.array_join(capitalised, ""))
+    marked = F.regexp_replace(_col(c), _BEFORE_LETTER_RUN, "$1" + _MARK + " ")
+    return F.replace(F.initcap(marked), F.lit(_MARK + " "), F.lit(""))
 
 
 def strip_title(c: Column | str) -> Column:

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.functions.dates import parse_multi_format_date
-from tillflow.functions.location import parse_location
+from tillflow.functions.location import DEFAULT_COUNTRY, parse_location
 from tillflow.functions.money import parse_currency, revenue
-from tillflow.functions.text import strip, strip_title
+from tillflow.functions.text import strip, strip_title, title_case
 from tillflow.operators.quantiles import quantile_values
 from tillflow.sources.tables import ORDINAL
 
@@ -110,10 +110,27 @@ def trim_text(df: DataFrame, column: str = "Nome_Produto") -> DataFrame:
 
 
 def split_location(df: DataFrame, column: str = "Localidade_Venda") -> DataFrame:
-    """C11 + C14: location text -> Cidade, Estado, Pais (source column dropped)."""
-    loc = parse_location(F.col(column))
-    return df.withColumns({"Cidade": loc["Cidade"], "Estado": loc["Estado"], "Pais": loc["Pais"]}) \
-        .drop(column)
+    """C11 + C14: location text -> Cidade, Estado, Pais (source column dropped).
+
+    Same rule as functions.location.parse_location, staged in projections so
+    the stripped text and its pieces are computed once per row.
+    """
+    src = F.col(column)
+    staged = df.withColumn("_loc", strip(src)).withColumn(
+        "_loc_kind", F.when(F.col("_loc").contains("/"), 1).when(F.col("_loc").contains("-"), 2)
+        .otherwise(3))
+    staged = staged.withColumn("_loc_parts", F.when(F.col("_loc_kind") == 1, F.split("_loc", "/"))
+                               .when(F.col("_loc_kind") == 2, F.split("_loc", "-"))
+                               .otherwise(F.array(F.col("_loc"))))
+    part = lambda i: strip(F.try_element_at(F.col("_loc_parts"), F.lit(i)))
+    country = F.when((F.col("_loc_kind") == 1) & (F.size("_loc_parts") > 2), part(3)) \
+        .otherwise(F.lit(DEFAULT_COUNTRY))
+    null = F.lit(None).cast("string")
+    return staged.withColumns({
+        "Cidade": F.when(src.isNull(), null).otherwise(title_case(part(1))),
+        "Estado": F.when(src.isNull(), null).otherwise(F.upper(part(2))),
+        "Pais": F.when(src.isNull(), null).otherwise(title_case(country)),
+    }).drop(column, "_loc", "_loc_kind", "_loc_parts")
 
 
 def drop_bad_dates(df: DataFrame, column: str = "Data_Venda") -> DataFrame:

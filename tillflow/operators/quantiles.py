@@ -44,6 +44,9 @@ def ranked_histogram(df: DataFrame, columns: list[str], value_type: str,
     long = df.select(*[F.col(c).cast(value_type).alias(c) for c in columns]) \
         .unpivot([], columns, COL, VAL)
     hist = long.where(F.col(VAL).isNotNull()).groupBy(COL, VAL).agg(F.count(F.lit(1)).alias(CNT))
+    # The histogram is small next to its input; pinning it means the range
+    # sampler and the stamping job below read it instead of recomputing the input.
+    hist = hist.checkpoint(eager=True)
     stamped = range_stamp(hist, [F.col(COL).asc(), F.col(VAL).asc()], num_partitions)
     offsets, totals = partition_offsets(stamped, weight=F.col(CNT), by=[COL])
     running = Window.partitionBy(PID, COL).orderBy(VAL).rowsBetween(Window.unboundedPreceding, 0)

@@ -77,9 +77,8 @@ def normalize_text(spark, sf_dir):
 def parse_location(spark, sf_dir):
     """C11: location text -> city, state, country (per raw record)."""
     raw = _raw(spark, sf_dir).select("ID_Transacao", "Localidade_Venda")
-    loc = C.parse_location(F.col("Localidade_Venda"))
-    return raw.select("ID_Transacao", "Localidade_Venda",
-                      *[loc[c].alias(c) for c in ("Cidade", "Estado", "Pais")])
+    return raw.withColumn("_src", F.col("Localidade_Venda")) \
+        .transform(lambda d: C.split_location(d, "_src"))
 
 
 def drop_bad_dates(spark, sf_dir):

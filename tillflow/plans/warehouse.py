@@ -24,6 +24,7 @@ from tillflow.operators.cleaning import clean_sales
 from tillflow.operators.modelling import dim_customers, dim_products, enriched_sales, fact_sales
 from tillflow.session import ensure_checkpoint_dir, scratch_path
 from tillflow.sources.dirty import dirty_sales
+from tillflow.sources.sinks import write_table
 from tillflow.sources.tables import table_path
 
 SOURCE_TABLES = ("lineitem", "orders", "part", "customer", "nation", "region")
@@ -58,12 +59,6 @@ def _signature(sf_dir: str) -> tuple:
     return tuple(sig)
 
 
-def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Write parquet (replacing) and return a scan of what was written."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def build_star(spark: SparkSession, raw: DataFrame, location: str) -> Star:
     """Run the cleaning and modelling jobs on `raw`, writing every table under `location`."""
     def stage(df: DataFrame) -> DataFrame:
@@ -76,8 +71,8 @@ def build_star(spark: SparkSession, raw: DataFrame, location: str) -> Star:
     customers = write_table(
         dim_customers(clean).repartitionByRange("ID_Cliente").sortWithinPartitions("ID_Cliente"),
         f"{location}/customers")
-    fact = write_table(fact_sales(clean, products, n_products).sortWithinPartitions("Data_Venda"),
-                       f"{location}/fact")
+    fact = write_table(fact_sales(clean, products, n_products), f"{location}/fact",
+                       date_col="Data_Venda")
     return Star(location, clean, customers, products, fact, n_products)
 
 
