@@ -94,7 +94,12 @@ def correlation_matrix(s: Star) -> DataFrame:
 
 
 def fences(s: Star) -> dict[str, tuple]:
-    """Exact IQR fences per numeric column: {col: (q1, q3, lower, upper)} as decimals."""
+    """Exact IQR fences per numeric column: {col: (q1, q3, lower, upper)} as decimals.
+
+    Six scalars, computed once per star and reused by the outlier queries.
+    """
+    if "fences" in s.memo:
+        return s.memo["fences"]
     from decimal import Decimal
     q = quantile_values(s.enriched(), list(NUMERIC_COLS), [0.25, 0.75], EXACT)
     out = {}
@@ -106,6 +111,7 @@ def fences(s: Star) -> dict[str, tuple]:
         iqr = q3 - q1
         k = Decimal(IQR_FACTOR)
         out[c] = (q1, q3, q1 - k * iqr, q3 + k * iqr)
+    s.memo["fences"] = out
     return out
 
 

@@ -15,7 +15,7 @@ import hashlib
 import os
 import threading
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +38,8 @@ class Star:
     products: DataFrame
     fact: DataFrame
     n_products: int
+    # small driver-side results derived from the tables (e.g. IQR fences), per star
+    memo: dict = field(default_factory=dict, repr=False)
 
     def enriched(self) -> DataFrame:
         return enriched_sales(self.fact, self.products, self.n_products)

@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Flat CSV with a header, replacing what is there (one file per task)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Flat CSV with a header, replacing what is there (one file per task).
+
+    Text is written as is: Spark's CSV writer trims leading and trailing
+    spaces unless told not to.
+    """
+    (df.write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
 
 
 def write_table(df: DataFrame, path: str, date_col: str | None = None,

@@ -46,6 +46,14 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 ORDINAL = "_ord"
 
 
+def null_na_tokens(df: DataFrame) -> DataFrame:
+    """Raw text columns: the NA tokens become NULL."""
+    string_cols = {f.name for f in RAW_SALES_SCHEMA.fields if isinstance(f.dataType, T.StringType)}
+    return df.select(*[
+        F.when(F.col(c).isin(*NA_TOKENS), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
+        if c in string_cols else F.col(c) for c in df.columns])
+
+
 def read_raw_sales_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw sales CSV with an explicit schema and an input-order ordinal.
 
@@ -56,7 +64,6 @@ def read_raw_sales_csv(spark: SparkSession, path: str) -> DataFrame:
     df = (spark.read.schema(RAW_SALES_SCHEMA)
           .option("header", True)
           .option("mode", "PERMISSIVE")
-          .option("nullValue", "")
           .csv(path))
     ordered = df.select(
         *[F.col(c) for c in RAW_COLUMNS],
@@ -64,9 +71,4 @@ def read_raw_sales_csv(spark: SparkSession, path: str) -> DataFrame:
                  F.col("_metadata.file_block_start").alias("block"),
                  F.monotonically_increasing_id().alias("pos")).alias(ORDINAL),
     )
-    string_cols = [f.name for f in RAW_SALES_SCHEMA.fields if isinstance(f.dataType, T.StringType)]
-    return ordered.select(
-        *[F.when(F.col(c).isin(*NA_TOKENS), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
-          if c in string_cols else F.col(c) for c in RAW_COLUMNS],
-        F.col(ORDINAL),
-    )
+    return null_na_tokens(ordered)
