@@ -51,6 +51,14 @@ QUERIES["filtered_sales"] = _on_star(kpis.filtered_sales_report)
 QUERIES.update({"resample_daily": _resample("D"), "resample_weekly": _resample("W"),
                 "resample_monthly": _resample("MS")})
 
+
+def monthly_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the full history's monthly revenue series (no dashboard filter)."""
+    return kpis.resample(warehouse.star(spark, sf_dir), "MS", kpis.KpiParams())
+
+
+QUERIES["monthly_history"] = monthly_history
+
 QUERIES.update({
     "daily_revenue_dense": _on_star(forecast.daily_revenue_dense),
     "calendar_features": _on_star(forecast.calendar_feature_table),

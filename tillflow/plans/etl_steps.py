@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tillflow.functions.money import money_out, to_units, units_out
 from tillflow.operators import cleaning as C
 from tillflow.plans import warehouse
-from tillflow.sources.dirty import dirty_sales
 from tillflow.sources.tables import ORDINAL, RAW_COLUMNS
 
 
@@ -22,7 +21,8 @@ def price_out(c) -> F.Column:
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dirty_sales(spark, sf_dir)
+    """Raw sales records as landed once per session (see warehouse.raw)."""
+    return warehouse.raw(spark, sf_dir)
 
 
 def dedupe_rows(spark, sf_dir):
