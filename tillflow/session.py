@@ -16,6 +16,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast joins only from measured sizes: no static (file-size estimate)
+    # broadcast; AQE turns a join into a broadcast join once the materialised
+    # side is known to be small. Explicit broadcast() is used only for
+    # dimensions whose row count was checked and for per-partition offsets.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "16MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # checkpoints written by the ordering / quantile helpers are removed once
     # the DataFrames that use them are garbage collected
