@@ -41,7 +41,11 @@ class KpiParams:
             raise ValueError(f"churn_days must be in {CHURN_MIN}..{CHURN_MAX} step {CHURN_STEP}")
 
 
-# The dashboard state used by the registered queries on driver data.
+# The dashboard's opening state: the whole period, no list selected, churn
+# threshold 90 days. The half-year cut is a parameter; on the driver data it
+# is the middle of the history.
+DEFAULT = KpiParams()
+# A selection used by the registered filter query (D3), on driver data values.
 DEMO = KpiParams(start=dt.date(1996, 1, 1), end=dt.date(1999, 12, 31),
                  categorias=("Economy", "Promo", "Standard"), status=("F", "O"))
 
@@ -60,18 +64,18 @@ def sale_filter(p: KpiParams) -> Column:
     return cond
 
 
-def filtered_sales(s: Star, p: KpiParams = DEMO) -> DataFrame:
+def filtered_sales(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """D3: enriched sales that pass the dashboard filters."""
     return s.enriched().where(sale_filter(p))
 
 
 def filtered_sales_report(s: Star, p: KpiParams = DEMO) -> DataFrame:
-    """D3 as a report: money columns as DOUBLE."""
+    """D3 as a report: money columns as DOUBLE (registered with the DEMO selection)."""
     f = filtered_sales(s, p)
     return f.select(*report_columns(f))
 
 
-def customer_lifecycle(s: Star, p: KpiParams = DEMO) -> DataFrame:
+def customer_lifecycle(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """D1 + D2: per customer last purchase, recency vs the last sale of the full
     history, and whether they bought before / on-or-after the cut."""
     df = s.enriched()
@@ -97,7 +101,7 @@ def filter_domains(s: Star) -> DataFrame:
     return lists.unionByName(bounds).orderBy("filtro", "valor")
 
 
-def kpi_summary(s: Star, p: KpiParams = DEMO) -> DataFrame:
+def kpi_summary(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """D5 (+D16): total revenue, mean ticket, orders, distinct customers; zeros when empty."""
     f = filtered_sales(s, p)
     g = f.agg(F.sum("Faturamento").alias("_tot"), F.count("Faturamento").alias("_n"),
@@ -115,7 +119,7 @@ def _customers_in_filter(s: Star, p: KpiParams) -> DataFrame:
     return customer_lifecycle(s, p).join(buyers, "ID_Cliente", "left_semi")
 
 
-def churn_rate(s: Star, p: KpiParams = DEMO) -> DataFrame:
+def churn_rate(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """% of the filter's customers with recency > threshold (0 when none)."""
     c = _customers_in_filter(s, p)
     g = c.agg(F.count_if(F.col("recencia_dias") > p.churn_days).alias("_churn"),
@@ -125,7 +129,7 @@ def churn_rate(s: Star, p: KpiParams = DEMO) -> DataFrame:
                                F.lit(0.0)).alias("churn_pct"))
 
 
-def retention_rate(s: Star, p: KpiParams = DEMO) -> DataFrame:
+def retention_rate(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """Of the filter's first-half buyers, % who also bought in the second half (0 when none)."""
     c = _customers_in_filter(s, p).where(F.col("comprou_h1"))
     g = c.agg(F.count_if(F.col("comprou_h2")).alias("_kept"), F.count(F.lit(1)).alias("base_h1"))
@@ -142,7 +146,7 @@ def _step(freq: str) -> Column:
             "MS": F.expr("INTERVAL 1 MONTH")}[freq]
 
 
-def resample(s: Star, freq: str, p: KpiParams = DEMO) -> DataFrame:
+def resample(s: Star, freq: str, p: KpiParams = DEFAULT) -> DataFrame:
     """D9 + D10: revenue per day / week (ending Sunday) / month start, empty periods 0,
     with the rolling mean of the last 3 periods (fewer at the start).
 
@@ -162,7 +166,7 @@ def resample(s: Star, freq: str, p: KpiParams = DEMO) -> DataFrame:
         .alias("media_movel_3")).orderBy("periodo")
 
 
-def dash_category_revenue(s: Star, p: KpiParams = DEMO) -> DataFrame:
+def dash_category_revenue(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """Revenue by category, descending (NULL category dropped, as in a pandas groupby)."""
     g = filtered_sales(s, p).where(F.col("Categoria_Produto").isNotNull()) \
         .groupBy("Categoria_Produto").agg(F.sum("Faturamento").alias("_fat"))
@@ -170,13 +174,13 @@ def dash_category_revenue(s: Star, p: KpiParams = DEMO) -> DataFrame:
         .orderBy(F.col("faturamento").desc())
 
 
-def dash_status_counts(s: Star, p: KpiParams = DEMO) -> DataFrame:
+def dash_status_counts(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """Sales per status, descending, NULL status excluded."""
     return filtered_sales(s, p).where(F.col("Status_Pedido").isNotNull()) \
         .groupBy("Status_Pedido").agg(F.count(F.lit(1)).alias("qtd")).orderBy(F.col("qtd").desc())
 
 
-def dash_top_products(s: Star, p: KpiParams = DEMO, n: int = 10) -> DataFrame:
+def dash_top_products(s: Star, p: KpiParams = DEFAULT, n: int = 10) -> DataFrame:
     """Top-n product names by revenue (grouped by name only; ties by name)."""
     g = filtered_sales(s, p).where(F.col("Nome_Produto").isNotNull()) \
         .groupBy("Nome_Produto").agg(F.coalesce(F.sum("Faturamento"), F.lit(0)).alias("_fat"))
@@ -184,7 +188,7 @@ def dash_top_products(s: Star, p: KpiParams = DEMO, n: int = 10) -> DataFrame:
         .select("Nome_Produto", money_out("_fat").alias("faturamento"))
 
 
-def dash_state_ticket(s: Star, p: KpiParams = DEMO) -> DataFrame:
+def dash_state_ticket(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """Mean ticket per state, descending (NULL state dropped)."""
     g = filtered_sales(s, p).where(F.col("Estado").isNotNull()) \
         .groupBy("Estado").agg(F.sum("Faturamento").alias("_fat"), F.count("Faturamento").alias("_n"))
@@ -192,7 +196,7 @@ def dash_state_ticket(s: Star, p: KpiParams = DEMO) -> DataFrame:
                     .alias("ticket_medio")).orderBy(F.col("ticket_medio").desc())
 
 
-def kpi_formatted(s: Star, p: KpiParams = DEMO) -> DataFrame:
+def kpi_formatted(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """The KPI display strings (R$ 1.234,56 / 1.234 / 12,3%)."""
     k = kpi_summary(s, p)
     c = churn_rate(s, p).select("churn_pct")
