@@ -60,6 +60,8 @@ def test_ols_matches_numpy_least_squares(spark, star_small):
     te = test.orderBy("data").select("data", "faturamento").collect()
     predict = _numpy_fit([r["data"] for r in tr], np.array([r["faturamento"] for r in tr]))
     want = predict([r["data"] for r in te])
+    fitted = forecast.fit(train)
+    assert len(fitted.weekdays) == 6 and len(fitted.months) == 11  # every category seen in training
     got = forecast.forecast_holdout(star_small).orderBy("data").collect()
     assert len(got) == forecast.TEST_DAYS
     np.testing.assert_allclose([r["faturamento_previsto"] for r in got], want, rtol=1e-7)

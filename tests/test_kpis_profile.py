@@ -112,7 +112,7 @@ def test_kpi_filters_each_alone_and_empty(spark, star_fixture):
         (0.0, None, 0, 0)
     assert kpis.churn_rate(star_fixture, empty).first()["churn_pct"] == 0.0
     assert kpis.retention_rate(star_fixture, empty).first()["retencao_pct"] == 0.0
-    assert kpis.resample(star_fixture, "D", empty).count() == 0
+    assert kpis.resample(star_fixture, empty, "D").count() == 0
     with pytest.raises(ValueError):
         kpis.KpiParams(churn_days=100)
 
@@ -137,7 +137,7 @@ def test_churn_retention_and_resample_vs_pandas(spark, star_fixture):
     for freq, rule in (("D", "D"), ("W", "W"), ("MS", "MS")):
         want = f.set_index("Data_Venda")["Faturamento"].resample(rule).sum()
         roll = want.rolling(3, min_periods=1).mean()
-        got = kpis.resample(star_fixture, freq, p).collect()
+        got = kpis.resample(star_fixture, p, freq).collect()
         assert [r["periodo"] for r in got] == [d.date() for d in want.index]
         np.testing.assert_allclose([r["faturamento"] for r in got], want.values, atol=0.005)
         np.testing.assert_allclose([r["media_movel_3"] for r in got], roll.values, atol=0.006)

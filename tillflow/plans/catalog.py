@@ -1,8 +1,14 @@
-"""Query catalogue: name -> job(spark, sf_dir) -> DataFrame, and name -> oracle SQL."""
+"""Query catalogue: name -> job(spark, sf_dir) -> DataFrame, and name -> oracle SQL.
+
+Report, profile, KPI and forecast jobs read the star schema built once per
+source and session (`warehouse.star`); the per-operator cleaning views read
+the raw records landed once per session (`warehouse.raw`).
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,15 +18,19 @@ from tillflow.plans import etl_steps, forecast, kpis, profile, reports, warehous
 Job = Callable[[SparkSession, str], DataFrame]
 
 
-def _on_star(fn) -> Job:
+def _on_star(fn, *args) -> Job:
+    """Job that runs fn(star, *args) on the star schema of sf_dir."""
     def job(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(warehouse.star(spark, sf_dir))
-    job.__name__ = fn.__name__
+        return fn(warehouse.star(spark, sf_dir), *args)
+    job.__name__ = getattr(fn, "__name__", "job")
     job.__doc__ = fn.__doc__
     return job
 
 
 QUERIES: dict[str, Job] = {
+    # C*, M*, S2: cleaning and modelling operators
+    **etl_steps.STEP_QUERIES,
+    # Q1-Q7: named SQL reports
     "revenue_by_category": _on_star(reports.revenue_by_category),
     "top_customers": _on_star(reports.top_customers),
     "monthly_revenue": _on_star(reports.monthly_revenue),
@@ -28,38 +38,20 @@ QUERIES: dict[str, Job] = {
     "top_products_by_category": _on_star(reports.top_products_by_category),
     "rfm_customers": _on_star(reports.rfm_customers),
     "status_distribution": _on_star(reports.status_distribution),
-}
-
-QUERIES.update(etl_steps.STEP_QUERIES)
-QUERIES.update({name: _on_star(getattr(profile, name)) for name in (
-    "numeric_stats", "categorical_stats", "correlation_matrix", "iqr_bounds", "outlier_rows",
-    "outlier_summary", "outlier_detail", "top_outliers", "boxplot_stats", "dataset_profile")})
-
-QUERIES.update({name: _on_star(getattr(kpis, name)) for name in (
-    "customer_lifecycle", "filter_domains", "kpi_summary", "churn_rate",
-    "retention_rate", "dash_category_revenue", "dash_status_counts", "dash_top_products",
-    "dash_state_ticket", "kpi_formatted")})
-
-
-def _resample(freq: str) -> Job:
-    def job(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return kpis.resample(warehouse.star(spark, sf_dir), freq)
-    return job
-
-
-QUERIES["filtered_sales"] = _on_star(kpis.filtered_sales_report)
-QUERIES.update({"resample_daily": _resample("D"), "resample_weekly": _resample("W"),
-                "resample_monthly": _resample("MS")})
-
-
-def monthly_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """the full history's monthly revenue series (no dashboard filter)."""
-    return kpis.resample(warehouse.star(spark, sf_dir), "MS", kpis.KpiParams())
-
-
-QUERIES["monthly_history"] = monthly_history
-
-QUERIES.update({
+    # Exploratory statistics
+    **{name: _on_star(getattr(profile, name)) for name in (
+        "numeric_stats", "categorical_stats", "correlation_matrix", "iqr_bounds", "outlier_rows",
+        "outlier_summary", "outlier_detail", "top_outliers", "boxplot_stats", "dataset_profile")},
+    # Dashboard data jobs (opening state; D3 with a selection)
+    "filtered_sales": _on_star(kpis.filtered_sales_report),
+    **{name: _on_star(getattr(kpis, name)) for name in (
+        "customer_lifecycle", "filter_domains", "kpi_summary", "churn_rate", "retention_rate",
+        "dash_category_revenue", "dash_status_counts", "dash_top_products", "dash_state_ticket",
+        "kpi_formatted")},
+    "resample_daily": _on_star(partial(kpis.resample, freq="D")),
+    "resample_weekly": _on_star(partial(kpis.resample, freq="W")),
+    "resample_monthly": _on_star(partial(kpis.resample, freq="MS")),
+    # forecast
     "daily_revenue_dense": _on_star(forecast.daily_revenue_dense),
     "calendar_features": _on_star(forecast.calendar_feature_table),
     "train_test_split": _on_star(forecast.train_test_split),
@@ -70,10 +62,13 @@ QUERIES.update({
     "forecast_next_month": _on_star(forecast.forecast_next_month),
     "forecast_total": _on_star(forecast.forecast_total),
     "mean_month_revenue": _on_star(forecast.mean_month_revenue),
-})
+    "monthly_history": _on_star(forecast.monthly_history),
+}
 
-ORACLE: dict[str, Callable[[], str]] = {**oracle.REPORT_SQL, **oracle.STEP_SQL, **oracle.PROFILE_SQL,
-                                   **oracle.KPI_SQL, **oracle.FORECAST_SQL}
+ORACLE: dict[str, Callable[[], str]] = {
+    **oracle.STEP_SQL, **oracle.REPORT_SQL, **oracle.PROFILE_SQL, **oracle.KPI_SQL,
+    **oracle.FORECAST_SQL,
+}
 
 
 def queries() -> dict[str, Job]:

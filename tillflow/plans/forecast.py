@@ -205,3 +205,10 @@ def mean_month_revenue(s: Star) -> DataFrame:
         F.sum(to_units(F.col("_fat"), 2)).alias("_u"))
     return monthly.agg(units_out(F.sum("_u"), 2).alias("_t"), F.count(F.lit(1)).alias("meses")) \
         .select((F.col("_t") / F.col("meses")).alias("media_mensal"), "meses")
+
+
+def monthly_history(s: Star) -> DataFrame:
+    """monthly revenue of the whole history with its 3-month rolling mean
+    (the dashboard's monthly series without any selection)."""
+    from tillflow.plans.kpis import KpiParams, resample
+    return resample(s, KpiParams(), "MS")

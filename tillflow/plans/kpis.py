@@ -146,7 +146,7 @@ def _step(freq: str) -> Column:
             "MS": F.expr("INTERVAL 1 MONTH")}[freq]
 
 
-def resample(s: Star, freq: str, p: KpiParams = DEFAULT) -> DataFrame:
+def resample(s: Star, p: KpiParams = DEFAULT, freq: str = "D") -> DataFrame:
     """D9 + D10: revenue per day / week (ending Sunday) / month start, empty periods 0,
     with the rolling mean of the last 3 periods (fewer at the start).
 
