@@ -135,12 +135,20 @@ def _train_mean(train: DataFrame) -> Column:
 
 
 def _series(s: Star) -> DataFrame:
-    return calendar_features(daily_dense(s.fact))
+    """Dense daily series with calendar features, checkpointed once per star.
+
+    One row per calendar day (bounded by the time span); the split, the fits,
+    the baseline and the metrics all read it, so it is pinned instead of being
+    re-aggregated from the fact in every subquery.
+    """
+    if "daily_series" not in s.memo:
+        s.memo["daily_series"] = calendar_features(daily_dense(s.fact)).checkpoint(eager=True)
+    return s.memo["daily_series"]
 
 
 def daily_revenue_dense(s: Star) -> DataFrame:
     """F2 as a query."""
-    return daily_dense(s.fact).select("data", "faturamento")
+    return _series(s).select("data", "faturamento")
 
 
 def calendar_feature_table(s: Star) -> DataFrame:
@@ -201,7 +209,7 @@ def forecast_total(s: Star) -> DataFrame:
 
 def mean_month_revenue(s: Star) -> DataFrame:
     """mean over calendar months of the monthly revenue of the dense daily series."""
-    monthly = daily_dense(s.fact).groupBy(F.trunc("data", "month").alias("mes")).agg(
+    monthly = _series(s).groupBy(F.trunc("data", "month").alias("mes")).agg(
         F.sum(to_units(F.col("_fat"), 2)).alias("_u"))
     return monthly.agg(units_out(F.sum("_u"), 2).alias("_t"), F.count(F.lit(1)).alias("meses")) \
         .select((F.col("_t") / F.col("meses")).alias("media_mensal"), "meses")
