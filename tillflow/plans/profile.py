@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.functions.money import ratio_out, report_columns, to_units
-from tillflow.operators.quantiles import COL, exact_quantiles, quantile_values
+from tillflow.operators.quantiles import COL, quantile_values
 from tillflow.plans.warehouse import Star
 
 # The columns profiled and the IQR fence factor.
@@ -53,11 +53,13 @@ def numeric_stats(s: Star) -> DataFrame:
         F.col(f"sd{i}").alias("desvio_padrao"),
         round2(F.col(f"mn{i}"), 6).alias("minimo"),
         round2(F.col(f"mx{i}"), 6).alias("maximo")) for i, c in enumerate(NUMERIC_COLS)])
-    q = exact_quantiles(df, list(NUMERIC_COLS), [0.25, 0.5, 0.75], EXACT)
-    qw = q.groupBy(COL).agg(*[round2(F.max(F.when(F.col("prob") == p, F.col("valor"))), 12).alias(name)
-                              for p, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
-    return stats.join(qw, COL).select(COL, "contagem", "media", "desvio_padrao", "minimo",
-                                      "q25", "q50", "q75", "maximo")
+    q = quartiles(s)
+    by_col = F.col(COL)
+    quart = {name: F.coalesce(*[F.when(by_col == c, round2(_lit_dec(q[(c, p)]), 13))
+                                for c in NUMERIC_COLS])
+             for p, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))}
+    return stats.select(COL, "contagem", "media", "desvio_padrao", "minimo",
+                        *[v.alias(k) for k, v in quart.items()], "maximo")
 
 
 def categorical_stats(s: Star) -> DataFrame:
@@ -93,6 +95,13 @@ def correlation_matrix(s: Star) -> DataFrame:
                        for i, a in enumerate(NUMERIC_COLS)])
 
 
+def quartiles(s: Star) -> dict[tuple[str, float], object]:
+    """Exact quartiles of the numeric columns {(col, p): Decimal}, once per star (9 scalars)."""
+    if "quartiles" not in s.memo:
+        s.memo["quartiles"] = quantile_values(s.enriched(), list(NUMERIC_COLS), [0.25, 0.5, 0.75], EXACT)
+    return s.memo["quartiles"]
+
+
 def fences(s: Star) -> dict[str, tuple]:
     """Exact IQR fences per numeric column: {col: (q1, q3, lower, upper)} as decimals.
 
@@ -101,7 +110,7 @@ def fences(s: Star) -> dict[str, tuple]:
     if "fences" in s.memo:
         return s.memo["fences"]
     from decimal import Decimal
-    q = quantile_values(s.enriched(), list(NUMERIC_COLS), [0.25, 0.75], EXACT)
+    q = quartiles(s)
     out = {}
     for c in NUMERIC_COLS:
         q1, q3 = q[(c, 0.25)], q[(c, 0.75)]
@@ -194,7 +203,7 @@ def boxplot_stats(s: Star) -> DataFrame:
     the fences) and the outlier count, per column (rounded to 2). One pass."""
     f = fences(s)
     df = s.enriched()
-    med = quantile_values(df, list(NUMERIC_COLS), [0.5], EXACT)
+    med = quartiles(s)
     aggs, structs = [], []
     for i, c in enumerate(NUMERIC_COLS):
         q1, q3, lo, hi = f[c]
