@@ -117,13 +117,13 @@ def etl_audit(spark, sf_dir):
 
 
 def dim_customers(spark, sf_dir):
-    """M1: customer dimension."""
-    return warehouse.star(spark, sf_dir).customers
+    """M1: customer dimension, in id order."""
+    return warehouse.star(spark, sf_dir).customers.orderBy("ID_Cliente")
 
 
 def dim_products(spark, sf_dir):
-    """M2 + M3: product dimension with dense surrogate keys."""
-    return warehouse.star(spark, sf_dir).products
+    """M2 + M3: product dimension with dense surrogate keys, in key order."""
+    return warehouse.star(spark, sf_dir).products.orderBy("ID_Produto")
 
 
 def fact_sales(spark, sf_dir):

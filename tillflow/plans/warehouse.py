@@ -62,17 +62,22 @@ def _signature(sf_dir: str) -> tuple:
 
 
 def build_star(spark: SparkSession, raw: DataFrame, location: str) -> Star:
-    """Run the cleaning and modelling jobs on `raw`, writing every table under `location`."""
+    """Run the cleaning and modelling jobs on `raw`, writing the tables under `location`.
+
+    Written: the de-duplicated, parsed rows (read by the median job and by
+    everything after it), the product and customer dimensions and the fact.
+    The clean rows themselves are a row-local step over the parsed table
+    (median fill, date filter, revenue), so they are not written twice.
+    """
     def stage(df: DataFrame) -> DataFrame:
         return write_table(df, f"{location}/parsed")
 
-    clean = write_table(clean_sales(raw, stage), f"{location}/clean")
+    clean = clean_sales(raw, stage)
     products, n_products = dim_products(clean)
     products = write_table(products.coalesce(1) if n_products <= 1_000_000 else products,
                            f"{location}/products")
-    customers = write_table(
-        dim_customers(clean).repartitionByRange("ID_Cliente").sortWithinPartitions("ID_Cliente"),
-        f"{location}/customers")
+    customers = write_table(dim_customers(clean).sortWithinPartitions("ID_Cliente"),
+                            f"{location}/customers")
     fact = write_table(fact_sales(clean, products, n_products), f"{location}/fact",
                        date_col="Data_Venda")
     return Star(location, clean, customers, products, fact, n_products)
