@@ -25,9 +25,12 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.operators.ordering import OFFSET, PID, partition_offsets, range_stamp
+from tillflow.operators.ordering import (OFFSET, PID, default_partitions, partition_offsets,
+                                         range_stamp)
 
 COL, VAL, CNT = "coluna", "_v", "_n"
+# Histogram rows per range partition when the partition count is not given.
+HIST_ROWS_PER_PARTITION = 1_000_000
 
 
 def _frac_literal(frac: Fraction, value_type: str) -> Column:
@@ -47,6 +50,9 @@ def ranked_histogram(df: DataFrame, columns: list[str], value_type: str,
     # The histogram is small next to its input; pinning it means the range
     # sampler and the stamping job below read it instead of recomputing the input.
     hist = hist.checkpoint(eager=True)
+    if num_partitions is None:  # size the range layout to the histogram, not to the input
+        rows = hist.count()
+        num_partitions = max(1, min(default_partitions(hist), -(-rows // HIST_ROWS_PER_PARTITION)))
     stamped = range_stamp(hist, [F.col(COL).asc(), F.col(VAL).asc()], num_partitions)
     offsets, totals = partition_offsets(stamped, weight=F.col(CNT), by=[COL])
     running = Window.partitionBy(PID, COL).orderBy(VAL).rowsBetween(Window.unboundedPreceding, 0)
