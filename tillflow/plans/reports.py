@@ -112,12 +112,13 @@ def rfm_customers(s: Star) -> DataFrame:
     last_day = s.fact.agg(F.max("Data_Venda")).scalar()
     order = [F.col("_valor").desc(), F.col("ID_Cliente").asc_nulls_first()]
     indexed, total = global_row_index(base, order)
-    return (indexed.select(
+    # Ordering by the index's own key reuses its range layout and in-partition
+    # sort (kept through the checkpoint): no second sort of all customers.
+    return indexed.orderBy(*order).select(
         "ID_Cliente", "ultima_compra", "frequencia",
         money_out("_valor").alias("valor_total"),
         F.datediff(last_day, F.col("ultima_compra")).alias("recencia_dias"),
         ntile_from_index(F.col("_row"), total, 4).alias("quartil_valor"))
-        .orderBy(F.col("valor_total").desc(), "ID_Cliente"))
 
 
 def status_distribution(s: Star) -> DataFrame:
