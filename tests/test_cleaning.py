@@ -57,10 +57,11 @@ def test_csv_source_reads_float_quantity_and_na_tokens(spark, tmp_path):
         "Quantidade,Localidade_Venda,Metodo_Pagamento,Status_Pedido\n"
         "TRX000001,2025-01-02,CLI00001,Kit Cama,Casa,R$ 1.234,3.0,Recife/PE/Brasil,Pix,Concluido\n"
         "TRX000001,2025-01-03,CLI00001,Kit Cama,Casa,10.00,,Recife/PE/Brasil,NA,Concluido\n"
-        "TRX000002,2025-01-02,NA,Kit Cama,Casa,10.00,1.0,Recife/PE/Brasil,null,Concluido\n")
+        "TRX000002,2025-01-02,NA,Kit Cama,Casa,10.00,1.0,Recife/PE/Brasil,null,Concluido\n"
+        "TRX000003,2025-01-02,CLI3,Kit Cama,Casa,10.00,NaN,Recife/PE/Brasil,Pix,Concluido\n")
     df = read_raw_sales_csv(spark, str(p))
     rows = df.orderBy(F.col("_ord")).collect()
-    assert [r["Quantidade"] for r in rows] == [3.0, None, 1.0]
+    assert [r["Quantidade"] for r in rows] == [3.0, None, 1.0, None]
     assert rows[1]["Metodo_Pagamento"] is None and rows[2]["ID_Cliente"] is None
     first = df.transform(C.dedupe_keep_first).where("ID_Transacao = 'TRX000001'").first()
     assert first["Data_Venda"] == "2025-01-02"

@@ -47,11 +47,21 @@ ORDINAL = "_ord"
 
 
 def null_na_tokens(df: DataFrame) -> DataFrame:
-    """Raw text columns: the NA tokens become NULL."""
+    """Raw columns: the NA tokens of text columns and NaN in number columns become NULL.
+
+    (Spark's CSV reader turns the text "NaN" into a NaN double; missing values
+    must be NULL, which aggregates skip, never NaN, which poisons them.)
+    """
     string_cols = {f.name for f in RAW_SALES_SCHEMA.fields if isinstance(f.dataType, T.StringType)}
-    return df.select(*[
-        F.when(F.col(c).isin(*NA_TOKENS), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
-        if c in string_cols else F.col(c) for c in df.columns])
+    double_cols = {f.name for f in RAW_SALES_SCHEMA.fields if isinstance(f.dataType, T.DoubleType)}
+
+    def fix(c: str):
+        if c in string_cols:
+            return F.when(F.col(c).isin(*NA_TOKENS), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
+        if c in double_cols:
+            return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(F.col(c)).alias(c)
+        return F.col(c)
+    return df.select(*[fix(c) for c in df.columns])
 
 
 def read_raw_sales_csv(spark: SparkSession, path: str) -> DataFrame:
