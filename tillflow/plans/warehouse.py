@@ -18,7 +18,6 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tillflow.operators.cleaning import clean_sales
 from tillflow.operators.modelling import dim_customers, dim_products, enriched_sales, fact_sales
@@ -121,17 +120,6 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
         return _BUILT[key]
 
 
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star(spark, sf_dir).fact
-
-
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star(spark, sf_dir).products
-
-
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact joined to the product dimension."""
     return star(spark, sf_dir).enriched()
-
-
-def sale_month(col: str = "Data_Venda"):
-    return F.date_format(F.col(col), "yyyy-MM")
