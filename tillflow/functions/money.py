@@ -106,3 +106,8 @@ def report_columns(df, price_cols=("Valor_Unitario",), money_cols=("Faturamento"
     """Every column of df, with prices (6 decimals) and money (2 decimals) as DOUBLE."""
     return [units_out(to_units(c, 6), 6).alias(c) if c in price_cols
             else money_out(c).alias(c) if c in money_cols else F.col(c) for c in df.columns]
+
+
+def round_double(c: Column | str, scale: int) -> Column:
+    """round(x, scale) for a DOUBLE statistic, with -0.0 written as 0.0."""
+    return F.round(_col(c), scale) + F.lit(0.0)

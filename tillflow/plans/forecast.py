@@ -23,7 +23,7 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.functions.money import money_out, to_units, units_out
+from tillflow.functions.money import money_out, round_double, to_units, units_out
 from tillflow.plans.warehouse import Star
 
 # Holdout length, forecast horizon, MAPE denominator floor.
@@ -124,8 +124,8 @@ def regression_metrics(pred: DataFrame, actual: DataFrame, y: str = "faturamento
         (F.avg(F.abs(err) / F.greatest(F.abs(F.col(y)), F.lit(MAPE_EPS))) * 100).alias("mape"),
         (F.lit(1.0) - F.try_divide(F.sum(err * err), F.sum((F.col(y) - mean_y) * (F.col(y) - mean_y))))
         .alias("r2"))
-    return g.select(F.round("mae", 2).alias("mae"), F.round("rmse", 2).alias("rmse"),
-                    F.round("mape", 2).alias("mape"), F.round("r2", 3).alias("r2"))
+    return g.select(round_double("mae", 2).alias("mae"), round_double("rmse", 2).alias("rmse"),
+                    round_double("mape", 2).alias("mape"), round_double("r2", 3).alias("r2"))
 
 
 def _train_mean(train: DataFrame) -> Column:

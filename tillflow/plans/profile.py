@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.functions.money import ratio_out, report_columns, to_units
+from tillflow.functions.money import ratio_out, report_columns, round_double, to_units
 from tillflow.operators.quantiles import COL, quantile_values
 from tillflow.plans.warehouse import Star
 
@@ -44,7 +44,7 @@ def numeric_stats(s: Star) -> DataFrame:
     for i, c in enumerate(NUMERIC_COLS):
         v = F.col(c).cast(EXACT)
         aggs += [F.count(v).alias(f"n{i}"), F.sum(v).alias(f"t{i}"),
-                 F.round(F.stddev_samp(F.col(c).cast("double")), 2).alias(f"sd{i}"),
+                 round_double(F.stddev_samp(F.col(c).cast("double")), 2).alias(f"sd{i}"),
                  F.min(v).alias(f"mn{i}"), F.max(v).alias(f"mx{i}")]
     one = df.agg(*aggs)
     stats = _rows(one, [F.struct(
@@ -88,7 +88,7 @@ def correlation_matrix(s: Star) -> DataFrame:
             both = F.col(a).isNotNull() & F.col(b).isNotNull()
             xa, xb = F.when(both, F.col(a)), F.when(both, F.col(b))
             r = F.try_divide(F.covar_samp(xa, xb), F.stddev_samp(xa) * F.stddev_samp(xb))
-            aggs.append(F.round(r, 3).alias(f"c{i}_{j}"))
+            aggs.append(round_double(r, 3).alias(f"c{i}_{j}"))
     one = df.agg(*aggs)
     return _rows(one, [F.struct(F.lit(a).alias(COL), *[F.col(f"c{i}_{j}").alias(b)
                                                       for j, b in enumerate(NUMERIC_COLS)])
