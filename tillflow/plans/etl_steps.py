@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tillflow.functions.money import money_out, to_units, units_out
 from tillflow.operators import cleaning as C
 from tillflow.plans import warehouse
-from tillflow.sources.tables import ORDINAL, RAW_COLUMNS
+from tillflow.sources.tables import RAW_COLUMNS
 
 
 def price_out(c) -> F.Column:
@@ -42,9 +42,12 @@ def drop_null_keys(spark, sf_dir):
 
 
 def impute_median(spark, sf_dir):
-    """C4 (+C5): quantity filled with the exact median of the C1-C3 rows, then truncated."""
-    keyed = (_raw(spark, sf_dir).transform(C.dedupe_keep_first).transform(C.drop_null_keys)
-             .drop(ORDINAL))
+    """C4 (+C5): quantity filled with the exact median of the C1-C3 rows, then truncated.
+
+    Reads the ETL's staged rows (C1-C3 done, row-local parsing only, the
+    quantity not yet filled) instead of de-duplicating the raw records again.
+    """
+    keyed = warehouse.star(spark, sf_dir).memo["parsed"]
     filled = keyed.transform(C.impute_median).transform(C.to_int)
     return filled.select("ID_Transacao", F.col("Quantidade"))
 

@@ -68,8 +68,11 @@ def build_star(spark: SparkSession, raw: DataFrame, location: str) -> Star:
     The clean rows themselves are a row-local step over the parsed table
     (median fill, date filter, revenue), so they are not written twice.
     """
+    staged: dict[str, DataFrame] = {}
+
     def stage(df: DataFrame) -> DataFrame:
-        return write_table(df, f"{location}/parsed")
+        staged["parsed"] = write_table(df, f"{location}/parsed")
+        return staged["parsed"]
 
     clean = clean_sales(raw, stage)
     products, n_products = dim_products(clean)
@@ -79,7 +82,9 @@ def build_star(spark: SparkSession, raw: DataFrame, location: str) -> Star:
                             f"{location}/customers")
     fact = write_table(fact_sales(clean, products, n_products), f"{location}/fact",
                        date_col="Data_Venda")
-    return Star(location, clean, customers, products, fact, n_products)
+    star = Star(location, clean, customers, products, fact, n_products)
+    star.memo["parsed"] = staged["parsed"]
+    return star
 
 
 _RAW: dict[tuple, DataFrame] = {}
