@@ -102,3 +102,10 @@ def test_display_formats(spark):
 def test_location(spark, text, expected):
     row = one(spark, parse_location, text)
     assert (tuple(row) if row is not None else (None, None, None)) == expected
+
+
+def test_strip_is_python_strip_on_every_whitespace_character(spark):
+    from tillflow.functions.text import PY_WHITESPACE
+    texts = [ch + "a b" + ch for ch in PY_WHITESPACE] + ["\x1c x \x1f", "　y "]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    assert [r[0] for r in df.select(strip("x")).collect()] == [t.strip() for t in texts]

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillflow.functions.text import strip as _strip
+
 PRICE_TYPE = "decimal(18,6)"
 REVENUE_TYPE = "decimal(18,2)"
 WIDE = "decimal(38,0)"
@@ -23,10 +25,6 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-
-
 def parse_currency(c: Column | str) -> Column:
     """'R$ 1.234,56' -> 1234.56 and '1234.56' -> 1234.56 as DECIMAL(18,6).
 

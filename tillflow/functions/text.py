@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 _MARK = "\ue000"
 _BEFORE_LETTER_RUN = r"(\P{L})(?=\p{L})"
 
-# Unicode-aware leading/trailing whitespace (tabs, non-breaking spaces ...).
-# Spark's trim() only removes the space character.
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+# The characters Python's str.strip() removes (every character with
+# str.isspace(); none lies above U+3000). Spark's trim() only removes spaces.
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def _col(c: Column | str) -> Column:
@@ -23,8 +23,8 @@ def _col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Remove leading and trailing whitespace of any kind (like str.strip())."""
-    return F.regexp_replace(_col(c), _EDGE_SPACE, "")
+    """Remove leading and trailing whitespace of any kind, exactly like str.strip()."""
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE))
 
 
 def title_case(c: Column | str) -> Column:
