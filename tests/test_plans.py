@@ -3,7 +3,6 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from helpers import raw_df, sale

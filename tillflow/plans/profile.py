@@ -7,7 +7,6 @@ until the report edge, where values are rounded half away from zero.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
