@@ -49,3 +49,24 @@ def test_exact_quantiles_decimal_and_empty(spark):
     q = {(r["coluna"], r["prob"]): r["valor"] for r in
          exact_quantiles(df, ["x", "e"], [0.25], "decimal(38,6)").collect()}
     assert str(q[("x", 0.25)]) == "0.012500000000" and q[("e", 0.25)] is None
+
+
+def test_partition_count_falls_back_when_not_numeric(spark):
+    from tillflow.operators.ordering import default_partitions
+    df = spark.range(3)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "auto")
+    except Exception:
+        pytest.skip("this Spark rejects a non-numeric value")
+    try:
+        assert default_partitions(df) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_configure_sets_runtime_sql_settings(spark):
+    from tillflow.session import configure
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "1MB")
+    configure(spark)
+    assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold") == "16MB"

@@ -29,7 +29,12 @@ OFFSET = "_offset"
 
 
 def default_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """The session's shuffle partition count (default parallelism when it is not a number)."""
+    value = df.sparkSession.conf.get("spark.sql.shuffle.partitions", None)
+    try:
+        return max(1, int(value))
+    except (TypeError, ValueError):  # e.g. "auto" on some platforms
+        return max(1, df.sparkSession.sparkContext.defaultParallelism)
 
 
 def range_stamp(df: DataFrame, order: list[Column], num_partitions: int | None = None) -> DataFrame:

@@ -49,6 +49,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def configure(spark: SparkSession, conf: dict | None = None) -> SparkSession:
+    """Apply the engine's runtime SQL settings to a session someone else built.
+
+    Only SQL settings that can change at runtime are set (a cluster's
+    checkpoint folder and resources are left alone).
+    """
+    for key, value in (conf or DEFAULT_CONF).items():
+        if key.startswith("spark.sql."):
+            spark.conf.set(key, value)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 
