@@ -65,3 +65,16 @@ def test_csv_source_reads_float_quantity_and_na_tokens(spark, tmp_path):
     assert rows[1]["Metodo_Pagamento"] is None and rows[2]["ID_Cliente"] is None
     first = df.transform(C.dedupe_keep_first).where("ID_Transacao = 'TRX000001'").first()
     assert first["Data_Venda"] == "2025-01-02"
+
+
+def test_keep_first_across_several_files(spark, tmp_path):
+    header = ("ID_Transacao,Data_Venda,ID_Cliente,Nome_Produto,Categoria_Produto,Valor_Unitario,"
+              "Quantidade,Localidade_Venda,Metodo_Pagamento,Status_Pedido\n")
+    d = tmp_path / "raw"
+    d.mkdir()
+    (d / "part-a.csv").write_text(header + "TRX1,2025-01-02,CLI1,Bola,Esporte,1.00,1.0,Natal/RN,Pix,Concluido\n"
+                                           "TRX1,2025-01-02,CLI1,Bola,Esporte,2.00,1.0,Natal/RN,Pix,Concluido\n")
+    (d / "part-b.csv").write_text(header + "TRX1,2025-01-02,CLI1,Bola,Esporte,3.00,1.0,Natal/RN,Pix,Concluido\n"
+                                           "TRX2,2025-01-02,CLI1,Bola,Esporte,4.00,1.0,Natal/RN,Pix,Concluido\n")
+    kept = C.dedupe_keep_first(read_raw_sales_csv(spark, str(d)))
+    assert {r["ID_Transacao"]: r["Valor_Unitario"] for r in kept.collect()} == {"TRX1": "1.00", "TRX2": "4.00"}

@@ -34,6 +34,7 @@ def test_exact_quantiles_literal_and_numpy(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (10.0,)], "x double")
     q = {r["prob"]: r["valor"] for r in exact_quantiles(df, ["x"], [0.25, 0.5, 0.75]).collect()}
     assert q == {0.25: 1.75, 0.5: 3.0, 0.75: 5.5}
+    assert df.agg(F.stddev_samp("x")).first()[0] == 4.031128874149275
     rnd = np.random.default_rng(3)
     vals = np.concatenate([rnd.integers(0, 1000, 3000), np.full(2000, 77)]).astype(float)  # a hot value
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
