@@ -49,7 +49,14 @@ def _keep_first(df: DataFrame, partition: list[str]) -> DataFrame:
 
 
 def dedupe_rows(df: DataFrame) -> DataFrame:
-    """Drop rows repeated in every visible column (first copy kept)."""
+    """Drop rows repeated in every visible column (first copy kept).
+
+    With an input ordinal the first copy (and its ordinal) is kept; without
+    one the copies are indistinguishable, so a hash aggregate with map-side
+    combine (dropDuplicates) gives the same rows without a sort.
+    """
+    if ORDINAL not in df.columns:
+        return df.dropDuplicates()
     return _keep_first(df, _visible(df))
 
 

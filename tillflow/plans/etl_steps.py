@@ -27,7 +27,7 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedupe_rows(spark, sf_dir):
     """Raw records without exact repeats."""
-    return _raw(spark, sf_dir).transform(C.dedupe_rows).select(*RAW_COLUMNS)
+    return _raw(spark, sf_dir).select(*RAW_COLUMNS).transform(C.dedupe_rows)
 
 
 def dedupe_keep_first(spark, sf_dir):
