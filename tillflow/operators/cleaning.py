@@ -171,10 +171,20 @@ def clean_sales(raw: DataFrame, stage: Callable[[DataFrame], DataFrame] | None =
     to the shared checkpoint folder) so that the median job and the final
     job read them instead of recomputing the upstream joins.
     """
-    keyed = raw.transform(dedupe_keep_first).transform(drop_null_keys).drop(ORDINAL)
-    parsed = keyed.transform(row_local_cleaning)
+    parsed = parse_stage(raw)
     if stage is not None:
         parsed = stage(parsed)
-    filled = parsed.transform(impute_median).transform(to_int)
+    return finish_clean(parsed, median_of(parsed, "Quantidade"))
+
+
+def parse_stage(raw: DataFrame) -> DataFrame:
+    """C2 + C3 + the row-local steps C6-C11: the rows the median is taken over."""
+    keyed = raw.transform(dedupe_keep_first).transform(drop_null_keys).drop(ORDINAL)
+    return keyed.transform(row_local_cleaning)
+
+
+def finish_clean(parsed: DataFrame, median: float | None) -> DataFrame:
+    """C4 (given the median) + C5, C12, C13 over de-duplicated, parsed rows (row-local)."""
+    filled = parsed.transform(lambda d: impute_median(d, median=median)).transform(to_int)
     cleaned = filled.transform(drop_bad_dates).transform(derive_revenue)
     return cleaned.select(*CLEAN_COLUMNS)

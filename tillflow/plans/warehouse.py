@@ -1,9 +1,16 @@
 """The ETL job: raw sales -> clean rows -> star schema, written as tables.
 
-Like the reference (clean once, load a database, query it many times) the
-star schema is materialised once per source and session and the report jobs
-read the written tables. Tables go to the shared folder named by
-`spark.checkpoint.dir`, which survives executor loss.
+Like the reference (clean once, load a database, query it from the report,
+statistics and dashboard jobs) the raw records and the star schema are
+materialised once and the queries read the written tables. Tables go to the
+shared folder named by `spark.checkpoint.dir`, which survives executor loss.
+
+Reuse: within a session the built star is kept in memory. Across sessions it
+is found again through a small pointer file in the shared folder, keyed by
+the source files (path, size, modification time) and by a hash of this
+package's code, so a changed input or a changed job never reuses old tables.
+Sources whose files cannot be inspected (remote storage) are rebuilt per
+session.
 
 Layout: the fact is sorted by sale date inside each file, so date filters
 skip row groups through Parquet min/max statistics without another shuffle.
@@ -13,13 +20,15 @@ from __future__ import annotations
 
 import hashlib
 import os
+import pathlib
 import threading
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from tillflow.operators.cleaning import clean_sales
+from tillflow.operators.cleaning import finish_clean, median_of, parse_stage
 from tillflow.operators.modelling import dim_customers, dim_products, enriched_sales, fact_sales
 from tillflow.session import ensure_checkpoint_dir, scratch_path
 from tillflow.sources.dirty import dirty_sales
@@ -44,22 +53,6 @@ class Star:
         return enriched_sales(self.fact, self.products, self.n_products)
 
 
-_LOCK = threading.Lock()
-_BUILT: dict[tuple, Star] = {}
-
-
-def _signature(sf_dir: str) -> tuple:
-    sig = []
-    for t in SOURCE_TABLES:
-        p = table_path(sf_dir, t)
-        try:
-            st = os.stat(p)
-            sig.append((t, st.st_size, int(st.st_mtime)))
-        except OSError:  # remote storage: key on the path only
-            sig.append((t, p))
-    return tuple(sig)
-
-
 def build_star(spark: SparkSession, raw: DataFrame, location: str) -> Star:
     """Run the cleaning and modelling jobs on `raw`, writing the tables under `location`.
 
@@ -68,13 +61,9 @@ def build_star(spark: SparkSession, raw: DataFrame, location: str) -> Star:
     The clean rows themselves are a row-local step over the parsed table
     (median fill, date filter, revenue), so they are not written twice.
     """
-    staged: dict[str, DataFrame] = {}
-
-    def stage(df: DataFrame) -> DataFrame:
-        staged["parsed"] = write_table(df, f"{location}/parsed")
-        return staged["parsed"]
-
-    clean = clean_sales(raw, stage)
+    parsed = write_table(parse_stage(raw), f"{location}/parsed")
+    median = median_of(parsed, "Quantidade")
+    clean = finish_clean(parsed, median)
     products, n_products = dim_products(clean)
     products = write_table(products.coalesce(1) if n_products <= 1_000_000 else products,
                            f"{location}/products")
@@ -83,46 +72,154 @@ def build_star(spark: SparkSession, raw: DataFrame, location: str) -> Star:
     fact = write_table(fact_sales(clean, products, n_products), f"{location}/fact",
                        date_col="Data_Venda")
     star = Star(location, clean, customers, products, fact, n_products)
-    star.memo["parsed"] = staged["parsed"]
+    star.memo.update(parsed=parsed, median=median)
+    return star
+
+
+def open_star(spark: SparkSession, location: str, n_products: int, median: float | None) -> Star:
+    """A star written by build_star, read back."""
+    read = spark.read.parquet
+    parsed = read(f"{location}/parsed")
+    star = Star(location, finish_clean(parsed, median), read(f"{location}/customers"),
+                read(f"{location}/products"), read(f"{location}/fact"), n_products)
+    star.memo.update(parsed=parsed, median=median)
     return star
 
 
+# ------------------------------------------------------------------ reuse
+
+_LOCK = threading.Lock()
+_BUILT: dict[tuple, Star] = {}
 _RAW: dict[tuple, DataFrame] = {}
 
+_POINTER_SCHEMA = T.StructType([T.StructField("location", T.StringType()),
+                                T.StructField("n_products", T.LongType()),
+                                T.StructField("median", T.DoubleType())])
 
-def _key(spark: SparkSession, sf_dir: str) -> tuple:
-    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _signature(sf_dir))
+
+def _signature(sf_dir: str) -> tuple[tuple, bool]:
+    """(source signature, whether it pins the content: every file could be inspected)."""
+    sig, stable = [], True
+    for t in SOURCE_TABLES:
+        p = table_path(sf_dir, t)
+        try:
+            st = os.stat(p)
+            sig.append((t, st.st_size, int(st.st_mtime)))
+        except OSError:  # remote storage: key on the path only
+            sig.append((t, p))
+            stable = False
+    return tuple(sig), stable
+
+
+def _code_version() -> str:
+    root = pathlib.Path(__file__).resolve().parents[1]
+    h = hashlib.sha1()
+    for p in sorted(root.rglob("*.py")):
+        h.update(p.read_bytes())
+    return h.hexdigest()[:12]
+
+
+_CODE = _code_version()
+
+
+def _key(sf_dir: str) -> tuple[tuple, bool]:
+    sig, stable = _signature(sf_dir)
+    return (os.path.abspath(sf_dir), sig, _CODE), stable
+
+
+def _tag(key: tuple) -> str:
+    return hashlib.sha1(repr(key).encode()).hexdigest()[:16]
+
+
+def _shared_root(spark: SparkSession) -> str | None:
+    """The cluster's shared folder: the spark.checkpoint.dir setting itself."""
+    conf = spark.conf.get("spark.checkpoint.dir", None) or \
+        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return f"{conf.rstrip('/')}/tillflow-warehouse" if conf else None
 
 
 def _location(spark: SparkSession, key: tuple, kind: str) -> str:
-    tag = hashlib.sha1(repr(key).encode()).hexdigest()[:12]
-    return scratch_path(spark, f"{kind}-{tag}-{uuid.uuid4().hex[:8]}")
+    root = _shared_root(spark)
+    name = f"{kind}-{_tag(key)}-{uuid.uuid4().hex[:8]}"
+    return f"{root}/{name}" if root else scratch_path(spark, name)
+
+
+def _pointer(spark: SparkSession, kind: str, key: tuple, stable: bool) -> str | None:
+    root = _shared_root(spark)
+    return f"{root}/{kind}-{_tag(key)}.pointer" if (root and stable) else None
+
+
+def _read_pointer(spark: SparkSession, path: str | None):
+    if path is None:
+        return None
+    try:
+        rows = spark.read.schema(_POINTER_SCHEMA).json(path).collect()  # one small row
+        return rows[0] if rows else None
+    except Exception:  # no pointer yet: build
+        return None
+
+
+def _write_pointer(spark: SparkSession, path: str | None, location: str, n_products: int = 0,
+                   median: float | None = None) -> None:
+    """Written last, after every table of the build: a pointer always names complete tables."""
+    if path is not None:
+        spark.createDataFrame([(location, n_products, median)], _POINTER_SCHEMA) \
+            .coalesce(1).write.mode("overwrite").json(path)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw sales records of sf_dir (with `_ord`), landed once per session.
+    """The raw sales records of sf_dir (with `_ord`), landed once.
 
     In the reference the raw data is a file that every run reads; here the
     raw view over the driver tables is written once to the shared folder and
     read by the cleaning job and by the per-operator queries.
     """
     ensure_checkpoint_dir(spark)
-    key = _key(spark, sf_dir)
+    key, stable = _key(sf_dir)
+    session_key = (spark.sparkContext.applicationId, key)
     with _LOCK:
-        if key not in _RAW:
-            _RAW[key] = write_table(dirty_sales(spark, sf_dir), _location(spark, key, "raw"))
-        return _RAW[key]
+        if session_key not in _RAW:
+            pointer = _pointer(spark, "raw", key, stable)
+            found = _read_pointer(spark, pointer)
+            df = None
+            if found is not None:
+                try:
+                    df = spark.read.parquet(found["location"])
+                except Exception:  # tables gone: land again
+                    df = None
+            if df is None:
+                location = _location(spark, key, "raw")
+                df = write_table(dirty_sales(spark, sf_dir), location)
+                _write_pointer(spark, pointer, location)
+            _RAW[session_key] = df
+        return _RAW[session_key]
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    """The star schema of the driver tables under sf_dir, built once per session."""
+    """The star schema of the driver tables under sf_dir, built once (see the module doc)."""
     ensure_checkpoint_dir(spark)
-    key = _key(spark, sf_dir)
+    key, stable = _key(sf_dir)
+    session_key = (spark.sparkContext.applicationId, key)
+    if session_key in _BUILT:
+        return _BUILT[session_key]
     source = raw(spark, sf_dir)
     with _LOCK:
-        if key not in _BUILT:
-            _BUILT[key] = build_star(spark, source, _location(spark, key, "star"))
-        return _BUILT[key]
+        if session_key not in _BUILT:
+            pointer = _pointer(spark, "star", key, stable)
+            found = _read_pointer(spark, pointer)
+            built = None
+            if found is not None:
+                try:
+                    built = open_star(spark, found["location"], int(found["n_products"]),
+                                      found["median"])
+                except Exception:  # tables gone: build again
+                    built = None
+            if built is None:
+                built = build_star(spark, source, _location(spark, key, "star"))
+                _write_pointer(spark, pointer, built.location, built.n_products,
+                               built.memo["median"])
+            _BUILT[session_key] = built
+        return _BUILT[session_key]
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
