@@ -39,7 +39,11 @@ def enriched_pd(star):
 
 def test_numeric_stats_and_outliers_vs_pandas(spark, star_fixture):
     pdf = enriched_pd(star_fixture)
-    stats = {r["coluna"]: r for r in profile.numeric_stats(star_fixture).collect()}
+    stats = {r["coluna"]: r for r in profile.numeric_stats_by_column(star_fixture).collect()}
+    wide = {r["estatistica"]: r for r in profile.numeric_stats(star_fixture).collect()}
+    assert list(wide) == list(profile.NUMERIC_STAT_LABELS)
+    assert wide["50%"]["Faturamento"] == stats["Faturamento"]["q50"]
+    assert wide["count"]["Quantidade"] == float(stats["Quantidade"]["contagem"])
     for c in profile.NUMERIC_COLS:
         s = pdf[c].dropna()
         assert stats[c]["contagem"] == len(s)
@@ -69,7 +73,10 @@ def test_numeric_stats_and_outliers_vs_pandas(spark, star_fixture):
 
 def test_categorical_correlation_profile(spark, star_fixture):
     pdf = enriched_pd(star_fixture)
-    cats = {r["coluna"]: r for r in profile.categorical_stats(star_fixture).collect()}
+    cats = {r["coluna"]: r for r in profile.categorical_stats_by_column(star_fixture).collect()}
+    wide = {r["estatistica"]: r for r in profile.categorical_stats(star_fixture).collect()}
+    assert wide["top"]["Estado"] == cats["Estado"]["moda"]
+    assert wide["freq"]["Estado"] == str(cats["Estado"]["frequencia_moda"])
     for c in profile.CATEGORICAL_COLS:
         vc = pdf[c].value_counts()
         assert cats[c]["unicos"] == pdf[c].nunique() and cats[c]["frequencia_moda"] == vc.iloc[0]

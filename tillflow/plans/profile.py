@@ -32,7 +32,43 @@ def _rows(one_row: DataFrame, structs: list[Column]) -> DataFrame:
     return one_row.select(F.inline(F.array(*structs)))
 
 
+# The row labels of the two describe reports, in order.
+NUMERIC_STAT_LABELS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
+CATEGORICAL_STAT_LABELS = ("count", "unique", "top", "freq")
+_NUMERIC_FIELDS = ("contagem", "media", "desvio_padrao", "minimo", "q25", "q50", "q75", "maximo")
+_CATEGORICAL_FIELDS = ("contagem", "unicos", "moda", "frequencia_moda")
+
+
+def _stat_by_column_layout(by_col: DataFrame, fields, labels, columns, value_type: str) -> DataFrame:
+    """One row per statistic, one column per profiled column (the describe layout).
+
+    The input has one row per profiled column; the result is a pivot of a
+    handful of rows (statistics x columns), with the pivot values given.
+    """
+    label = F.create_map(*[x for f, lab in zip(fields, labels) for x in (F.lit(f), F.lit(lab))])
+    long = by_col.select(COL, *[F.col(f).cast(value_type).alias(f) for f in fields]) \
+        .unpivot(COL, list(fields), "_campo", "_valor") \
+        .withColumn("estatistica", label[F.col("_campo")])
+    order = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(lab), F.lit(i))])
+    wide = long.groupBy("estatistica").pivot(COL, list(columns)).agg(F.first("_valor"))
+    return wide.orderBy(order[F.col("estatistica")]).select("estatistica", *columns)
+
+
 def numeric_stats(s: Star) -> DataFrame:
+    """E1 in the describe layout: rows count, mean, std, min, 25%, 50%, 75%, max;
+    one DOUBLE column per numeric variable (count as a number, like describe)."""
+    return _stat_by_column_layout(numeric_stats_by_column(s), _NUMERIC_FIELDS,
+                                  NUMERIC_STAT_LABELS, NUMERIC_COLS, "double")
+
+
+def categorical_stats(s: Star) -> DataFrame:
+    """E2 in the describe layout: rows count, unique, top, freq; one text column per
+    categorical variable (the report mixes numbers and the mode)."""
+    return _stat_by_column_layout(categorical_stats_by_column(s), _CATEGORICAL_FIELDS,
+                                  CATEGORICAL_STAT_LABELS, CATEGORICAL_COLS, "string")
+
+
+def numeric_stats_by_column(s: Star) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max per numeric column (rounded to 2).
 
     One aggregate pass for the moments and extremes; exact quartiles from the
@@ -61,7 +97,7 @@ def numeric_stats(s: Star) -> DataFrame:
                         *[v.alias(k) for k, v in quart.items()], "maximo")
 
 
-def categorical_stats(s: Star) -> DataFrame:
+def categorical_stats_by_column(s: Star) -> DataFrame:
     """Non-null count, distinct values, mode (ties -> smallest value) and its frequency."""
     df = s.enriched().select(*CATEGORICAL_COLS)
     long = df.unpivot([], list(CATEGORICAL_COLS), COL, "valor").where(F.col("valor").isNotNull())
