@@ -20,6 +20,8 @@ def one(spark, expr, value, ddl="x string"):
     ("aspirador de pó", "Aspirador De Pó"),
     ("SÃO PAULO", "São Paulo"),
     ("5-LOW", "5-Low"),
+    ("中abc", "中Abc"),
+    ("1ªvez", "1ªvez"),
     ("", ""),
     (None, None),
 ])

@@ -49,7 +49,7 @@ def test_currency_both_formats(spark, values):
     assert got == [Decimal(c).scaleb(-2).quantize(Decimal("0.000001")) for c in values]
 
 
-alphabet = st.sampled_from(list("abcXYZáÉçÃõß-/' \t5.9,_"))
+alphabet = st.sampled_from(list("abcXYZáÉçÃõß-/' \t5.9,_中ªǅ"))
 
 
 @settings(max_examples=10, deadline=None)
