@@ -36,3 +36,18 @@ def test_runner_exports_one_csv_per_query(spark):
     paths = run_reports(spark, SF, out, ["status_distribution", "monthly_revenue"])
     got = spark.read.option("header", True).csv(paths["status_distribution"])
     assert set(got.columns) == {"Status_Pedido", "qtd", "pct"} and got.count() > 0
+
+
+def test_star_pointer_round_trip(spark, star_small):
+    from tillflow.plans import warehouse as W
+    path = scratch_path(spark, f"ptr-{uuid.uuid4().hex[:8]}")
+    rows = star_small.fact.count()
+    W._write_pointer(spark, path, star_small.location, rows, star_small.n_products,
+                     star_small.memo["median"])
+    found = W._read_pointer(spark, path)
+    assert (found["location"], found["rows"], found["n_products"]) == \
+        (star_small.location, rows, star_small.n_products)
+    again = W.open_star(spark, found["location"], found["n_products"], found["median"])
+    assert again.clean.exceptAll(star_small.clean).count() == 0
+    assert again.fact.count() == rows
+    assert W._read_pointer(spark, path + "-missing") is None

@@ -94,7 +94,8 @@ _RAW: dict[tuple, DataFrame] = {}
 
 _POINTER_SCHEMA = T.StructType([T.StructField("location", T.StringType()),
                                 T.StructField("n_products", T.LongType()),
-                                T.StructField("median", T.DoubleType())])
+                                T.StructField("median", T.DoubleType()),
+                                T.StructField("rows", T.LongType())])
 
 
 def _signature(sf_dir: str) -> tuple[tuple, bool]:
@@ -159,11 +160,13 @@ def _read_pointer(spark: SparkSession, path: str | None):
         return None
 
 
-def _write_pointer(spark: SparkSession, path: str | None, location: str, n_products: int = 0,
-                   median: float | None = None) -> None:
-    """Written last, after every table of the build: a pointer always names complete tables."""
+def _write_pointer(spark: SparkSession, path: str | None, location: str, rows: int,
+                   n_products: int = 0, median: float | None = None) -> None:
+    """Written last, after every table of the build: a pointer always names complete
+    tables. `rows` (of the raw table / the fact) is checked when the tables are reopened,
+    so files lost since then mean a rebuild, never a silently smaller table."""
     if path is not None:
-        spark.createDataFrame([(location, n_products, median)], _POINTER_SCHEMA) \
+        spark.createDataFrame([(location, n_products, median, rows)], _POINTER_SCHEMA) \
             .coalesce(1).write.mode("overwrite").json(path)
 
 
@@ -185,12 +188,15 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             if found is not None:
                 try:
                     df = spark.read.parquet(found["location"])
+                    if df.count() != found["rows"]:  # footer-only count
+                        df = None
                 except Exception:  # tables gone: land again
                     df = None
             if df is None:
                 location = _location(spark, key, "raw")
                 df = write_table(dirty_sales(spark, sf_dir), location)
-                _write_pointer(spark, pointer, location)
+                if pointer is not None:
+                    _write_pointer(spark, pointer, location, df.count())
             _RAW[session_key] = df
         return _RAW[session_key]
 
@@ -212,12 +218,15 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
                 try:
                     built = open_star(spark, found["location"], int(found["n_products"]),
                                       found["median"])
+                    if built.fact.count() != found["rows"]:  # footer-only count
+                        built = None
                 except Exception:  # tables gone: build again
                     built = None
             if built is None:
                 built = build_star(spark, source, _location(spark, key, "star"))
-                _write_pointer(spark, pointer, built.location, built.n_products,
-                               built.memo["median"])
+                if pointer is not None:
+                    _write_pointer(spark, pointer, built.location, built.fact.count(),
+                                   built.n_products, built.memo["median"])
             _BUILT[session_key] = built
         return _BUILT[session_key]
 
