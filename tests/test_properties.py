@@ -58,3 +58,16 @@ def test_title_case_equals_python_title(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(title_case("t")).collect()]
     assert got == [t.title() for t in texts]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text(alphabet, max_size=20), min_size=1, max_size=50))
+def test_oracle_title_case_equals_python_title(texts):
+    import duckdb
+
+    from tillflow import oracle
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (i INTEGER, x VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(texts)))
+    got = [r[0] for r in con.sql(f"SELECT {oracle.title('x')} FROM t ORDER BY i").fetchall()]
+    assert got == [t.title() for t in texts]
