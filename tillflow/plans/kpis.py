@@ -77,15 +77,23 @@ def filtered_sales_report(s: Star, p: KpiParams = DEMO) -> DataFrame:
 
 def customer_lifecycle(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """D1 + D2: per customer last purchase, recency vs the last sale of the full
-    history, and whether they bought before / on-or-after the cut."""
-    df = s.enriched()
-    last_day = df.agg(F.max("Data_Venda")).scalar()
-    return df.groupBy("ID_Cliente").agg(
-        F.max("Data_Venda").alias("ultima_compra"),
-        F.bool_or(F.col("Data_Venda") < F.lit(p.cut)).alias("comprou_h1"),
-        F.bool_or(F.col("Data_Venda") >= F.lit(p.cut)).alias("comprou_h2"),
-    ).withColumn("recencia_dias", F.datediff(last_day, F.col("ultima_compra"))) \
-        .select("ID_Cliente", "ultima_compra", "recencia_dias", "comprou_h1", "comprou_h2")
+    history, and whether they bought before / on-or-after the cut.
+
+    Independent of the dashboard filters, so it is computed once per star and
+    cut and checkpointed; churn, retention and the KPI strings read it.
+    """
+    key = ("lifecycle", p.cut)
+    if key not in s.memo:
+        df = s.enriched()
+        last_day = df.agg(F.max("Data_Venda")).scalar()
+        s.memo[key] = df.groupBy("ID_Cliente").agg(
+            F.max("Data_Venda").alias("ultima_compra"),
+            F.bool_or(F.col("Data_Venda") < F.lit(p.cut)).alias("comprou_h1"),
+            F.bool_or(F.col("Data_Venda") >= F.lit(p.cut)).alias("comprou_h2"),
+        ).withColumn("recencia_dias", F.datediff(last_day, F.col("ultima_compra"))) \
+            .select("ID_Cliente", "ultima_compra", "recencia_dias", "comprou_h1", "comprou_h2") \
+            .checkpoint(eager=True)
+    return s.memo[key]
 
 
 def filter_domains(s: Star) -> DataFrame:
