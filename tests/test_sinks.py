@@ -51,3 +51,12 @@ def test_star_pointer_round_trip(spark, star_small):
     assert again.clean.exceptAll(star_small.clean).count() == 0
     assert again.fact.count() == rows
     assert W._read_pointer(spark, path + "-missing") is None
+
+
+def test_write_table_registers_catalog_table(spark, star_small):
+    name = f"fact_{uuid.uuid4().hex[:8]}"
+    path = scratch_path(spark, name)
+    back = write_table(star_small.products, path, table=name)
+    assert spark.catalog.tableExists(name)
+    assert back.count() == star_small.products.count() == spark.table(name).count()
+    spark.sql(f"DROP TABLE {name}")  # external table: the files stay in the shared folder
