@@ -78,3 +78,17 @@ def test_keep_first_across_several_files(spark, tmp_path):
                                            "TRX2,2025-01-02,CLI1,Bola,Esporte,4.00,1.0,Natal/RN,Pix,Concluido\n")
     kept = C.dedupe_keep_first(read_raw_sales_csv(spark, str(d)))
     assert {r["ID_Transacao"]: r["Valor_Unitario"] for r in kept.collect()} == {"TRX1": "1.00", "TRX2": "4.00"}
+
+
+def test_location_function_and_staged_operator_agree(spark):
+    from tillflow.functions.location import parse_location
+    from tillflow.plans import warehouse
+    raw = warehouse.raw(spark, "/root/testdata/sf0.001").select("ID_Transacao", "Localidade_Venda")
+    extra = spark.createDataFrame([("X1", "SÃO PAULO - sp"), ("X2", "Recife"), ("X3", None),
+                                   ("X4", " a/b/c/d "), ("X5", "CORTA-VENTO - SP")], raw.schema)
+    df = raw.unionByName(extra)
+    loc = parse_location(F.col("Localidade_Venda"))
+    a = df.select("ID_Transacao", loc["Cidade"].alias("Cidade"), loc["Estado"].alias("Estado"),
+                  loc["Pais"].alias("Pais"))
+    b = df.transform(C.split_location).select("ID_Transacao", "Cidade", "Estado", "Pais")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
