@@ -92,3 +92,15 @@ def test_location_function_and_staged_operator_agree(spark):
                   loc["Pais"].alias("Pais"))
     b = df.transform(C.split_location).select("ID_Transacao", "Cidade", "Estado", "Pais")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_lazy_cleaning_equals_staged_warehouse_build(spark, star_small):
+    from tillflow.plans import warehouse
+    raw = warehouse.raw(spark, "/root/testdata/sf0.001")
+    lazy = C.clean_sales(raw)
+    assert lazy.exceptAll(star_small.clean).count() == 0
+    assert star_small.clean.exceptAll(lazy).count() == 0
+    visible = [c for c in raw.columns if c != "_ord"]
+    with_ord = raw.transform(C.dedupe_rows).select(*visible)
+    without = raw.select(*visible).transform(C.dedupe_rows)
+    assert with_ord.exceptAll(without).count() == 0 and without.exceptAll(with_ord).count() == 0
