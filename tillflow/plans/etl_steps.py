@@ -25,23 +25,23 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.raw(spark, sf_dir)
 
 
-def dedupe_rows(spark, sf_dir):
+def dedupe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records without exact repeats."""
     return _raw(spark, sf_dir).select(*RAW_COLUMNS).transform(C.dedupe_rows)
 
 
-def dedupe_keep_first(spark, sf_dir):
+def dedupe_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First raw record of every transaction id."""
     return _raw(spark, sf_dir).transform(C.dedupe_keep_first).select(*RAW_COLUMNS)
 
 
-def drop_null_keys(spark, sf_dir):
+def drop_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """De-duplicated records that have customer and transaction ids."""
     return (_raw(spark, sf_dir).transform(C.dedupe_keep_first).transform(C.drop_null_keys)
             .select(*RAW_COLUMNS))
 
 
-def impute_median(spark, sf_dir):
+def impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C4 (+C5): quantity filled with the exact median of the C1-C3 rows, then truncated.
 
     Reads the ETL's staged rows (C1-C3 done, row-local parsing only, the
@@ -52,52 +52,52 @@ def impute_median(spark, sf_dir):
     return filled.select("ID_Transacao", F.col("Quantidade"))
 
 
-def impute_constant(spark, sf_dir):
+def impute_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing payment method -> 'Nao Informado' (per raw record)."""
     return _raw(spark, sf_dir).transform(C.impute_constant).select("ID_Transacao", "Metodo_Pagamento")
 
 
-def parse_dates(spark, sf_dir):
+def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Date text -> DATE by the first matching format (per raw record)."""
     raw = _raw(spark, sf_dir)
     return raw.select("ID_Transacao", F.col("Data_Venda").alias("Data_Venda_texto"),
                       C.parse_multi_format_date(F.col("Data_Venda")).alias("Data_Venda"))
 
 
-def parse_currency(spark, sf_dir):
+def parse_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price text -> number (per raw record)."""
     raw = _raw(spark, sf_dir)
     return raw.select("ID_Transacao", F.col("Valor_Unitario").alias("Valor_Unitario_texto"),
                       price_out(C.parse_currency(F.col("Valor_Unitario"))).alias("Valor_Unitario"))
 
 
-def normalize_text(spark, sf_dir):
+def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C9 + C10: strip + title case of category, method, status; strip of product name."""
     raw = _raw(spark, sf_dir).transform(C.normalize_text).transform(C.trim_text)
     return raw.select("ID_Transacao", "Nome_Produto", *C.TITLE_COLUMNS)
 
 
-def parse_location(spark, sf_dir):
+def parse_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C11: location text -> city, state, country (per raw record)."""
     raw = _raw(spark, sf_dir).select("ID_Transacao", "Localidade_Venda")
     return raw.withColumn("_src", F.col("Localidade_Venda")) \
         .transform(lambda d: C.split_location(d, "_src"))
 
 
-def drop_bad_dates(spark, sf_dir):
+def drop_bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records whose date parses, with the parsed date."""
     return (_raw(spark, sf_dir).transform(C.parse_dates).transform(C.drop_bad_dates)
             .select("ID_Transacao", "Data_Venda"))
 
 
-def derive_revenue(spark, sf_dir):
+def derive_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue of every clean sale."""
     clean = warehouse.star(spark, sf_dir).clean
     return clean.select("ID_Transacao", price_out("Valor_Unitario").alias("Valor_Unitario"),
                         "Quantidade", money_out("Faturamento").alias("Faturamento"))
 
 
-def clean_sales(spark, sf_dir):
+def clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole cleaning job's output (13 columns)."""
     clean = warehouse.star(spark, sf_dir).clean
     return clean.select(*[price_out(c).alias(c) if c == "Valor_Unitario"
@@ -105,7 +105,7 @@ def clean_sales(spark, sf_dir):
                           for c in C.CLEAN_COLUMNS])
 
 
-def etl_audit(spark, sf_dir):
+def etl_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows, clean rows, customers, products, sales and unparsable prices."""
     s = warehouse.star(spark, sf_dir)
     one = F.count(F.lit(1))
@@ -119,17 +119,17 @@ def etl_audit(spark, sf_dir):
     )
 
 
-def dim_customers(spark, sf_dir):
+def dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1: customer dimension, in id order."""
     return warehouse.star(spark, sf_dir).customers.orderBy("ID_Cliente")
 
 
-def dim_products(spark, sf_dir):
+def dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2 + M3: product dimension with dense surrogate keys, in key order."""
     return warehouse.star(spark, sf_dir).products.orderBy("ID_Produto")
 
 
-def fact_sales(spark, sf_dir):
+def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4 + M5: sales fact (12 columns)."""
     fact = warehouse.star(spark, sf_dir).fact
     return fact.select(*[price_out(c).alias(c) if c == "Valor_Unitario"
@@ -137,7 +137,7 @@ def fact_sales(spark, sf_dir):
                          for c in fact.columns])
 
 
-def enriched_sales(spark, sf_dir):
+def enriched_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact joined to products (fact columns + product name and category)."""
     e = warehouse.enriched(spark, sf_dir)
     return e.select(*[price_out(c).alias(c) if c == "Valor_Unitario"
