@@ -71,3 +71,22 @@ def test_oracle_title_case_equals_python_title(texts):
     con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(texts)))
     got = [r[0] for r in con.sql(f"SELECT {oracle.title('x')} FROM t ORDER BY i").fetchall()]
     assert got == [t.title() for t in texts]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-50, 50)), min_size=1, max_size=400),
+       st.lists(st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]), min_size=1, max_size=4,
+                unique=True))
+def test_exact_quantiles_match_numpy_on_both_paths(spark, values, probs):
+    import numpy as np
+
+    from tillflow.operators.quantiles import exact_quantiles
+    df = spark.createDataFrame([(None if v is None else float(v),) for v in values], "x double")
+    present = np.array([v for v in values if v is not None], dtype=float)
+    for parts in (3, None):  # range layout, then the checked small-histogram window
+        got = {r["prob"]: r["valor"] for r in exact_quantiles(df, ["x"], probs, num_partitions=parts).collect()}
+        for p in probs:
+            if len(present) == 0:
+                assert got[p] is None
+            else:
+                assert abs(got[p] - np.percentile(present, p * 100)) < 1e-9
