@@ -88,7 +88,8 @@ def scan_versions(rows: DataFrame, ledger_path: str, key: str = "doc_id", text:
     counts = paths.groupBy("blob").agg(F.count("*").alias("n"), F.min("k").alias("first"))
     listed = written(counts.join(known, "blob", "left").where("n > 1 OR seen").select(
         F.col("blob").alias("b"), "first", F.coalesce("seen", F.lit(False)).alias("seen")), "listed")
-    unseen = held.join(listed, F.col("blob") == F.col("b"), "left").where(
+    # always a merge join: the listed blobs grow with the corpus
+    unseen = held.join(listed.hint("merge"), F.col("blob") == F.col("b"), "left").where(
         F.col("b").isNull() | (~F.col("seen") & F.col("first").eqNullSafe(F.col("k"))))
     fresh = append_columns(unseen.select("blob", "t"), ["t"], f"findings {FINDINGS}", _scanner)
     fresh.select("blob", F.lit(rules).alias("rules"), "findings").write.mode("append").option(
