@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from tillflow.llm.decontaminate import op10_decontaminate
+from tillflow.llm.quality import op2_quality
 from tillflow.llm.secrets import op4_secrets
+from tillflow.llm.toxicity import op7_toxicity
 
 QUERIES = {
+    "op2_quality": op2_quality,
     "op4_secrets": op4_secrets,
+    "op7_toxicity": op7_toxicity,
     "op10_decontaminate": op10_decontaminate,
 }
 
