@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from tillflow.llm.decontaminate import op10_decontaminate
+from tillflow.llm.packing import op6_packing
 from tillflow.llm.quality import op2_quality
 from tillflow.llm.secrets import op4_secrets
 from tillflow.llm.toxicity import op7_toxicity
+from tillflow.llm.urls import op9_url_filter
+from tillflow.llm.warc import op8_warc
 
 QUERIES = {
     "op2_quality": op2_quality,
     "op4_secrets": op4_secrets,
+    "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
+    "op8_warc": op8_warc,
+    "op9_url_filter": op9_url_filter,
     "op10_decontaminate": op10_decontaminate,
 }
 
