@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from tillflow.llm.decontaminate import op10_decontaminate
+from tillflow.llm.embeddings import op3_embeddings
 from tillflow.llm.packing import op6_packing
 from tillflow.llm.quality import op2_quality
 from tillflow.llm.secrets import op4_secrets
+from tillflow.llm.simhash import op1_simhash
 from tillflow.llm.toxicity import op7_toxicity
 from tillflow.llm.urls import op9_url_filter
 from tillflow.llm.warc import op8_warc
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
+    "op3_embeddings": op3_embeddings,
     "op4_secrets": op4_secrets,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
