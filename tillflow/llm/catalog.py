@@ -8,6 +8,7 @@ from tillflow.llm.packing import op6_packing
 from tillflow.llm.quality import op2_quality
 from tillflow.llm.secrets import op4_secrets
 from tillflow.llm.simhash import op1_simhash
+from tillflow.llm.suffix_dedup import op5_suffix_dedup
 from tillflow.llm.toxicity import op7_toxicity
 from tillflow.llm.urls import op9_url_filter
 from tillflow.llm.warc import op8_warc
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_embeddings": op3_embeddings,
     "op4_secrets": op4_secrets,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,

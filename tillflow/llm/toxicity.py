@@ -212,13 +212,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, k
                     text: str = "text") -> DataFrame:
     """(text, y): at most `rows` labelled documents of each class outside the held-out fold.
 
-    Which ones is settled on the labels alone, by key hash, before any text is read.
+    Which ones is settled on the labels alone, by key hash, before any text is
+    read. They are at most 2 * rows keys, so they are broadcast.
     """
     known = (labels.select(F.col(key).alias("k"), F.col(label).alias("y")).where("k IS NOT NULL AND y IS NOT NULL")
              .where(~held_out(F.col("k"))).groupBy("k").agg(F.max("y").cast("int").alias("y")))
     picked = [known.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(rows) for y in (0, 1)]
     chosen = picked[0].unionByName(picked[1])
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(chosen, "k").select(
+    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(chosen), "k").select(
         F.coalesce("t", F.lit("")).alias("t"), "y")
 
 
