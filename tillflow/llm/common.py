@@ -76,6 +76,13 @@ def append_columns(df: DataFrame, inputs: list[str], added: str,
     return out.toDF(*names, *[f.name for f in extra.fields])
 
 
+def hashed_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """At most `rows` rows of df, chosen by the hash of keys; what reaches one task stays near `rows`."""
+    every = max(1, df.count() // max(1, rows))
+    mark = F.xxhash64(*keys)
+    return df.where(F.pmod(mark, F.lit(every)) == 0).orderBy(mark, *keys).limit(rows)
+
+
 def held_out(doc_id):
     """Rows whose labels are never learned from: crc32(doc_id as text) mod 5 = 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -47,13 +47,13 @@ def _digest(edges: DataFrame):
 
 
 def label_components(items: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, label) of every item(node long, name); label is the smallest name in the node's component."""
+    """(node, root, label) of every item(node long, name); label is the smallest name in its component."""
     member = written(connected_components(edges), "members")
     least = member.join(items, "node").groupBy(F.col("root").alias("r")).agg(F.min("name").alias("least"))
     named = written(member.join(written(least, "least"), F.col("root") == F.col("r")).select(
-        F.col("node").alias("m"), "least"), "named")
+        F.col("node").alias("m"), "root", "least"), "named")
     return written(items.join(named, F.col("node") == F.col("m"), "left").select(
-        "node", F.coalesce("least", "name").alias("label")), "labels")
+        "node", F.coalesce("root", "node").alias("root"), F.coalesce("least", "name").alias("label")), "labels")
 
 
 def star_edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import prepare, table, written
+from tillflow.llm.common import hashed_sample, prepare, table, written
 from tillflow.llm.components import label_components, star_edges
 
 THRESHOLD = 0.9
@@ -204,7 +204,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embeddi
     valid = F.coalesce(F.col("dim") == dim, F.lit(False))
     classes = written(rows.where(valid).groupBy("vec").agg(F.count("*").alias("n"), F.min("k").alias("rep")).withColumn(
         "uid", F.monotonically_increasing_id()), "classes")
-    sample = classes.orderBy(F.xxhash64("vec"), "vec").limit(sample_rows).select("vec").collect()
+    sample = hashed_sample(classes.select("vec"), sample_rows, "vec").collect()
     shared = spark.sparkContext.broadcast(ItqModel(
         np.frombuffer(b"".join(bytes(r.vec) for r in sample), np.float64).reshape(-1, dim)))
     keyed = written(hamming_rows(classes, shared), "hamming")

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import held_out, prepare, table, written
+from tillflow.llm.common import hashed_sample, held_out, prepare, table, written
 
 FEATURE_NAMES = ("log_bytes", "upper", "digit", "space", "newline", "other_punct", "stop_punct", "non_ascii",
                  "bar", "bang", "word_len", "long_words", "distinct_words", "top_word", "repeat_next",
@@ -93,7 +93,7 @@ def bin_edges(features: DataFrame, sample_rows: int = 20_000) -> np.ndarray:
 
     The sample only places the edges; every row takes part in the risk.
     """
-    rows = features.orderBy(F.xxhash64("stats")).limit(sample_rows).select("stats").collect()
+    rows = hashed_sample(features.select("stats"), sample_rows, "stats").collect()
     width = len(FEATURE_NAMES)
     if not rows:
         return np.zeros((width, BINS - 1), np.float32)

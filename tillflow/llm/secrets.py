@@ -108,32 +108,38 @@ def _scanner():
     return run
 
 
-def mask_findings(rows: DataFrame, text: str = "text", count: str | None = None, mark: str = "[secret]") -> DataFrame:
-    """Every row with the found spans of its text replaced by a mark (for row-by-row use)."""
-    width = len(rows.columns)
+def mask_secrets(docs: DataFrame, ledger_path: str, key: str = "doc_id", text: str = "text", count: str | None = "n_chars",
+                 mark: str = "[secret]") -> DataFrame:
+    """docs with the spans that scan_versions finds replaced by a mark; `count` follows the text's length."""
+    found = written(scan_versions(docs, ledger_path, key, text).where(F.size("findings") > 0).groupBy(
+        F.col("blob").alias("b")).agg(F.first("findings").alias("found")), "masks")
+    names = docs.columns
+    inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    body = f"c{names.index(text)}"
+    held = versions_of(inner, body).join(found.hint("merge"), F.col("blob") == F.col("b"), "left").drop("blob", "b")
 
     def make():
         def run(cols):
-            return [[masked(t, mark) for t in cols[0]]]
+            return [[masked(t, spans, mark) for t, spans in zip(*cols)]]
         return run
-    out = append_columns(rows, [text], "masked string", make).toDF(*[f"c{i}" for i in range(width + 1)])
-    clean = F.col(f"c{width}")
-    new = {rows.columns.index(text): clean}
-    if count:
-        new[rows.columns.index(count)] = F.when(clean.isNull(), F.col(f"c{rows.columns.index(count)}")).otherwise(
-            F.length(clean)).cast(dict(rows.dtypes)[count])
-    return out.select(*[new.get(i, F.col(f"c{i}")) for i in range(width)]).toDF(*rows.columns)
+    out = append_columns(held, [body, "found"], "masked string", make)
+    new = {body: F.col("masked")}
+    if count in names:
+        c = f"c{names.index(count)}"
+        new[c] = F.when(F.col("found").isNull(), F.col(c)).otherwise(F.length("masked")).cast(dict(docs.dtypes)[count])
+    return out.select(*[new.get(f"c{i}", F.col(f"c{i}")) for i in range(len(names))]).toDF(*names)
 
 
-def masked(text: str | None, mark: str) -> str | None:
-    if not text:
+def masked(text: str | None, findings: list | None, mark: str) -> str | None:
+    """text with the found spans replaced; spans that overlap share one mark."""
+    if not findings or not text:
         return text
     out, last = [], 0
-    for _, s, e in find_secrets(text):
-        if s >= last:
-            out += [text[last:s], mark]
-        last = max(last, e)
-    return "".join([*out, text[last:]]) if last else text
+    for x in findings:
+        if x["start"] >= last:
+            out += [text[last:x["start"]], mark]
+        last = max(last, x["end"])
+    return "".join([*out, text[last:]])
 
 
 def joined(findings: list, kinds=KINDS) -> str:

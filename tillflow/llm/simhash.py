@@ -71,12 +71,13 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """(k, fp) of every row, from its whole text."""
+    """(k, h, fp) of every row: fingerprint of the whole text, and a hash that tells texts of one key apart."""
     def run(batches):
         for b in batches:
-            fp = [fingerprint(shingle_hashes(t, words)) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], names=["k", "fp"])
-    return docs.select(key, text).mapInArrow(run, f"k {dict(docs.dtypes)[key]}, fp long")
+            fp = [fingerprint(shingle_hashes(t, words)) for t in b.column("t").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("k"), b.column("h"), pa.array(fp, pa.int64())], names=["k", "h", "fp"])
+    rows = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
+    return rows.mapInArrow(run, f"k {dict(docs.dtypes)[key]}, h long, fp long")
 
 
 def bucket_keys(radius: int = RADIUS):
@@ -197,12 +198,35 @@ def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, chunk: int = CH
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
                     radius: int = RADIUS) -> DataFrame:
-    """(k, fp, component) of every row; component is the smallest key reachable by links."""
+    """(k, h, fp, root, component) of every row; component is the smallest key reachable by links."""
     rows = written(fingerprints(docs, key, text, words), "fingerprints")
     distinct = written(rows.groupBy("fp").agg(F.min("k").alias("rep")), "distinct")
     labels = label_components(distinct.select(F.col("fp").alias("node"), F.col("rep").alias("name")),
                               link_fingerprints(distinct, radius))
-    return rows.join(labels, F.col("fp") == F.col("node")).select("k", "fp", F.col("label").alias("component"))
+    return rows.join(labels, F.col("fp") == F.col("node")).select("k", "h", "fp", "root", F.col("label").alias("component"))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
+             radius: int = RADIUS) -> DataFrame:
+    """docs with one row of each near-duplicate group: the smallest key (NULL last), then the smallest text hash."""
+    found = written(near_duplicates(docs, key, text, words, radius), "found")
+    first = written(found.groupBy(F.col("root").alias("r")).agg(
+        F.min(F.struct(F.col("k").isNull().alias("none"), "k", "h")).alias("w")), "first")
+    chosen = (F.col("w.k").eqNullSafe(F.col("k"))) & (F.col("w.h") == F.col("h"))
+    rows = found.join(first, F.col("root") == F.col("r")).groupBy("k", "h").agg(
+        F.max(chosen).alias("chosen"), F.count("*").alias("n"))
+    listed = written(rows.where("NOT chosen OR n > 1").select(
+        F.col("k").alias("lk"), F.col("h").alias("lh"), "chosen"), "listed")
+    names = docs.columns
+    inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    k, t = (f"c{names.index(c)}" for c in (key, text))
+    # always a merge join: the dropped rows grow with the corpus
+    marked = inner.withColumn("h", F.xxhash64(t)).join(
+        listed.hint("merge"), F.col(k).eqNullSafe(F.col("lk")) & (F.col("h") == F.col("lh")), "left")
+    kept = marked.where("chosen IS NULL").drop("h", "lk", "lh", "chosen")
+    if not listed.where("chosen").isEmpty():  # a chosen row that occurs repeatedly stays once
+        kept = kept.unionByName(marked.where("chosen").dropDuplicates([k, "h"]).drop("h", "lk", "lh", "chosen"))
+    return kept.toDF(*names)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import append_columns, held_out, prepare, table
+from tillflow.llm.common import append_columns, hashed_sample, held_out, prepare, table
 
 #: Labelled rows used for learning, per class (those with the smallest key hash).
 SAMPLE_ROWS = 10_000
@@ -217,7 +217,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, k
     """
     known = (labels.select(F.col(key).alias("k"), F.col(label).alias("y")).where("k IS NOT NULL AND y IS NOT NULL")
              .where(~held_out(F.col("k"))).groupBy("k").agg(F.max("y").cast("int").alias("y")))
-    picked = [known.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(rows) for y in (0, 1)]
+    picked = [hashed_sample(known.where(F.col("y") == y), rows, "k") for y in (0, 1)]
     chosen = picked[0].unionByName(picked[1])
     return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(chosen), "k").select(
         F.coalesce("t", F.lit("")).alias("t"), "y")
