@@ -18,8 +18,9 @@ as in prefix doubling: equal strings have equal names.
 
 Names that repeat inside one input partition are settled there, and one row
 speaks for them, so a passage that very many documents hold never meets in
-one task. Edges whose gram has very many texts are named in a table of
-windows of their own. Equal documents are one document until the end.
+one task. Edges whose gram has very many texts are settled in chunks, and
+across chunks by a table of the windows left. Equal documents are one
+document until the end.
 
 Names are two independent 64-bit hashes wherever a removal is decided.
 
@@ -45,7 +46,7 @@ LENGTH = 200
 GRAM = 40
 #: Bytes hashed together; longer texts are hashed in overlapping pieces.
 SEGMENT = 1 << 20
-#: Texts of one gram whose windows are compared in one task; beyond it they go through a table of windows.
+#: Texts of one gram in a chunk, if they are too many for one task.
 GROUP = 128
 #: Edge texts whose windows are named together inside a task.
 EDGE_ROWS = 4000
@@ -354,55 +355,75 @@ def window_names(names: Names, bodies: list[bytes], length: int):
     return row, window, *[names.name(i, names.sums(i, buf), start, start + length) for i in (0, 1)]
 
 
-def rank_windows(texts: DataFrame, length: int, group: int = GROUP) -> DataFrame:
-    """Round 3: COVERED ranges of the single windows of edges that occur elsewhere."""
-    few = texts.where(F.col("n") <= group).repartition("gram")
+def repeated_windows(names: Names, rows: list[tuple], length: int, share: bool):
+    """Settle the windows of rows (gram, k1, k2, packed, body) among themselves.
+
+    Yields COVERED ranges of the edges' windows that occur twice. With share,
+    also the rest for a comparison with other rows: windows that occur once
+    (EDGE, or PRESENT for a partner's) and one PRESENT row of each that repeats;
+    gram and f are then the window's names, packed holds its place.
+    """
+    row, window, x, y = window_names(names, [r[4] for r in rows], length)
+    k1, k2, packed = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
+    order = np.lexsort((y, x))
+    new = np.append(True, (x[order][1:] != x[order][:-1]) | (y[order][1:] != y[order][:-1]))
+    many = np.diff(np.append(np.nonzero(new)[0], len(new)))[np.cumsum(new) - 1] > 1
+    again, lead = np.zeros(len(row), bool), np.zeros(len(row), bool)
+    again[order], lead[order] = many, new
+    start = (packed[row] >> 19) - (packed[row] >> 11 & 255) + window
+    edge = (packed[row] & 7) == EDGE
+    at = np.nonzero(again & edge)[0]
+    yield from _ranges(k1[row[at]], k2[row[at]], start[at], start[at] + length)
+    if share:
+        for kind, mask in ((EDGE, ~again & edge), (PRESENT, (again & lead) | (~again & ~edge))):
+            at = np.nonzero(mask)[0]
+            for s, e in _slices(len(at)):
+                i = at[s:e]
+                yield _batch(kind, x[i], y[i], k1[row[i]], k2[row[i]], start[i] << 3)
+
 
+def _settle(length: int, share: bool, *by: str):
+    """mapInArrow function: whole groups of equal `by` columns, some thousand rows at a time."""
     def run(batches):
         names, rows = Names(), []
+        cols = (*by, "k1", "k2", "packed", "body")
         for b in batches:
-            rows += zip(*[b.column(c).to_pylist() for c in ("gram", "k1", "k2", "packed", "body")])
-        rows.sort(key=lambda x: x[:4])
-        rows = [r for i, r in enumerate(rows) if not i or r[:4] != rows[i - 1][:4]]
+            rows += zip(*[b.column(c).to_pylist() for c in cols])
+        rows.sort(key=lambda r: r[:-1])
+        rows = [r for i, r in enumerate(rows) if not i or r[:-1] != rows[i - 1][:-1]]
+        group = lambda i: rows[i][:len(by)]
         at = 0
         while at < len(rows):
-            end = min(len(rows), at + EDGE_ROWS)
-            while end < len(rows) and rows[end][0] == rows[end - 1][0]:
+            end = min(len(rows), at + (1 if share else EDGE_ROWS))
+            while end < len(rows) and group(end) == group(end - 1):
                 end += 1
-            part = rows[at:end]
-            row, window, x, y = window_names(names, [r[4] for r in part], length)
-            order = np.lexsort((y, x))
-            same = (x[order][1:] == x[order][:-1]) & (y[order][1:] == y[order][:-1])
-            again = np.zeros(len(row), bool)
-            again[order[1:][same]] = True
-            again[order[:-1][same]] = True
-            _, k1, k2, packed, _ = (np.array(c) if i < 4 else None for i, c in enumerate(zip(*part)))
-            again &= (packed[row] & 7) == EDGE
-            row, window = row[again], window[again]
-            start = (packed[row] >> 19) - (packed[row] >> 11 & 255) + window
-            yield from _ranges(k1[row], k2[row], start, start + length)
+            yield from repeated_windows(names, [(r[0], *r[-4:]) for r in rows[at:end]], length, share)
             at = end
+    return run
 
-    def spread(batches):
-        names = Names()
-        for b in batches:
-            k1, k2, packed = (b.column(c).to_numpy() for c in ("k1", "k2", "packed"))
-            bodies = b.column("body").to_pylist()
-            for s, e in _slices(len(bodies), 500):
-                row, window, x, y = window_names(names, bodies[s:e], length)
-                i = row + s
-                yield _batch(packed[i] & 7, x, y, k1[i], k2[i], ((packed[i] >> 19) - (packed[i] >> 11 & 255) + window) << 3)
-
-    # one row per window; a window that very many texts hold is a partial aggregate, and the join can be split
-    single = written(texts.where(F.col("n") > group).mapInArrow(spread, RECORD), "windows")
+
+def rank_windows(texts: DataFrame, length: int, group: int = GROUP) -> DataFrame:
+    """Round 3: COVERED ranges of the single windows of edges that occur elsewhere.
+
+    The texts of one gram meet in one task if they are few beside what a task
+    reads anyway. Otherwise they are dealt into chunks: what repeats inside a
+    chunk is settled there and one row speaks for it, and the windows that
+    occur once in their chunk are compared across chunks by name.
+    """
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    most = max(group, texts.count() // max(1, parts) // 4)
+    few = texts.where(F.col("n") <= most).repartition("gram").mapInArrow(_settle(length, False, "gram"), RECORD)
+    chunk = F.pmod(F.xxhash64("k1", "k2", "packed"), F.ceil(F.col("n") / group)).alias("chunk")
+    dealt = texts.where(F.col("n") > most).select("*", chunk).repartition("gram", "chunk")
+    single = written(dealt.mapInArrow(_settle(length, True, "gram", "chunk"), RECORD), "windows")
+    kind = F.col("packed").bitwiseAND(F.lit(7))
     place = F.xxhash64("k1", "k2", F.shiftright("packed", 3))
-    again = written(single.groupBy(F.col("gram").alias("x"), F.col("f").alias("y")).agg(
+    again = written(single.where(kind != COVERED).groupBy(F.col("gram").alias("x"), F.col("f").alias("y")).agg(
         F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("x", "y"), "again")
-    edge = single.where(F.col("packed").bitwiseAND(F.lit(7)) == EDGE)
-    many = edge.join(again, (F.col("gram") == F.col("x")) & (F.col("f") == F.col("y"))).select(
+    many = single.where(kind == EDGE).join(again, (F.col("gram") == F.col("x")) & (F.col("f") == F.col("y"))).select(
         F.shiftright("packed", 3).alias("gram"), (F.shiftright("packed", 3) + length).alias("f"), "k1", "k2",
         F.lit(COVERED).cast("long").alias("packed"))
-    return few.mapInArrow(run, RECORD).unionByName(many)
+    return few.unionByName(single.where(kind == COVERED)).unionByName(many)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
