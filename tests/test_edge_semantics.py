@@ -65,3 +65,37 @@ def test_top_customer_share_uses_rounded_customer_totals(spark):
     got = {r["ID_Cliente"]: (r["faturamento_total"], r["pct_do_faturamento_total"], r["ranking"])
            for r in reports.top_customers(s).collect()}
     assert got == {"C2": (2.01, 66.78, 1), "C1": (1.0, 33.22, 2)}
+
+
+def test_fences_keep_their_decimals(spark):
+    """10.000000 lies below a fence of 10.0000004: the comparison must not cut the fence."""
+    from decimal import Decimal
+
+    from tillflow.plans.profile import _is_outlier
+    df = spark.createDataFrame([(Decimal("10.000000"),), (Decimal("10.000001"),)], "v decimal(18,6)")
+    fence = (None, None, Decimal("10.0000004"), Decimal("20.0000004"))
+    assert [r[0] for r in df.select(_is_outlier("v", fence)).collect()] == [True, False]
+
+
+def test_display_percentages_are_rounded_once(spark):
+    """12.7493 % is 12.7, not 12.75 and then 12.8."""
+    from pyspark.sql import functions as F
+
+    from tillflow.plans.kpis import _percent_or_zero
+    df = spark.createDataFrame([(127493, 1000000)], "a long, b long")
+    assert df.select(F.format_number(_percent_or_zero("a", "b", 1), 1)).first()[0] == "12.7"
+
+
+def test_keep_first_needs_an_order(spark):
+    import pytest
+
+    from tillflow.operators.cleaning import dedupe_keep_first
+    with pytest.raises(ValueError):
+        dedupe_keep_first(spark.createDataFrame([("T1",)], "ID_Transacao string"))
+
+
+def test_product_keys_are_listed_by_number(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("PRD10000",), ("PRD9999",)], "ID_Produto string")
+    by_number = F.substring("ID_Produto", 4, 20).cast("long")
+    assert [r[0] for r in df.orderBy(by_number).collect()] == ["PRD9999", "PRD10000"]

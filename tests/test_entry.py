@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry  # noqa: E402
 from oracle_check import canon  # noqa: E402
+from tillflow.plans import catalog  # noqa: E402
 from tillflow.sources.tables import DRIVER_TABLES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -29,7 +30,13 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_every_sales_query_is_registered_with_an_oracle():
+    names = set(catalog.queries())
+    assert names <= set(entry.queries()) and names == set(catalog.oracle_sql())
+
+
+# the training-data queries have tests of their own
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]

@@ -1,13 +1,17 @@
 """Plan-shape checks: the physical plans keep the properties the design relies on."""
 
 import re
+import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from helpers import raw_df, sale
 from tillflow.operators import cleaning as C
-from tillflow.plans import kpis, reports
+from tillflow.plans import catalog, kpis, reports
+from tillflow.plans.warehouse import build_star
+from tillflow.session import scratch_path
+from tillflow.sources.sinks import write_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,9 +37,9 @@ def test_hot_key_dedupe_and_median(spark):
     assert out.where("ID_Transacao = 'HOT'").first()["Quantidade"] == 1
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_cartesian_or_python_in_plans(spark, name):
-    p = plan(entry.queries()[name](spark, SF))
+    p = plan(catalog.queries()[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
                 "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
         assert bad not in p, f"{name}: {bad}"
@@ -54,8 +58,44 @@ def test_dashboard_filters_reach_the_scan(spark, star_small):
 def test_rfm_quartile_has_no_global_window(spark, star_small):
     p = plan(reports.rfm_customers(star_small))
     assert "Window" not in p and "ntile" not in p.lower()
+    assert "rangepartitioning" not in p  # the index's own layout orders the result: no second sort
+    values = [r["valor_total"] for r in reports.rfm_customers(star_small).collect()]
+    assert values == sorted(values, reverse=True)
 
 
 def test_top_k_uses_take_ordered(spark, star_small):
     assert "TakeOrderedAndProject" in plan(reports.top_customers(star_small))
     assert "WindowGroupLimit" in plan(reports.top_products_by_category(star_small))
+
+
+def test_buyers_are_distinct_before_the_semi_join(spark, star_small):
+    p = plan(kpis.churn_rate(star_small))
+    semi = p[p.index("LeftSemi"):]
+    assert "HashAggregate(keys=[ID_Cliente" in semi
+    # without a category filter the product dimension is not joined
+    assert "ID_Produto" not in p
+
+
+def test_hot_customer(spark):
+    """One customer with most of the sales: the rates count customers, not sales."""
+    rows = [sale(f"H{i}", cust="CLI00001", date="1998-08-01") for i in range(500)]
+    rows += [sale("A", cust="CLI00002", date="1998-01-01"), sale("B", cust="CLI00003", date="1998-08-02")]
+    star = build_star(spark, raw_df(spark, rows), scratch_path(spark, f"hot-{uuid.uuid4().hex}"))
+    assert tuple(kpis.churn_rate(star).first()) == (90, 3, 33.33)
+    assert tuple(kpis.retention_rate(star).first()) == (1, 0.0)
+
+
+def test_fact_files_cover_disjoint_dates(spark, star_small):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # else so small a table is one file
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        fact = write_table(star_small.fact, scratch_path(spark, f"fact-{uuid.uuid4().hex}"),
+                           date_col="Data_Venda", key_col="ID_Transacao")
+    finally:
+        spark.conf.set(key, before)
+    files = fact.groupBy(F.input_file_name().alias("f")).agg(
+        F.min("Data_Venda").alias("a"), F.max("Data_Venda").alias("b")).orderBy("a", "b").collect()
+    assert len(files) > 4
+    assert all(x["b"] <= y["a"] for x, y in zip(files, files[1:]))  # at most a shared day
+    assert fact.exceptAll(star_small.fact).isEmpty()

@@ -23,16 +23,6 @@ def test_div_round_is_half_away_from_zero(spark, rows, scale):
     assert got == want
 
 
-def _plain_price(text):
-    t = text.strip()
-    if t.startswith("R$"):
-        t = t.replace("R$", "").strip().replace(".", "").replace(",", ".")
-    try:
-        return Decimal(t).quantize(Decimal("0.000001"))
-    except Exception:
-        return None
-
-
 cents = st.integers(0, 10**11)
 
 
@@ -45,7 +35,6 @@ def test_currency_both_formats(spark, values):
     texts = [local(c) if i % 2 else f"{c / 100:.2f}" for i, c in enumerate(values)]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(parse_currency("t")).collect()]
-    assert got == [_plain_price(t) for t in texts]
     assert got == [Decimal(c).scaleb(-2).quantize(Decimal("0.000001")) for c in values]
 
 
@@ -77,13 +66,13 @@ def test_oracle_title_case_equals_python_title(texts):
 @given(st.lists(st.one_of(st.none(), st.integers(-50, 50)), min_size=1, max_size=400),
        st.lists(st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]), min_size=1, max_size=4,
                 unique=True))
-def test_exact_quantiles_match_numpy_on_both_paths(spark, values, probs):
+def test_exact_quantiles_match_numpy(spark, values, probs):
     import numpy as np
 
     from tillflow.operators.quantiles import exact_quantiles
     df = spark.createDataFrame([(None if v is None else float(v),) for v in values], "x double")
     present = np.array([v for v in values if v is not None], dtype=float)
-    for parts in (3, None):  # range layout, then the checked small-histogram window
+    for parts in (3, None):  # a given number of range partitions, and the sized one
         got = {r["prob"]: r["valor"] for r in exact_quantiles(df, ["x"], probs, num_partitions=parts).collect()}
         for p in probs:
             if len(present) == 0:

@@ -26,7 +26,7 @@ GOLDEN_MONTHS = [
 
 
 def fact_only(df):
-    return Star(location="", clean=None, customers=None, products=None, fact=df, n_products=0)
+    return Star(location="", clean=None, customers=None, products=None, fact=df)
 
 
 def test_monthly_window_matches_golden(spark):

@@ -2,10 +2,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tillflow.plans.runner import run_reports
+from tillflow.plans.runner import run_raw, run_reports
 from tillflow.session import scratch_path
 from tillflow.sources.sinks import write_csv, write_table
-from tillflow.sources.tables import read_raw_sales_csv
+from tillflow.sources.tables import RAW_COLUMNS, read_raw_sales_csv
 
 SF = "/root/testdata/sf0.001"
 
@@ -41,15 +41,17 @@ def test_runner_exports_one_csv_per_query(spark):
 def test_star_pointer_round_trip(spark, star_small):
     from tillflow.plans import warehouse as W
     path = scratch_path(spark, f"ptr-{uuid.uuid4().hex[:8]}")
-    rows = star_small.fact.count()
-    W._write_pointer(spark, path, star_small.location, rows, star_small.n_products,
-                     star_small.memo["median"])
+    counts = W.table_counts(star_small)
+    W._write_pointer(spark, path, star_small.location, counts, star_small.memo["median"])
     found = W._read_pointer(spark, path)
-    assert (found["location"], found["rows"], found["n_products"]) == \
-        (star_small.location, rows, star_small.n_products)
-    again = W.open_star(spark, found["location"], found["n_products"], found["median"])
+    assert (found["location"], found["counts"]) == (star_small.location, counts)
+    again = W.open_star(spark, found["location"], found["median"])
     assert again.clean.exceptAll(star_small.clean).count() == 0
-    assert again.fact.count() == rows
+    opened = lambda: W.open_star(spark, found["location"], found["median"])
+    assert W._reopen(opened, W.table_counts, found["counts"]) is not None
+    # a dimension that lost rows, or a table that is gone, means a rebuild
+    assert W._reopen(opened, W.table_counts, {**counts, "customers": counts["customers"] + 1}) is None
+    assert W._reopen(lambda: W.open_star(spark, path + "-gone", 1.0), W.table_counts, counts) is None
     assert W._read_pointer(spark, path + "-missing") is None
 
 
@@ -60,3 +62,84 @@ def test_write_table_registers_catalog_table(spark, star_small):
     assert spark.catalog.tableExists(name)
     assert back.count() == star_small.products.count() == spark.table(name).count()
     spark.sql(f"DROP TABLE {name}")  # external table: the files stay in the shared folder
+
+
+HARD_NAMES = ['Smart TV 50"', 'Cabo 2", preto', "Kit, grande", 'Aspas "duplas" e, virgula', "simples"]
+
+
+def _python_csv(path, rows):
+    import csv
+    with open(path, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(RAW_COLUMNS)
+        w.writerows(rows)
+
+
+def test_csv_quoting_is_rfc_4180_both_ways(spark, tmp_path):
+    import csv
+    rows = [(f"T{i}", "2025-01-02", "CLI1", name, "Casa", "10.00", "1.0", "Recife/PE/Brasil", "Pix", "Concluido")
+            for i, name in enumerate(HARD_NAMES)]
+    _python_csv(tmp_path / "raw.csv", rows)
+    back = read_raw_sales_csv(spark, str(tmp_path / "raw.csv"))
+    got = {r["ID_Transacao"]: (r["Nome_Produto"], r["Categoria_Produto"], r["Valor_Unitario"]) for r in back.collect()}
+    assert got == {r[0]: (r[3], "Casa", "10.00") for r in rows}
+    write_csv(back.drop("_ord"), str(tmp_path / "out"))
+    seen = []
+    for f in (tmp_path / "out").glob("*.csv"):
+        with open(f, newline="") as h:
+            seen += [r["Nome_Produto"] for r in csv.DictReader(h)]
+    assert sorted(seen) == sorted(HARD_NAMES)
+
+
+def test_line_breaks_in_fields_and_malformed_lines(spark, tmp_path):
+    row = ("T1", "2025-01-02", "CLI1", "duas\nlinhas", "Casa", "10.00", "1.0", "Recife/PE/Brasil", "Pix", "Concluido")
+    _python_csv(tmp_path / "multi.csv", [row])
+    back = read_raw_sales_csv(spark, str(tmp_path / "multi.csv"), multi_line=True)
+    assert [r["Nome_Produto"] for r in back.collect()] == ["duas\nlinhas"]
+    _python_csv(tmp_path / "bad.csv", [row[:3] + ("Bola",) + row[4:], ("T2", "2025-01-02"), row[:3] + ("x",) + row[4:6] + ("abc",) + row[7:]])
+    marked = read_raw_sales_csv(spark, str(tmp_path / "bad.csv"), mark_malformed=True)
+    assert sorted(r["_malformed"] for r in marked.collect()) == [False, True, True]
+
+
+def test_raw_file_to_reports_end_to_end(spark, tmp_path):
+    import csv
+    rows = []
+    for i in range(60):
+        rows.append((f"T{i}", f"2025-{i % 12 + 1:02d}-10", f"CLI{i % 7}", HARD_NAMES[i % 5], "casa", f"{10 + i}.00",
+                     "" if i == 3 else "2.0", "Recife/PE/Brasil", "Pix", "concluido"))
+    rows.append(rows[0])                       # an exact repeat
+    rows.append(("T1", *rows[1][1:5], "999.00", *rows[1][6:]))  # a later copy of T1: the first stays
+    rows.append(("T99",))                      # a malformed line
+    _python_csv(tmp_path / "raw.csv", rows)
+    paths = run_raw(spark, str(tmp_path / "raw.csv"), str(tmp_path / "out"), ["revenue_by_category", "monthly_revenue"])
+
+    def read(name):
+        found = []
+        for f in (tmp_path / "out" / name).glob("*.csv"):
+            with open(f, newline="") as h:
+                found += list(csv.DictReader(h))
+        return found
+    clean = {r["ID_Transacao"]: r for r in read("clean_sales")}
+    assert len(clean) == 60 and {r["Nome_Produto"] for r in clean.values()} == set(HARD_NAMES)
+    assert float(clean["T1"]["Valor_Unitario"]) == 11.0 and clean["T3"]["Quantidade"] == "2"
+    audit = read("etl_audit")[0]
+    assert (audit["linhas_brutas"], audit["linhas_malformadas"], audit["linhas_limpas"], audit["vendas"]) == \
+        ("63", "1", "60", "60")
+    total = sum(float(r["Faturamento"]) for r in clean.values())
+    assert float(read("revenue_by_category")[0]["faturamento_total"]) == round(total, 2)
+    assert len(read("monthly_revenue")) == 12
+    fact = spark.read.parquet(paths["sales"])
+    assert fact.count() == 60 and "ano_mes" in fact.columns
+    assert spark.read.parquet(paths["products"]).count() == 5
+
+
+def test_orphaned_tables_are_removed(spark, tmp_path, monkeypatch):
+    from tillflow.plans import warehouse as W
+    monkeypatch.setattr(W, "_shared_root", lambda s: str(tmp_path))
+    for name in ("star-aa-1", "star-aa-2", "raw-bb-1", "other"):
+        write_table(spark.range(3), str(tmp_path / name))
+    W._write_pointer(spark, str(tmp_path / "star-aa.pointer"), str(tmp_path / "star-aa-2"), {"fact": 3}, 1.0)
+    assert W.remove_orphans(spark) == []       # young tables stay: their build may still run
+    gone = {p.rstrip("/").rsplit("/", 1)[-1] for p in W.remove_orphans(spark, older_than_hours=-1)}
+    assert gone == {"star-aa-1", "raw-bb-1"}
+    assert (tmp_path / "star-aa-2").exists() and (tmp_path / "other").exists()

@@ -1,5 +1,7 @@
 import uuid
 
+import pytest
+
 from tillflow.operators import cleaning as C
 from tillflow.session import scratch_path
 from tillflow.streaming.ingest import ingest_raw_sales, read_bronze
@@ -21,7 +23,8 @@ def test_incremental_landing_keeps_first_copy_across_arrivals(spark, tmp_path):
         HEADER + "TRX1,2025-01-05,CLI1,Kit Cama,Casa,99.00,1.0,Recife/PE/Brasil,Pix,Concluido\n"
                  "TRX3,2025-01-06,CLI3,Livro,Livros,5.00,2.0,Recife/PE/Brasil,Boleto,Cancelado\n")
     ingest_raw_sales(spark, str(landing), bronze, ckpt).awaitTermination()
-    ingest_raw_sales(spark, str(landing), bronze, ckpt).awaitTermination()  # nothing new: no repeats
+    other = spark.newSession()  # a later session goes on where the first one stopped
+    ingest_raw_sales(other, str(landing), bronze, ckpt).awaitTermination()  # nothing new: no repeats
     raw = read_bronze(spark, bronze)
     assert raw.count() == 4
     clean = {r["ID_Transacao"]: r for r in C.clean_sales(raw).collect()}
@@ -29,3 +32,8 @@ def test_incremental_landing_keeps_first_copy_across_arrivals(spark, tmp_path):
     assert str(clean["TRX1"]["Valor_Unitario"]) == "10.000000"   # the first arrival wins
     assert clean["TRX2"]["Metodo_Pagamento"] == "Nao Informado"
     assert clean["TRX2"]["Quantidade"] == 1                        # median of 1, 1, 2
+
+
+def test_checkpoint_location_must_be_given(spark, tmp_path):
+    with pytest.raises(TypeError):
+        ingest_raw_sales(spark, str(tmp_path), str(tmp_path / "bronze"))

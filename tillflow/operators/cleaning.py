@@ -43,8 +43,9 @@ def _keep_first(df: DataFrame, partition: list[str]) -> DataFrame:
     even a key held by a third of all rows reaches the exchange as one row per
     map task.
     """
-    order = [F.col(ORDINAL)] if ORDINAL in df.columns else [F.lit(1)]
-    w = Window.partitionBy(*partition).orderBy(*order)
+    if ORDINAL not in df.columns:
+        raise ValueError(f"keep-first needs the input-order column {ORDINAL}")
+    w = Window.partitionBy(*partition).orderBy(ORDINAL)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 

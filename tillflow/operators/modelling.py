@@ -10,49 +10,43 @@ from tillflow.operators.ordering import global_row_index
 # Fixed value: surrogate product key format, numbered from 1.
 PRODUCT_KEY_FORMAT = "PRD%04d"
 PRODUCT_KEYS = ("Nome_Produto", "Categoria_Produto")
+# Fixed value: the columns of the fact table, in order.
 FACT_COLUMNS = ("ID_Transacao", "ID_Cliente", "ID_Produto", "Data_Venda", "Valor_Unitario",
                 "Quantidade", "Faturamento", "Cidade", "Estado", "Pais",
                 "Metodo_Pagamento", "Status_Pedido")
 
-# A dimension is broadcast only when its counted size is at most this many rows.
-BROADCAST_MAX_ROWS = 1_000_000
-
 
 def dim_customers(clean: DataFrame) -> DataFrame:
     """M1: distinct customer ids (a set; order it when presenting)."""
     return clean.select("ID_Cliente").distinct()
 
 
-def dim_products(clean: DataFrame) -> tuple[DataFrame, int]:
+def dim_products(clean: DataFrame) -> DataFrame:
     """M2 + M3: distinct (name, category) with a dense key PRD0001... in
-    (category, name) order, NULLs last. Returns the table and its size.
+    (category, name) order, NULLs last.
 
     The dense numbering uses the distributed global row index, never a
     single-partition window.
     """
     pairs = clean.select(*PRODUCT_KEYS).distinct()
     order = [F.col("Categoria_Produto").asc_nulls_last(), F.col("Nome_Produto").asc_nulls_last()]
-    indexed, n = global_row_index(pairs, order)
-    products = indexed.select(
+    indexed, _ = global_row_index(pairs, order)
+    return indexed.select(
         F.format_string(PRODUCT_KEY_FORMAT, F.col("_row") + 1).alias("ID_Produto"), *PRODUCT_KEYS)
-    return products, n
-
 
-def maybe_broadcast(dim: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only for a dimension whose counted size is bounded."""
-    return F.broadcast(dim) if rows <= max_rows else dim
 
+def fact_sales(clean: DataFrame, products: DataFrame) -> DataFrame:
+    """M4 + M5: left join on (name, category), NULL matching NULL, 12 columns.
 
-def fact_sales(clean: DataFrame, products: DataFrame, n_products: int) -> DataFrame:
-    """M4 + M5: left join on (name, category), NULL matching NULL, 12 columns."""
-    dim = maybe_broadcast(products, n_products)
-    cond = (clean["Nome_Produto"].eqNullSafe(dim["Nome_Produto"])
-            & clean["Categoria_Produto"].eqNullSafe(dim["Categoria_Produto"]))
-    joined = clean.join(dim, cond, "left")
-    return joined.select(*[clean[c] if c != "ID_Produto" else dim[c] for c in FACT_COLUMNS])
+    No broadcast hint: a dimension is broadcast only when its measured bytes
+    are below the session's thresholds.
+    """
+    cond = (clean["Nome_Produto"].eqNullSafe(products["Nome_Produto"])
+            & clean["Categoria_Produto"].eqNullSafe(products["Categoria_Produto"]))
+    joined = clean.join(products, cond, "left")
+    return joined.select(*[clean[c] if c != "ID_Produto" else products[c] for c in FACT_COLUMNS])
 
 
-def enriched_sales(fact: DataFrame, products: DataFrame, n_products: int) -> DataFrame:
+def enriched_sales(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Fact inner join product -> fact columns plus product name and category."""
-    return fact.join(maybe_broadcast(products, n_products), "ID_Produto") \
-        .select(*FACT_COLUMNS, "Nome_Produto", "Categoria_Produto")
+    return fact.join(products, "ID_Produto").select(*FACT_COLUMNS, "Nome_Produto", "Categoria_Produto")

@@ -10,8 +10,6 @@ into a single task, and `percentile_approx` returns other values. Here:
 3. per-partition counts give each partition's rank offset inside its column;
    a running sum inside each partition gives every distinct value its rank
    interval [start, end);
-   (a histogram of at most SMALL_HIST_ROWS counted rows is ranked with one
-   window per column instead: bounded and checked, like a broadcast);
 4. the wanted ranks (floor and ceil of p * (n - 1)) are known on the driver
    from the column counts, so the rows that hold them are found with a
    filter, and the interpolation lo + (hi - lo) * frac is done in Spark.
@@ -31,12 +29,9 @@ from tillflow.operators.ordering import (OFFSET, PID, default_partitions, partit
                                          range_stamp)
 
 COL, VAL, CNT = "coluna", "_v", "_n"
-# Histogram rows per range partition when the partition count is not given.
+# Sizing rule: histogram rows per range partition when the partition count is not given.
+# It sets the number of partitions only; every histogram takes the same path.
 HIST_ROWS_PER_PARTITION = 1_000_000
-# At most this many histogram rows (counted) are ranked with one window per
-# column instead of the range layout: a bounded, checked size, like a
-# broadcast threshold. Larger histograms always take the distributed path.
-SMALL_HIST_ROWS = 200_000
 
 
 def _frac_literal(frac: Fraction, value_type: str) -> Column:
@@ -57,12 +52,6 @@ def ranked_histogram(df: DataFrame, columns: list[str], value_type: str,
     # sampler and the stamping job below read it instead of recomputing the input.
     hist = hist.checkpoint(eager=True)
     rows = hist.count()
-    if num_partitions is None and rows <= SMALL_HIST_ROWS:
-        per_col = Window.partitionBy(COL).orderBy(VAL).rowsBetween(Window.unboundedPreceding, 0)
-        ranked = hist.withColumn("_end", F.sum(CNT).over(per_col)) \
-            .withColumn("_start", F.col("_end") - F.col(CNT))
-        totals = {r[COL]: int(r["_t"]) for r in hist.groupBy(COL).agg(F.sum(CNT).alias("_t")).collect()}
-        return ranked.select(COL, VAL, CNT, "_start", "_end"), totals
     if num_partitions is None:  # size the range layout to the histogram, not to the input
         num_partitions = max(1, min(default_partitions(hist), -(-rows // HIST_ROWS_PER_PARTITION)))
     stamped = range_stamp(hist, [F.col(COL).asc(), F.col(VAL).asc()], num_partitions)

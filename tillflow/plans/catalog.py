@@ -27,42 +27,45 @@ def _on_star(fn, *args) -> Job:
     return job
 
 
-QUERIES: dict[str, Job] = {
-    # C*, M*, S2: cleaning and modelling operators
-    **etl_steps.STEP_QUERIES,
+# D5-D15, which the dashboard computes for every selection.
+_KPI_VIEWS = {
+    **{name: getattr(kpis, name) for name in (
+        "kpi_summary", "churn_rate", "retention_rate", "dash_category_revenue", "dash_status_counts",
+        "dash_top_products", "dash_state_ticket", "kpi_formatted")},
+    "resample_daily": partial(kpis.resample, freq="D"),
+    "resample_weekly": partial(kpis.resample, freq="W"),
+    "resample_monthly": partial(kpis.resample, freq="MS"),
+}
+
+# Jobs on a built star: name -> job(star) -> DataFrame.
+STAR_JOBS: dict[str, Callable[[warehouse.Star], DataFrame]] = {
     # Q1-Q7: named SQL reports
-    "revenue_by_category": _on_star(reports.revenue_by_category),
-    "top_customers": _on_star(reports.top_customers),
-    "monthly_revenue": _on_star(reports.monthly_revenue),
-    "ticket_by_state": _on_star(reports.ticket_by_state),
-    "top_products_by_category": _on_star(reports.top_products_by_category),
-    "rfm_customers": _on_star(reports.rfm_customers),
-    "status_distribution": _on_star(reports.status_distribution),
+    **{name: getattr(reports, name) for name in (
+        "revenue_by_category", "top_customers", "monthly_revenue", "ticket_by_state",
+        "top_products_by_category", "rfm_customers", "status_distribution")},
     # Exploratory statistics
-    **{name: _on_star(getattr(profile, name)) for name in (
+    **{name: getattr(profile, name) for name in (
         "numeric_stats", "categorical_stats", "correlation_matrix", "iqr_bounds", "outlier_rows",
         "outlier_summary", "outlier_detail", "top_outliers", "boxplot_stats", "dataset_profile")},
-    # Dashboard data jobs (opening state; D3 with a selection)
-    "filtered_sales": _on_star(kpis.filtered_sales_report),
-    **{name: _on_star(getattr(kpis, name)) for name in (
-        "customer_lifecycle", "filter_domains", "kpi_summary", "churn_rate", "retention_rate",
-        "dash_category_revenue", "dash_status_counts", "dash_top_products", "dash_state_ticket",
-        "kpi_formatted")},
-    "resample_daily": _on_star(partial(kpis.resample, freq="D")),
-    "resample_weekly": _on_star(partial(kpis.resample, freq="W")),
-    "resample_monthly": _on_star(partial(kpis.resample, freq="MS")),
+    # Dashboard data jobs: the opening state, a selection with every filter, an empty one
+    "filtered_sales": kpis.filtered_sales_report,
+    "customer_lifecycle": kpis.customer_lifecycle,
+    "filter_domains": kpis.filter_domains,
+    **_KPI_VIEWS,
+    **{f"{name}_selection": partial(fn, p=kpis.SELECTION) for name, fn in _KPI_VIEWS.items()},
+    **{f"{name}_empty": partial(fn, p=kpis.NOTHING) for name, fn in _KPI_VIEWS.items()},
     # forecast
-    "daily_revenue_dense": _on_star(forecast.daily_revenue_dense),
-    "calendar_features": _on_star(forecast.calendar_feature_table),
-    "train_test_split": _on_star(forecast.train_test_split),
-    "split_summary": _on_star(forecast.split_summary),
-    "forecast_holdout": _on_star(forecast.forecast_holdout),
-    "forecast_metrics": _on_star(forecast.forecast_metrics),
-    "baseline_metrics": _on_star(forecast.baseline_metrics),
-    "forecast_next_month": _on_star(forecast.forecast_next_month),
-    "forecast_total": _on_star(forecast.forecast_total),
-    "mean_month_revenue": _on_star(forecast.mean_month_revenue),
-    "monthly_history": _on_star(forecast.monthly_history),
+    "daily_revenue_dense": forecast.daily_revenue_dense,
+    "calendar_features": forecast.calendar_feature_table,
+    **{name: getattr(forecast, name) for name in (
+        "train_test_split", "split_summary", "forecast_holdout", "forecast_metrics", "baseline_metrics",
+        "forecast_next_month", "forecast_total", "mean_month_revenue", "monthly_history")},
+}
+
+QUERIES: dict[str, Job] = {
+    # C*, M*, S2: cleaning and modelling operators
+    **etl_steps.STEP_QUERIES,
+    **{name: _on_star(fn) for name, fn in STAR_JOBS.items()},
 }
 
 ORACLE: dict[str, Callable[[], str]] = {

@@ -126,7 +126,8 @@ def dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2 + M3: product dimension with dense surrogate keys, in key order."""
-    return warehouse.star(spark, sf_dir).products.orderBy("ID_Produto")
+    by_number = F.substring("ID_Produto", 4, 20).cast("long")  # as text, PRD10000 would sort before PRD9999
+    return warehouse.star(spark, sf_dir).products.orderBy(by_number)
 
 
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:

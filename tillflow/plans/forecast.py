@@ -109,6 +109,14 @@ def fit(train: DataFrame) -> Fitted:
     return Fitted(model, weekdays, months)
 
 
+def _relative_error(y: Column, p: Column) -> Column:
+    """Mean of |y - p| / max(|y|, epsilon). Days without revenue divide by epsilon and
+    dwarf the others, so their part is summed exactly, in cents."""
+    rest = F.sum(F.when(y != 0, F.abs(y - p) / F.greatest(F.abs(y), F.lit(MAPE_EPS))))
+    none = F.sum(F.when(y == 0, F.round(F.abs(p), 2).cast("decimal(28,2)"))).cast("double") / F.lit(MAPE_EPS)
+    return (F.coalesce(none, F.lit(0.0)) + F.coalesce(rest, F.lit(0.0))) / F.count(y)
+
+
 def regression_metrics(pred: DataFrame, actual: DataFrame, y: str = "faturamento",
                        p: str = "faturamento_previsto") -> DataFrame:
     """F8: MAE, RMSE, MAPE x 100 (denominator floored at machine epsilon) and R², rounded 2/2/2/3.
@@ -121,7 +129,7 @@ def regression_metrics(pred: DataFrame, actual: DataFrame, y: str = "faturamento
     g = pred.agg(
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
-        (F.avg(F.abs(err) / F.greatest(F.abs(F.col(y)), F.lit(MAPE_EPS))) * 100).alias("mape"),
+        (_relative_error(F.col(y), F.col(p)) * 100).alias("mape"),
         (F.lit(1.0) - F.try_divide(F.sum(err * err), F.sum((F.col(y) - mean_y) * (F.col(y) - mean_y))))
         .alias("r2"))
     return g.select(round_double("mae", 2).alias("mae"), round_double("rmse", 2).alias("rmse"),
@@ -173,7 +181,8 @@ def split_summary(s: Star) -> DataFrame:
 def forecast_holdout(s: Star) -> DataFrame:
     """F6 + F7: model fitted on the training days, actual vs predicted on the test days."""
     train, test = split(_series(s))
-    return fit(train).predict(test).select("data", "faturamento", "faturamento_previsto")
+    return fit(train).predict(test).select(
+        "data", "faturamento", round_double("faturamento_previsto", 2).alias("faturamento_previsto"))
 
 
 def baseline_metrics(s: Star) -> DataFrame:
@@ -191,7 +200,7 @@ def forecast_metrics(s: Star) -> DataFrame:
     return model.unionByName(baseline_metrics(s))
 
 
-def forecast_next_month(s: Star, horizon: int = HORIZON_DAYS) -> DataFrame:
+def predict_ahead(s: Star, horizon: int = HORIZON_DAYS) -> DataFrame:
     """F11 + F12: refit on the full history, predict the next `horizon` days, clipped at 0."""
     series = _series(s)
     fitted = fit(series)
@@ -202,9 +211,14 @@ def forecast_next_month(s: Star, horizon: int = HORIZON_DAYS) -> DataFrame:
                        .alias("faturamento_previsto"))
 
 
+def forecast_next_month(s: Star) -> DataFrame:
+    """F11 + F12 as a query: the next 31 days, in cents."""
+    return predict_ahead(s).select("data", round_double("faturamento_previsto", 2).alias("faturamento_previsto"))
+
+
 def forecast_total(s: Star) -> DataFrame:
-    """total forecast revenue of the horizon."""
-    return forecast_next_month(s).agg(F.sum("faturamento_previsto").alias("faturamento_previsto_total"))
+    """total forecast revenue of the horizon, in cents."""
+    return predict_ahead(s).agg(round_double(F.sum("faturamento_previsto"), 2).alias("faturamento_previsto_total"))
 
 
 def mean_month_revenue(s: Star) -> DataFrame:

@@ -64,11 +64,25 @@ def sale_filter(p: KpiParams) -> Column:
     return cond
 
 
+# A selection that uses all four lists and the dates, and one that nothing matches.
+SELECTION = KpiParams(start=dt.date(1996, 2, 1), end=dt.date(1999, 6, 30),
+                      categorias=("Economy", "Promo", "Standard"),
+                      estados=tuple(f"NATION_{i}" for i in range(0, 24, 2)),
+                      status=("F", "O"), metodos=("1-Urgent", "2-High", "4-Not Specified"))
+NOTHING = KpiParams(categorias=("Nenhuma",))
+
+
 def filtered_sales(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """D3: enriched sales that pass the dashboard filters."""
     return s.enriched().where(sale_filter(p))
 
 
+def _sales(s: Star, p: KpiParams) -> DataFrame:
+    """Sales that pass the filters, for jobs that read fact columns only: the product
+    dimension is joined only where its category filter asks for it."""
+    return (s.enriched() if p.categorias else s.fact).where(sale_filter(p))
+
+
 def filtered_sales_report(s: Star, p: KpiParams = DEMO) -> DataFrame:
     """D3 as a report: money columns as DOUBLE (registered with the DEMO selection)."""
     f = filtered_sales(s, p)
@@ -84,7 +98,7 @@ def customer_lifecycle(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """
     key = ("lifecycle", p.cut)
     if key not in s.memo:
-        df = s.enriched()
+        df = s.fact
         last_day = df.agg(F.max("Data_Venda")).scalar()
         s.memo[key] = df.groupBy("ID_Cliente").agg(
             F.max("Data_Venda").alias("ultima_compra"),
@@ -97,21 +111,28 @@ def customer_lifecycle(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
 
 
 def filter_domains(s: Star) -> DataFrame:
-    """Selectable values of the four list filters and the date bounds, as text."""
-    df = s.enriched()
-    lists = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("filtro"), F.col(c).alias("valor"))
-        for c in ("Categoria_Produto", "Estado", "Status_Pedido", "Metodo_Pagamento")]))
-        .alias("x")).select("x.*").where(F.col("valor").isNotNull()).distinct()
-    bounds = df.agg(F.min("Data_Venda").alias("a"), F.max("Data_Venda").alias("b")).select(
-        F.inline(F.array(F.struct(F.lit("data_min").alias("filtro"), F.col("a").cast("string").alias("valor")),
-                         F.struct(F.lit("data_max").alias("filtro"), F.col("b").cast("string").alias("valor")))))
-    return lists.unionByName(bounds).orderBy("filtro", "valor")
+    """Selectable values of the four list filters and the date bounds, as text.
+
+    One pass over the fact: a partial aggregate leaves one row per combination
+    of the four columns, and only those rows are joined and unfolded.
+    """
+    combos = s.fact.groupBy("ID_Produto", "Estado", "Status_Pedido", "Metodo_Pagamento").agg(
+        F.min("Data_Venda").cast("string").alias("data_min"), F.max("Data_Venda").cast("string").alias("data_max"))
+    named = combos.join(s.products.select("ID_Produto", "Categoria_Produto"), "ID_Produto")
+    lists = ("Categoria_Produto", "Estado", "Status_Pedido", "Metodo_Pagamento")
+    pairs = named.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("filtro"), F.col(c).alias("valor")) for c in (*lists, "data_min", "data_max")]))
+        .alias("x")).select("x.*").where(F.col("valor").isNotNull())
+    # a date bound is one group (ISO text sorts by date); a list value is a group of its own
+    group = F.when(F.col("filtro").isin(*lists), F.col("valor"))
+    out = pairs.groupBy("filtro", group.alias("g")).agg(F.min("valor").alias("lo"), F.max("valor").alias("hi"))
+    return out.select("filtro", F.when(F.col("filtro") == "data_max", F.col("hi")).otherwise(F.col("lo"))
+                      .alias("valor")).orderBy("filtro", "valor")
 
 
 def kpi_summary(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """D5 (+D16): total revenue, mean ticket, orders, distinct customers; zeros when empty."""
-    f = filtered_sales(s, p)
+    f = _sales(s, p)
     g = f.agg(F.sum("Faturamento").alias("_tot"), F.count("Faturamento").alias("_n"),
               F.count(F.lit(1)).alias("total_pedidos"),
               F.count_distinct("ID_Cliente").alias("clientes_unicos"))
@@ -121,28 +142,34 @@ def kpi_summary(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
         "total_pedidos", "clientes_unicos")
 
 
-def _customers_in_filter(s: Star, p: KpiParams) -> DataFrame:
-    """Lifecycle rows of customers that have a sale in the filter (semi join)."""
-    buyers = filtered_sales(s, p).select("ID_Cliente")
-    return customer_lifecycle(s, p).join(buyers, "ID_Cliente", "left_semi")
+def _customer_counts(s: Star, p: KpiParams) -> DataFrame:
+    """One row of counts over the customers that have a sale in the filter.
+
+    The buyers are made distinct (a partial aggregate) before the semi join, so
+    a customer with very many sales reaches the shuffle as one row per task.
+    """
+    buyers = _sales(s, p).select("ID_Cliente").distinct()
+    inside = customer_lifecycle(s, p).join(buyers, "ID_Cliente", "left_semi")
+    return inside.agg(
+        F.count(F.lit(1)).alias("clientes"),
+        F.count_if(F.col("recencia_dias") > p.churn_days).alias("perdidos"),
+        F.count_if(F.col("comprou_h1")).alias("base_h1"),
+        F.count_if(F.col("comprou_h1") & F.col("comprou_h2")).alias("retidos"))
+
+
+def _percent_or_zero(part: str, whole: str, scale: int) -> Column:
+    return F.coalesce(ratio_out(F.col(part) * F.lit(100), F.col(whole), scale), F.lit(0.0))
 
 
 def churn_rate(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """% of the filter's customers with recency > threshold (0 when none)."""
-    c = _customers_in_filter(s, p)
-    g = c.agg(F.count_if(F.col("recencia_dias") > p.churn_days).alias("_churn"),
-              F.count(F.lit(1)).alias("clientes"))
-    return g.select(F.lit(p.churn_days).alias("limite_dias"), "clientes",
-                    F.coalesce(ratio_out(F.col("_churn") * F.lit(100), F.col("clientes"), 2),
-                               F.lit(0.0)).alias("churn_pct"))
+    return _customer_counts(s, p).select(F.lit(p.churn_days).alias("limite_dias"), "clientes",
+                                         _percent_or_zero("perdidos", "clientes", 2).alias("churn_pct"))
 
 
 def retention_rate(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """Of the filter's first-half buyers, % who also bought in the second half (0 when none)."""
-    c = _customers_in_filter(s, p).where(F.col("comprou_h1"))
-    g = c.agg(F.count_if(F.col("comprou_h2")).alias("_kept"), F.count(F.lit(1)).alias("base_h1"))
-    return g.select("base_h1", F.coalesce(ratio_out(F.col("_kept") * F.lit(100), F.col("base_h1"), 2),
-                                          F.lit(0.0)).alias("retencao_pct"))
+    return _customer_counts(s, p).select("base_h1", _percent_or_zero("retidos", "base_h1", 2).alias("retencao_pct"))
 
 
 def _period(freq: str, c: str = "Data_Venda") -> Column:
@@ -161,7 +188,7 @@ def resample(s: Star, p: KpiParams = DEFAULT, freq: str = "D") -> DataFrame:
     The calendar comes from sequence(first, last) on a one-row aggregate: its
     length is bounded by the time span, not by the data.
     """
-    f = filtered_sales(s, p)
+    f = _sales(s, p)
     sums = f.groupBy(_period(freq).alias("periodo")).agg(F.sum("Faturamento").alias("_fat"))
     calendar = sums.agg(F.min("periodo").alias("a"), F.max("periodo").alias("b")) \
         .select(F.explode(F.sequence("a", "b", _step(freq))).alias("periodo"))
@@ -184,7 +211,7 @@ def dash_category_revenue(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
 
 def dash_status_counts(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """Sales per status, descending, NULL status excluded."""
-    return filtered_sales(s, p).where(F.col("Status_Pedido").isNotNull()) \
+    return _sales(s, p).where(F.col("Status_Pedido").isNotNull()) \
         .groupBy("Status_Pedido").agg(F.count(F.lit(1)).alias("qtd")).orderBy(F.col("qtd").desc())
 
 
@@ -198,23 +225,26 @@ def dash_top_products(s: Star, p: KpiParams = DEFAULT, n: int = 10) -> DataFrame
 
 def dash_state_ticket(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """Mean ticket per state, descending (NULL state dropped)."""
-    g = filtered_sales(s, p).where(F.col("Estado").isNotNull()) \
+    g = _sales(s, p).where(F.col("Estado").isNotNull()) \
         .groupBy("Estado").agg(F.sum("Faturamento").alias("_fat"), F.count("Faturamento").alias("_n"))
     return g.select("Estado", ratio_out(to_units("_fat", 2), F.col("_n") * F.lit(100), 2)
                     .alias("ticket_medio")).orderBy(F.col("ticket_medio").desc())
 
 
 def kpi_formatted(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
-    """The KPI display strings (R$ 1.234,56 / 1.234 / 12,3%)."""
-    k = kpi_summary(s, p)
-    c = churn_rate(s, p).select("churn_pct")
-    r = retention_rate(s, p).select("retencao_pct")
-    pct = lambda col: F.concat(F.format_number(F.col(col), 1), F.lit("%"))
-    return k.select(
+    """The KPI display strings (R$ 1.234,56 / 1.234 / 12,3%).
+
+    Percentages are rounded once, from the exact ratio to one decimal.
+    """
+    pct = lambda c: F.concat(F.format_number(c, 1), F.lit("%"))
+    rates = _customer_counts(s, p).select(F.struct(
+        pct(_percent_or_zero("perdidos", "clientes", 1)).alias("churn"),
+        pct(_percent_or_zero("retidos", "base_h1", 1)).alias("retencao")).alias("r"))
+    return kpi_summary(s, p).select(
         format_brl("faturamento_total").alias("faturamento_total"),
         format_brl("ticket_medio").alias("ticket_medio"),
         format_int_br("total_pedidos").alias("total_pedidos"),
         format_int_br("clientes_unicos").alias("clientes_unicos"),
-        c.scalar().alias("_churn"), r.scalar().alias("_ret"),
+        rates.scalar().alias("_r"),
     ).select("faturamento_total", "ticket_medio", "total_pedidos", "clientes_unicos",
-             pct("_churn").alias("churn"), pct("_ret").alias("retencao"))
+             F.col("_r.churn").alias("churn"), F.col("_r.retencao").alias("retencao"))

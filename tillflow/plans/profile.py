@@ -19,6 +19,7 @@ from tillflow.plans.warehouse import Star
 NUMERIC_COLS = ("Valor_Unitario", "Quantidade", "Faturamento")
 CATEGORICAL_COLS = ("Categoria_Produto", "Metodo_Pagamento", "Status_Pedido", "Estado")
 IQR_FACTOR = "1.5"
+FENCE = "decimal(38,13)"
 EXACT = "decimal(38,6)"  # every numeric column fits: scale 6 price, scale 2 revenue, int quantity
 
 
@@ -74,7 +75,7 @@ def numeric_stats_by_column(s: Star) -> DataFrame:
     One aggregate pass for the moments and extremes; exact quartiles from the
     distributed histogram (operators.quantiles).
     """
-    df = s.enriched()
+    df = s.fact
     aggs = []
     for i, c in enumerate(NUMERIC_COLS):
         v = F.col(c).cast(EXACT)
@@ -116,7 +117,7 @@ def correlation_matrix(s: Star) -> DataFrame:
     covar / (std * std) through try_divide: NULL when a column has zero
     variance (corr() would raise DIVIDE_BY_ZERO under ANSI mode). One pass.
     """
-    df = s.enriched().select(*[F.col(c).cast("double").alias(c) for c in NUMERIC_COLS])
+    df = s.fact.select(*[F.col(c).cast("double").alias(c) for c in NUMERIC_COLS])
     aggs = []
     for i, a in enumerate(NUMERIC_COLS):
         for j, b in enumerate(NUMERIC_COLS):
@@ -133,7 +134,7 @@ def correlation_matrix(s: Star) -> DataFrame:
 def quartiles(s: Star) -> dict[tuple[str, float], object]:
     """Exact quartiles of the numeric columns {(col, p): Decimal}, once per star (9 scalars)."""
     if "quartiles" not in s.memo:
-        s.memo["quartiles"] = quantile_values(s.enriched(), list(NUMERIC_COLS), [0.25, 0.5, 0.75], EXACT)
+        s.memo["quartiles"] = quantile_values(s.fact, list(NUMERIC_COLS), [0.25, 0.5, 0.75], EXACT)
     return s.memo["quartiles"]
 
 
@@ -167,14 +168,14 @@ def _is_outlier(c: str, f: tuple) -> Column:
     _, _, lo, hi = f
     if lo is None:
         return F.lit(False)
-    v = F.col(c).cast(EXACT)
+    v = F.col(c).cast(FENCE)  # the fences' own type: a comparison must not cut their decimals
     return (v < _lit_dec(lo)) | (v > _lit_dec(hi))
 
 
 def iqr_bounds(s: Star) -> DataFrame:
     """q1, q3, iqr and the fences q1 - 1.5 iqr, q3 + 1.5 iqr (rounded to 4)."""
     f = fences(s)
-    one = s.enriched().agg(F.count(F.lit(1)).alias("_n"))
+    one = s.fact.sparkSession.range(1)
 
     def r4(d) -> Column:
         return ratio_out(to_units(_lit_dec(d), 13), F.lit(10 ** 13), 4)
@@ -202,7 +203,7 @@ def outlier_rows(s: Star, column: str = "Faturamento") -> DataFrame:
 def outlier_summary(s: Star) -> DataFrame:
     """Per column the number and share (% of all rows, 2 decimals) of outliers."""
     f = fences(s)
-    one = s.enriched().agg(F.count(F.lit(1)).alias("_n"),
+    one = s.fact.agg(F.count(F.lit(1)).alias("_n"),
                            *[F.count_if(_is_outlier(c, f[c])).alias(f"_o{i}")
                              for i, c in enumerate(NUMERIC_COLS)])
     return _rows(one, [F.struct(
@@ -237,13 +238,13 @@ def boxplot_stats(s: Star) -> DataFrame:
     """The numbers behind a box plot: quartiles, whiskers (extreme values inside
     the fences) and the outlier count, per column (rounded to 2). One pass."""
     f = fences(s)
-    df = s.enriched()
+    df = s.fact
     med = quartiles(s)
     aggs, structs = [], []
     for i, c in enumerate(NUMERIC_COLS):
         q1, q3, lo, hi = f[c]
         v = F.col(c).cast(EXACT)
-        inside = v.between(_lit_dec(lo), _lit_dec(hi))
+        inside = F.col(c).cast(FENCE).between(_lit_dec(lo), _lit_dec(hi))
         aggs += [F.min(F.when(inside, v)).alias(f"lo{i}"), F.max(F.when(inside, v)).alias(f"hi{i}"),
                  F.count_if(_is_outlier(c, f[c])).alias(f"o{i}")]
         structs.append(F.struct(

@@ -1,35 +1,88 @@
-"""Run named queries and export one CSV per name (the report runner)."""
+"""The report runner, from driver tables or from a raw sales file.
+
+    python -m tillflow.plans.runner <sf_dir> <out_dir> [names...]
+    python -m tillflow.plans.runner --raw <file or folder> <out_dir> [names...]
+
+The raw form is the whole job: land the file, clean it, write the clean file,
+the dimensions and the fact, and every report on them.
+"""
 
 from __future__ import annotations
 
 import argparse
 import sys
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tillflow.functions.money import report_columns
 from tillflow.plans import catalog
-from tillflow.sources.sinks import write_report
+from tillflow.plans.warehouse import Star, build_star
+from tillflow.session import scratch_path
+from tillflow.sources.sinks import write_csv, write_report, write_table
+from tillflow.sources.tables import MALFORMED, read_raw_sales_csv
+
+
+def _chosen(jobs: dict, names) -> list[str]:
+    unknown = [n for n in names or () if n not in jobs]
+    if unknown:
+        raise KeyError(f"unknown queries: {unknown}")
+    return list(names) if names else list(jobs)
 
 
 def run_reports(spark: SparkSession, sf_dir: str, out_dir: str, names=None) -> dict[str, str]:
     """Run each named query (all when names is empty) and write it as CSV; name -> path."""
     jobs = catalog.queries()
-    chosen = list(names) if names else list(jobs)
-    unknown = [n for n in chosen if n not in jobs]
-    if unknown:
-        raise KeyError(f"unknown queries: {unknown}")
-    return {n: write_report(jobs[n](spark, sf_dir), out_dir, n) for n in chosen}
+    return {n: write_report(jobs[n](spark, sf_dir), out_dir, n) for n in _chosen(jobs, names)}
+
+
+def audit(raw: DataFrame, star: Star) -> DataFrame:
+    """C16 for a raw file: its lines, those that do not fit the schema, and the rows of each table."""
+    one = F.count(F.lit(1))
+    return raw.agg(one.alias("linhas_brutas"), F.count_if(MALFORMED).alias("linhas_malformadas")).select(
+        "*", star.clean.agg(one).scalar().alias("linhas_limpas"),
+        star.customers.agg(one).scalar().alias("clientes"), star.products.agg(one).scalar().alias("produtos"),
+        star.fact.agg(one).scalar().alias("vendas"),
+        star.clean.agg(F.count_if(F.col("Valor_Unitario").isNull())).scalar().alias("precos_invalidos"))
+
+
+def run_raw(spark: SparkSession, raw_path: str, out_dir: str, names=None, multi_line: bool = False) -> dict[str, str]:
+    """Raw sales file or folder -> clean file, dimensions, fact and reports under out_dir; name -> path.
+
+    Written: clean_sales (CSV), tables/customers, tables/products and
+    tables/sales (Parquet, the fact by month and day), etl_audit and one CSV
+    per report.
+    """
+    chosen = _chosen(catalog.STAR_JOBS, names)
+    out = out_dir.rstrip("/")
+    work = scratch_path(spark, f"run-{uuid.uuid4().hex[:12]}")
+    raw = write_table(read_raw_sales_csv(spark, raw_path, multi_line, mark_malformed=True), f"{work}/raw")
+    star = build_star(spark, raw.drop(MALFORMED), f"{work}/star")
+    paths = {"clean_sales": f"{out}/clean_sales", **{t: f"{out}/tables/{t}" for t in ("customers", "products", "sales")}}
+    write_csv(star.clean.select(*report_columns(star.clean)), paths["clean_sales"])
+    write_table(star.customers, paths["customers"])
+    write_table(star.products, paths["products"])
+    write_table(star.fact, paths["sales"], date_col="Data_Venda", key_col="ID_Transacao", partition_by_month=True)
+    paths["etl_audit"] = write_report(audit(raw, star), out, "etl_audit")
+    return paths | {n: write_report(catalog.STAR_JOBS[n](star), out, n) for n in chosen}
 
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(description="Run named report queries and export CSVs.")
-    ap.add_argument("sf_dir")
+    ap.add_argument("source", help="folder of driver tables, or a raw sales file or folder with --raw")
     ap.add_argument("out_dir")
     ap.add_argument("names", nargs="*")
+    ap.add_argument("--raw", action="store_true", help="the source is raw sales CSV")
+    ap.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks")
     args = ap.parse_args(argv)
     from tillflow.session import build_session
     spark = build_session()
-    for name, path in run_reports(spark, args.sf_dir, args.out_dir, args.names).items():
+    if args.raw:
+        paths = run_raw(spark, args.source, args.out_dir, args.names, args.multi_line)
+    else:
+        paths = run_reports(spark, args.source, args.out_dir, args.names)
+    for name, path in paths.items():
         print(f"{name}\t{path}")
     spark.stop()
     return 0

@@ -7,24 +7,27 @@ shared folder named by `spark.checkpoint.dir`, which survives executor loss.
 
 Reuse: within a session the built star is kept in memory. Across sessions it
 is found again through a small pointer file in the shared folder, keyed by
-the source files (path, size, modification time) and by a hash of this
-package's code, so a changed input or a changed job never reuses old tables.
-Sources whose files cannot be inspected (remote storage) are rebuilt per
-session.
-
-Layout: the fact is sorted by sale date inside each file, so date filters
-skip row groups through Parquet min/max statistics without another shuffle.
+the listing of the source files (path, size, modification time, as Spark's
+file system reports them) and by TABLES_VERSION, so a changed input or a
+changed job never reuses old tables. A pointer names the row count of every
+table; a table that has lost rows or files since is built again.
+`remove_orphans` deletes tables that no pointer names.
+
+Layout: the fact is range-partitioned by sale date, so every file covers a
+narrow range of dates and date filters skip files through Parquet min/max
+statistics.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
-import pathlib
 import threading
+import time
 import uuid
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -35,6 +38,9 @@ from tillflow.sources.dirty import dirty_sales
 from tillflow.sources.sinks import write_table
 from tillflow.sources.tables import table_path
 
+# Raise with every change of what the written tables hold.
+TABLES_VERSION = 2
+
 SOURCE_TABLES = ("lineitem", "orders", "part", "customer", "nation", "region")
 
 
@@ -45,12 +51,11 @@ class Star:
     customers: DataFrame
     products: DataFrame
     fact: DataFrame
-    n_products: int
     # small driver-side results derived from the tables (e.g. IQR fences), per star
     memo: dict = field(default_factory=dict, repr=False)
 
     def enriched(self) -> DataFrame:
-        return enriched_sales(self.fact, self.products, self.n_products)
+        return enriched_sales(self.fact, self.products)
 
 
 def build_star(spark: SparkSession, raw: DataFrame, location: str) -> Star:
@@ -64,28 +69,33 @@ def build_star(spark: SparkSession, raw: DataFrame, location: str) -> Star:
     parsed = write_table(parse_stage(raw), f"{location}/parsed")
     median = median_of(parsed, "Quantidade")
     clean = finish_clean(parsed, median)
-    products, n_products = dim_products(clean)
-    products = write_table(products.coalesce(1) if n_products <= 1_000_000 else products,
-                           f"{location}/products")
-    customers = write_table(dim_customers(clean).sortWithinPartitions("ID_Cliente"),
+    products = write_table(dim_products(clean), f"{location}/products")
+    fact = write_table(fact_sales(clean, products), f"{location}/fact", date_col="Data_Venda",
+                       key_col="ID_Transacao")
+    # from the written fact: one narrow scan instead of another pass over the parsed rows
+    customers = write_table(dim_customers(fact).sortWithinPartitions("ID_Cliente"),
                             f"{location}/customers")
-    fact = write_table(fact_sales(clean, products, n_products), f"{location}/fact",
-                       date_col="Data_Venda")
-    star = Star(location, clean, customers, products, fact, n_products)
+    star = Star(location, clean, customers, products, fact)
     star.memo.update(parsed=parsed, median=median)
     return star
 
 
-def open_star(spark: SparkSession, location: str, n_products: int, median: float | None) -> Star:
+def open_star(spark: SparkSession, location: str, median: float | None) -> Star:
     """A star written by build_star, read back."""
     read = spark.read.parquet
     parsed = read(f"{location}/parsed")
     star = Star(location, finish_clean(parsed, median), read(f"{location}/customers"),
-                read(f"{location}/products"), read(f"{location}/fact"), n_products)
+                read(f"{location}/products"), read(f"{location}/fact"))
     star.memo.update(parsed=parsed, median=median)
     return star
 
 
+def table_counts(s: Star) -> dict[str, int]:
+    """Rows of each written table (read from the file footers)."""
+    return {"parsed": s.memo["parsed"].count(), "products": s.products.count(),
+            "customers": s.customers.count(), "fact": s.fact.count()}
+
+
 # ------------------------------------------------------------------ reuse
 
 _LOCK = threading.Lock()
@@ -93,39 +103,30 @@ _BUILT: dict[tuple, Star] = {}
 _RAW: dict[tuple, DataFrame] = {}
 
 _POINTER_SCHEMA = T.StructType([T.StructField("location", T.StringType()),
-                                T.StructField("n_products", T.LongType()),
                                 T.StructField("median", T.DoubleType()),
-                                T.StructField("rows", T.LongType())])
-
+                                T.StructField("counts", T.MapType(T.StringType(), T.LongType()))])
 
-def _signature(sf_dir: str) -> tuple[tuple, bool]:
-    """(source signature, whether it pins the content: every file could be inspected)."""
-    sig, stable = [], True
-    for t in SOURCE_TABLES:
-        p = table_path(sf_dir, t)
-        try:
-            st = os.stat(p)
-            sig.append((t, st.st_size, int(st.st_mtime)))
-        except OSError:  # remote storage: key on the path only
-            sig.append((t, p))
-            stable = False
-    return tuple(sig), stable
 
+def _files(spark: SparkSession, path: str):
+    """(file system, Hadoop path) of a path in any storage Spark can read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
-def _code_version() -> str:
-    root = pathlib.Path(__file__).resolve().parents[1]
-    h = hashlib.sha1()
-    for p in sorted(root.rglob("*.py")):
-        h.update(p.read_bytes())
-    return h.hexdigest()[:12]
 
-
-_CODE = _code_version()
+def _signature(spark: SparkSession, sf_dir: str) -> tuple:
+    """Every source file with its size and modification time in milliseconds."""
+    sig = []
+    for t in SOURCE_TABLES:
+        fs, where = _files(spark, table_path(sf_dir, t))
+        found = fs.listFiles(where, True)
+        while found.hasNext():
+            f = found.next()
+            sig.append((t, f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(sig))
 
 
-def _key(sf_dir: str) -> tuple[tuple, bool]:
-    sig, stable = _signature(sf_dir)
-    return (os.path.abspath(sf_dir), sig, _CODE), stable
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    return (_signature(spark, sf_dir), TABLES_VERSION)
 
 
 def _tag(key: tuple) -> str:
@@ -145,31 +146,70 @@ def _location(spark: SparkSession, key: tuple, kind: str) -> str:
     return f"{root}/{name}" if root else scratch_path(spark, name)
 
 
-def _pointer(spark: SparkSession, kind: str, key: tuple, stable: bool) -> str | None:
+def _pointer(spark: SparkSession, kind: str, key: tuple) -> str | None:
     root = _shared_root(spark)
-    return f"{root}/{kind}-{_tag(key)}.pointer" if (root and stable) else None
+    return f"{root}/{kind}-{_tag(key)}.pointer" if root else None
 
 
 def _read_pointer(spark: SparkSession, path: str | None):
     if path is None:
         return None
-    try:
-        rows = spark.read.schema(_POINTER_SCHEMA).json(path).collect()  # one small row
-        return rows[0] if rows else None
-    except Exception:  # no pointer yet: build
+    fs, where = _files(spark, path)
+    if not fs.exists(where):
         return None
+    rows = spark.read.schema(_POINTER_SCHEMA).json(path).collect()  # one small row
+    return rows[0] if rows else None
 
 
-def _write_pointer(spark: SparkSession, path: str | None, location: str, rows: int,
-                   n_products: int = 0, median: float | None = None) -> None:
+def _write_pointer(spark: SparkSession, path: str | None, location: str, counts: dict[str, int],
+                   median: float | None = None) -> None:
     """Written last, after every table of the build: a pointer always names complete
-    tables. `rows` (of the raw table / the fact) is checked when the tables are reopened,
-    so files lost since then mean a rebuild, never a silently smaller table."""
+    tables. The counts are checked when the tables are reopened, so files lost since
+    then mean a rebuild, never silently smaller tables."""
     if path is not None:
-        spark.createDataFrame([(location, n_products, median, rows)], _POINTER_SCHEMA) \
+        spark.createDataFrame([(location, median, counts)], _POINTER_SCHEMA) \
             .coalesce(1).write.mode("overwrite").json(path)
 
 
+def _reopen(opened, counts, expected):
+    """opened() if its tables hold the expected rows, else None."""
+    try:
+        found = opened()
+        return found if counts(found) == dict(expected) else None
+    except (AnalysisException, Py4JJavaError):  # tables or files gone: build again
+        return None
+
+
+def remove_orphans(spark: SparkSession, older_than_hours: float = 24.0) -> list[str]:
+    """Delete warehouse tables that no pointer names, and pointers of other versions' builds.
+
+    Tables younger than older_than_hours stay, as their build may still run.
+    Returns the deleted paths. Only folders made by this module are touched.
+    """
+    root = _shared_root(spark)
+    if root is None:
+        return []
+    fs, where = _files(spark, root)
+    if not fs.exists(where):
+        return []
+    entries = list(fs.listStatus(where))
+    named = set()
+    for e in entries:
+        if e.getPath().getName().endswith(".pointer"):
+            found = _read_pointer(spark, e.getPath().toString())
+            if found is not None:
+                named.add(found["location"].rstrip("/").rsplit("/", 1)[-1])
+    limit = (time.time() - older_than_hours * 3600) * 1000
+    gone = []
+    for e in entries:
+        name = e.getPath().getName()
+        ours = name.startswith(("raw-", "star-")) and not name.endswith(".pointer")
+        if ours and name not in named and e.getModificationTime() < limit:
+            fs.delete(e.getPath(), True)
+            gone.append(e.getPath().toString())
+    return gone
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw sales records of sf_dir (with `_ord`), landed once.
 
@@ -178,25 +218,18 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     read by the cleaning job and by the per-operator queries.
     """
     ensure_checkpoint_dir(spark)
-    key, stable = _key(sf_dir)
+    key = _key(spark, sf_dir)
     session_key = (spark.sparkContext.applicationId, key)
     with _LOCK:
         if session_key not in _RAW:
-            pointer = _pointer(spark, "raw", key, stable)
+            pointer = _pointer(spark, "raw", key)
             found = _read_pointer(spark, pointer)
-            df = None
-            if found is not None:
-                try:
-                    df = spark.read.parquet(found["location"])
-                    if df.count() != found["rows"]:  # footer-only count
-                        df = None
-                except Exception:  # tables gone: land again
-                    df = None
+            df = found and _reopen(lambda: spark.read.parquet(found["location"]),
+                                   lambda d: {"raw": d.count()}, found["counts"])
             if df is None:
                 location = _location(spark, key, "raw")
                 df = write_table(dirty_sales(spark, sf_dir), location)
-                if pointer is not None:
-                    _write_pointer(spark, pointer, location, df.count())
+                _write_pointer(spark, pointer, location, {"raw": df.count()})
             _RAW[session_key] = df
         return _RAW[session_key]
 
@@ -204,29 +237,20 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star(spark: SparkSession, sf_dir: str) -> Star:
     """The star schema of the driver tables under sf_dir, built once (see the module doc)."""
     ensure_checkpoint_dir(spark)
-    key, stable = _key(sf_dir)
+    key = _key(spark, sf_dir)
     session_key = (spark.sparkContext.applicationId, key)
     if session_key in _BUILT:
         return _BUILT[session_key]
     source = raw(spark, sf_dir)
     with _LOCK:
         if session_key not in _BUILT:
-            pointer = _pointer(spark, "star", key, stable)
+            pointer = _pointer(spark, "star", key)
             found = _read_pointer(spark, pointer)
-            built = None
-            if found is not None:
-                try:
-                    built = open_star(spark, found["location"], int(found["n_products"]),
-                                      found["median"])
-                    if built.fact.count() != found["rows"]:  # footer-only count
-                        built = None
-                except Exception:  # tables gone: build again
-                    built = None
+            built = found and _reopen(lambda: open_star(spark, found["location"], found["median"]),
+                                      table_counts, found["counts"])
             if built is None:
                 built = build_star(spark, source, _location(spark, key, "star"))
-                if pointer is not None:
-                    _write_pointer(spark, pointer, built.location, built.fact.count(),
-                                   built.n_products, built.memo["median"])
+                _write_pointer(spark, pointer, built.location, table_counts(built), built.memo["median"])
             _BUILT[session_key] = built
         return _BUILT[session_key]
 

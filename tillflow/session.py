@@ -18,8 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Broadcast joins only from measured sizes: no static (file-size estimate)
     # broadcast; AQE turns a join into a broadcast join once the materialised
-    # side is known to be small. Explicit broadcast() is used only for
-    # dimensions whose row count was checked and for per-partition offsets.
+    # side is known to be small. Explicit broadcast() is used only for the
+    # 25-row geography and for per-partition offsets.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "16MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -65,8 +65,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that setting
-    is always respected. Only when it is unset (local runs, tests) is a fresh
-    scratch folder created.
+    is always respected. Only when it is unset and the master is local (local
+    runs, tests) is a fresh scratch folder created: on a cluster one machine's
+    disk would hold tables that the other machines cannot read.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -75,6 +76,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tillflow-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -3,7 +3,8 @@
 The raw sales file of the reference is not shipped, so the same kinds of dirt
 are laid over the driver tables with deterministic rules keyed on the order
 key k. Each line item is one sale; the natural repeats of
-(l_orderkey, l_linenumber) are the duplicated transactions.
+(l_orderkey, l_linenumber) are the duplicated transactions; some records are
+also repeated exactly, and some prices lie far outside or have six decimals.
 
 Joins run in the order that keeps big shuffles to a minimum at scale:
 orders + customer (+ the 25-row geography, broadcast by size) on the customer
@@ -28,6 +29,10 @@ METHOD_PAD_MOD, METHOD_PAD_REM = 7, 0
 CATEGORY_UPPER_MOD, CATEGORY_UPPER_REM = 10, 0
 LOCATION_DASH_MOD, LOCATION_DASH_BELOW = 10, 3
 COUNTRY_TEXT = "Brasil"
+REPEAT_MOD, REPEAT_REM = 53, 3                    # exact repeats of a whole record
+PRICE_FINE_MOD, PRICE_FINE_REM = 11, 3            # plain prices with six decimals
+PRICE_OUTLIER_MOD, PRICE_OUTLIER_REM = 211, 7     # a price far outside the others
+PRICE_OUTLIER_PREFIX = "9"                        # ... by a digit in front
 
 # Keep-first order among copies of one transaction: a total order over the
 # line-item columns, so that every engine picks the same copy.
@@ -40,8 +45,10 @@ def dirty_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = (read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
            .join(read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"]),
                  F.col("n_regionkey") == F.col("r_regionkey")))
+    # The geography has 25 rows in this schema at every scale; a shuffle on its 25 keys
+    # would put all customers into 25 tasks at most.
     customers = (read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
-                 .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
+                 .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
     orders = (read_table(spark, sf_dir, "orders",
                          ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
               .join(customers, F.col("o_custkey") == F.col("c_custkey")))
@@ -50,7 +57,8 @@ def dirty_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_retailprice"])
     base = (items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(parts, F.col("l_partkey") == F.col("p_partkey")))
-    return base.select(*raw_columns(), F.struct(*ORDINAL_COLUMNS).alias(ORDINAL))
+    copies = F.explode(F.when(_k_is(REPEAT_MOD, REPEAT_REM), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return base.select("*", copies.alias("_copy")).select(*raw_columns(), F.struct(*ORDINAL_COLUMNS).alias(ORDINAL))
 
 
 def _k_is(mod: int, rem: int):
@@ -67,6 +75,10 @@ def raw_columns():
     price = F.col("p_retailprice")
     price_local = F.concat(F.lit("R$ "), F.translate(F.format_number(price, 2), ",.", ".,"))
     price_plain = F.format_string("%.2f", price)
+    fine = F.lpad(((F.col("l_partkey") * 37 + 5) % 10000).cast("string"), 4, "0")
+    price_plain = F.when(_k_is(PRICE_FINE_MOD, PRICE_FINE_REM), F.concat(price_plain, fine)).otherwise(price_plain)
+    price_plain = F.when(_k_is(PRICE_OUTLIER_MOD, PRICE_OUTLIER_REM), F.concat(F.lit(PRICE_OUTLIER_PREFIX), price_plain)) \
+        .otherwise(price_plain)
     price_text = F.when((k % PRICE_LOCAL_MOD) < PRICE_LOCAL_BELOW, price_local).otherwise(price_plain)
     customer = F.when(_k_is(CUSTOMER_NULL_MOD, CUSTOMER_NULL_REM), F.lit(None).cast("string")) \
         .otherwise(F.format_string("CLI%05d", F.col("o_custkey")))

@@ -10,31 +10,34 @@ def write_csv(df: DataFrame, path: str) -> None:
     """Flat CSV with a header, replacing what is there (one file per task).
 
     Text is written as is: Spark's CSV writer trims leading and trailing
-    spaces unless told not to.
+    spaces unless told not to, and quotes inside a field are doubled (RFC
+    4180), which every CSV reader understands.
     """
     (df.write.mode("overwrite").option("header", True)
+     .option("quote", '"').option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
 
 
 def write_table(df: DataFrame, path: str, date_col: str | None = None,
-                partition_by_month: bool = False, table: str | None = None) -> DataFrame:
+                key_col: str | None = None, partition_by_month: bool = False,
+                table: str | None = None) -> DataFrame:
     """S6 + S7: replace-mode Parquet load with an access-path layout.
 
-    Rows are sorted by `date_col` inside each task, so every file covers a
-    narrow date range and date filters skip row groups through min/max
-    statistics, with no extra shuffle. With `partition_by_month` the files
-    are also split into `ano_mes=yyyy-MM` folders (partition pruning); the
-    sort keeps one open file per task. `table` also registers it in the
-    catalog (saveAsTable) instead of a path-only write.
+    With `date_col` rows are range-partitioned on (date, key): every file
+    covers a narrow range of dates, so date filters skip whole files through
+    min/max statistics, and a day with very many rows is split by key. With
+    `partition_by_month` the files also go to `ano_mes=yyyy-MM` folders
+    (partition pruning). `table` also registers it in the catalog
+    (saveAsTable) instead of a path-only write.
     """
     out = df
     if date_col is not None:
+        order = [c for c in (date_col, key_col) if c]
         if partition_by_month:
             out = out.withColumn("ano_mes", F.date_format(F.col(date_col), "yyyy-MM"))
-            out = out.sortWithinPartitions("ano_mes", date_col)
-        else:
-            out = out.sortWithinPartitions(date_col)
+            order = ["ano_mes", *order]
+        out = out.repartitionByRange(*order).sortWithinPartitions(*order)
     writer = out.write.mode("overwrite").format("parquet")
     if date_col is not None and partition_by_month:
         writer = writer.partitionBy("ano_mes")

@@ -44,6 +44,9 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "nan", "null")
 
 ORDINAL = "_ord"
+# Whether a raw line could not be read with the schema (too many or too few fields, bad number).
+MALFORMED = "_malformed"
+_CORRUPT = "_corrupt_record"
 
 
 def null_na_tokens(df: DataFrame) -> DataFrame:
@@ -64,19 +67,31 @@ def null_na_tokens(df: DataFrame) -> DataFrame:
     return df.select(*[fix(c) for c in df.columns])
 
 
-def read_raw_sales_csv(spark: SparkSession, path: str) -> DataFrame:
+def csv_reader(reader, multi_line: bool = False):
+    """CSV options of the raw sales files: header, RFC 4180 quoting (a quote inside a
+    field is doubled). multi_line allows line breaks inside quoted fields; such files
+    cannot be split, so it is off unless asked for."""
+    return (reader.option("header", True).option("quote", '"').option("escape", '"')
+            .option("multiLine", multi_line).option("mode", "PERMISSIVE"))
+
+
+def read_raw_sales_csv(spark: SparkSession, path: str, multi_line: bool = False,
+                       mark_malformed: bool = False) -> DataFrame:
     """Raw sales CSV with an explicit schema and an input-order ordinal.
 
+    mark_malformed adds the column `_malformed`: lines that do not fit the
+    schema are kept with NULL in the fields that could not be read, and can be
+    counted instead of going unnoticed.
+
     `_ord` orders rows as they appear in the input: by file, then by split,
     then by position inside the split. It is what "keep the first copy" means
     for a file source.
     """
-    df = (spark.read.schema(RAW_SALES_SCHEMA)
-          .option("header", True)
-          .option("mode", "PERMISSIVE")
-          .csv(path))
+    schema = T.StructType([*RAW_SALES_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
+    df = csv_reader(spark.read.schema(schema), multi_line).option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
+    marks = [F.col(_CORRUPT).isNotNull().alias(MALFORMED)] if mark_malformed else []
     ordered = df.select(
-        *[F.col(c) for c in RAW_COLUMNS],
+        *[F.col(c) for c in RAW_COLUMNS], *marks,
         F.struct(F.col("_metadata.file_path").alias("file"),
                  F.col("_metadata.file_block_start").alias("block"),
                  F.monotonically_increasing_id().alias("pos")).alias(ORDINAL),

@@ -14,13 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillflow.session import scratch_path
-from tillflow.sources.tables import ORDINAL, RAW_COLUMNS, RAW_SALES_SCHEMA, null_na_tokens
+from tillflow.sources.tables import ORDINAL, RAW_COLUMNS, RAW_SALES_SCHEMA, csv_reader, null_na_tokens
 
 
 def raw_sales_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming scan of raw sales CSVs (explicit schema, header, NA tokens -> NULL)."""
-    reader = spark.readStream.schema(RAW_SALES_SCHEMA).option("header", True)
+    reader = csv_reader(spark.readStream.schema(RAW_SALES_SCHEMA))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.csv(landing_dir)
@@ -40,11 +39,15 @@ def _land(bronze_path: str):
 
 
 def ingest_raw_sales(spark: SparkSession, landing_dir: str, bronze_path: str,
-                     checkpoint_location: str | None = None, available_now: bool = True,
+                     checkpoint_location: str, available_now: bool = True,
                      processing_time: str | None = None) -> StreamingQuery:
-    """Start the landing stream (availableNow by default: process what is there, then stop)."""
+    """Start the landing stream (availableNow by default: process what is there, then stop).
+
+    checkpoint_location must stay the same for the life of bronze_path, also across
+    sessions: it says which files have landed.
+    """
     writer = raw_sales_stream(spark, landing_dir).writeStream.foreachBatch(_land(bronze_path)) \
-        .option("checkpointLocation", checkpoint_location or scratch_path(spark, "ingest-checkpoint"))
+        .option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=processing_time or "1 minute")
     return writer.start()
