@@ -32,7 +32,7 @@ def tokenizer():
 
 def test_word_tokenizer_equals_whole_encoding(tokenizer):
     rng = random.Random(1)
-    parts = ["a", " ", "  ", "\n", "Olá,", "it's", "<|endoftext|>", "12", "\u00a0", "中文", "\x1c", "!!", "\t", "é's"]
+    parts = ["a", " ", "Word", "ñé", "?!", "ª", "²", "x.", "  ", "\n", "Olá,", "it's", "<|endoftext|>", "12", "\u00a0", "中文", "\x1c", "!!", "\t", "é's"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 30))) for _ in range(400)] + ["", " ", "a b", " a"]
     got = P.WordTokenizer(P.tokenizer_path()).encode(texts)
     for t, ids in zip(texts, got):

@@ -30,8 +30,18 @@ CAPACITY = 2048
 SEPARATOR = 0
 #: Pieces packed together; a group holds a few thousand small rows.
 GROUP_PIECES = 4000
-#: Distinct words remembered by one tokenising task.
-CACHE_WORDS = 300_000
+#: Distinct words remembered by one tokenising task (about 200 bytes each).
+CACHE_WORDS = 600_000
+# Fixed value: punctuation that may end a part.
+PUNCTUATION = ".,;:!?"
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it can be
+    printed, else the next code point from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + k) for k, b in enumerate(rest)}}
 
 
 class WordTokenizer:
@@ -39,8 +49,10 @@ class WordTokenizer:
 
     The tokenizer splits words before it merges bytes, and always before a
     single blank that stands between two other characters. So a text can be
-    cut there, and the ids of each part are remembered. Texts with other
-    blanks beside a cut are encoded whole.
+    cut there, and the ids of each part are remembered. A part of letters and
+    then punctuation is two words for the tokenizer, whose merges are asked
+    for directly. Other parts are encoded by the whole tokenizer, and so are
+    texts with other white space beside a cut.
     """
 
     def __init__(self, path: str):
@@ -48,12 +60,39 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = byte_letters()
         self.known: dict[str, bytes | None] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes()
                 for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _word(self, word: str) -> bytes:
+        """Ids of one word as the tokenizer splits them (a leading blank belongs to it)."""
+        spelt = word.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.merge(spelt)], "<u4").tobytes()
+
+    def _learn(self, parts: set[str]) -> None:
+        known, other = self.known, []
+        for part in parts:
+            bare = part[1:] if part[:1] == " " else part
+            core = bare.rstrip(PUNCTUATION)
+            # a part must hold no blank at a cut: neither empty nor with white space at its edges
+            if not bare or bare[0].isspace() or bare[-1].isspace():
+                known[part] = None
+            elif core.isalpha():
+                word, tail = part[:len(part) - len(bare) + len(core)], bare[len(core):]
+                ids = known.get(word) or self._word(word)
+                known[word] = ids
+                if tail:
+                    end = known.get(tail) or self._word(tail)
+                    known[tail] = end
+                    known[part] = ids + end
+            else:
+                other.append(part)
+        known.update(zip(other, self._encode(other)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
@@ -61,11 +100,7 @@ class WordTokenizer:
         for t in texts:
             first, *rest = t.split(" ")
             parts.append([first, *[" " + w for w in rest]])
-        new = {w for p in parts for w in p if w not in known}
-        # a part must hold no blank at a cut: neither empty nor with white space at its edges
-        good = [w for w in new if (v := w[1:] if w[:1] == " " else w) and not v[0].isspace() and not v[-1].isspace()]
-        known.update(dict.fromkeys(new))
-        known.update(zip(good, self._encode(good)))
+        self._learn({w for p in parts for w in p if w not in known})
         out: list[bytes | None] = []
         whole = []
         for t, p in zip(texts, parts):
