@@ -83,13 +83,20 @@ class ItqModel:
                          for r in range(len(self.maps)) for s in range(per)], axis=1).astype(np.int64)
 
 
+def storage_type(vectors: DataFrame, column: str) -> str:
+    """numpy type in which vectors travel: that of the column's elements (cosines are computed in double)."""
+    return "<f4" if dict(vectors.dtypes)[column] == "array<float>" else "<f8"
+
+
 def vector_rows(vectors: DataFrame, key: str, column: str) -> DataFrame:
-    """(k, vec, dim): the raw float64 bytes of each valid vector, NULL for one that links with nothing."""
+    """(k, vec, dim): the raw bytes of each valid vector, NULL for one that links with nothing."""
+    kind = storage_type(vectors, column)
+
     def run(batches):
         for b in batches:
             out, dims = [], []
             for v in b.column(1).to_pylist():
-                x = np.array(v, np.float64) if v and None not in v else np.zeros(0)
+                x = np.array(v, kind) if v and None not in v else np.zeros(0)
                 good = bool(len(x)) and bool(np.isfinite(x).all()) and bool(x.any())
                 out.append(x.tobytes() if good else None)
                 dims.append(len(x) if good else None)
@@ -98,19 +105,19 @@ def vector_rows(vectors: DataFrame, key: str, column: str) -> DataFrame:
     return vectors.select(key, column).mapInArrow(run, f"k {dict(vectors.dtypes)[key]}, vec binary, dim int")
 
 
-def _stack(column) -> np.ndarray:
-    rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), np.float64).reshape(len(rows), -1)
+def stacked(rows: list[bytes], kind: str) -> np.ndarray:
+    """Vectors as rows of a double matrix."""
+    return np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1).astype(np.float64)
 
 
-def hamming_rows(classes: DataFrame, shared) -> DataFrame:
+def hamming_rows(classes: DataFrame, shared, kind: str) -> DataFrame:
     """(uid, n, vec, code, key): each class once for each Hamming table."""
     def run(batches):
         model = shared.value
         for b in batches:
             if not b.num_rows:
                 continue
-            bits = model.codes(_stack(b.column("vec")))
+            bits = model.codes(stacked(b.column("vec").to_pylist(), kind))
             keys = model.substrings(bits) + (np.arange(model.tables) << SUBSTRING_BITS)
             code = [r.tobytes() for r in np.packbits(bits, axis=1, bitorder="little")]
             yield pa.RecordBatch.from_arrays([b.column("uid"), b.column("n"), b.column("vec"), pa.array(code, pa.binary()),
@@ -120,7 +127,7 @@ def hamming_rows(classes: DataFrame, shared) -> DataFrame:
     return coded.select("uid", "n", "vec", "code", F.explode("keys").alias("key"))
 
 
-def compare_buckets(tiles: DataFrame, shared, threshold: float) -> DataFrame:
+def compare_buckets(tiles: DataFrame, shared, kind: str, threshold: float) -> DataFrame:
     """(a, b, links): link counts of class a (b NULL), and links a-b that connect each task's groups."""
     def run(batches):
         model = shared.value
@@ -134,7 +141,7 @@ def compare_buckets(tiles: DataFrame, shared, threshold: float) -> DataFrame:
         if not vecs:
             return
         key, i, j, chunk, uid, n = (np.concatenate(c) for c in cols)
-        x = np.frombuffer(b"".join(vecs), np.float64).reshape(len(vecs), -1)
+        x = stacked(vecs, kind)
         norm = np.linalg.norm(x, axis=1)
         code = np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1)
         bits = np.unpackbits(code, axis=1, bitorder="little")[:, :model.bits * len(model.maps)]
@@ -205,16 +212,16 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embeddi
     classes = written(rows.where(valid).groupBy("vec").agg(F.count("*").alias("n"), F.min("k").alias("rep")).withColumn(
         "uid", F.monotonically_increasing_id()), "classes")
     sample = hashed_sample(classes.select("vec"), sample_rows, "vec").collect()
-    shared = spark.sparkContext.broadcast(ItqModel(
-        np.frombuffer(b"".join(bytes(r.vec) for r in sample), np.float64).reshape(-1, dim)))
-    keyed = written(hamming_rows(classes, shared), "hamming")
+    kind = storage_type(vectors, column)
+    shared = spark.sparkContext.broadcast(ItqModel(stacked([bytes(r.vec) for r in sample], kind)))
+    keyed = written(hamming_rows(classes, shared, kind), "hamming")
     sizes = written(keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "sizes")
     held = keyed.join(sizes, "key").withColumn("chunks", F.ceil(F.col("m") / chunk).cast("int")).withColumn(
         "chunk", F.pmod(F.xxhash64("uid"), F.col("chunks")).cast("int"))
     tiles = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
         "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "uid", "n", "vec", "code")
     dealt = tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "chunk")
-    found = written(compare_buckets(dealt, shared, threshold), "links")
+    found = written(compare_buckets(dealt, shared, kind, threshold), "links")
     labels = label_components(classes.select(F.col("uid").alias("node"), F.col("rep").alias("name")),
                               found.where("b IS NOT NULL").select("a", "b"))
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("u")).agg(F.sum("links").alias("links"))

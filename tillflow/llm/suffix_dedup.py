@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm.common import prepare, table, written
 from tillflow.llm.decontaminate import merge
+from tillflow.operators.ordering import default_partitions
 
 LENGTH = 200
 GRAM = 40
@@ -410,8 +411,7 @@ def rank_windows(texts: DataFrame, length: int, group: int = GROUP) -> DataFrame
     chunk is settled there and one row speaks for it, and the windows that
     occur once in their chunk are compared across chunks by name.
     """
-    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    most = max(group, texts.count() // max(1, parts) // 4)
+    most = max(group, texts.count() // default_partitions(texts) // 4)
     few = texts.where(F.col("n") <= most).repartition("gram").mapInArrow(_settle(length, False, "gram"), RECORD)
     chunk = F.pmod(F.xxhash64("k1", "k2", "packed"), F.ceil(F.col("n") / group)).alias("chunk")
     dealt = texts.where(F.col("n") > most).select("*", chunk).repartition("gram", "chunk")
