@@ -41,7 +41,7 @@ SUBSTRING_BITS = 16
 ITERATIONS = 30
 #: Share of all code bits in which a candidate may differ.
 RADIUS_SHARE = 1 / 3
-CHUNK = 512
+CHUNK = 256
 PAIRS = 1 << 18
 
 
