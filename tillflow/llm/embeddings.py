@@ -7,13 +7,18 @@
    give longer codes.
 2. Each code is cut into substrings. A substring is the key of one Hamming
    table, so every class stands in each table once. Classes in one bucket are
-   candidates if their whole codes differ in at most `radius` bits.
+   candidates if their whole codes differ in at most `radius` bits. Substrings
+   start at the width that the number of classes asks for; rotations are added,
+   and then substrings shortened, until pairs at exactly the threshold, drawn
+   around vectors that were not fitted, meet with the wanted recall. The radius
+   holds all of these pairs. Few classes are one bucket, compared whole.
 3. Candidates are reranked by the cosine of the original vectors in double
    precision; a pair that shares several buckets counts in the first only.
 
-Large buckets are cut into chunks, and each pair of chunks is a task of its
-own. A task hands on link counts, and one link per class for the components,
-not all pairs.
+Large buckets are cut into chunks, and each pair of chunks is a tile of its
+own. Tiles are dealt to tasks; a vector travels once to each task that holds
+any of its tiles. A task hands on link counts, and one link per class for the
+components, not all pairs.
 
 Defined cases: NULL and zero vectors, vectors with NULL or non-finite
 components, and vectors of another than the most frequent length link with
@@ -31,17 +36,27 @@ from pyspark.sql import functions as F
 
 from tillflow.llm.common import hashed_sample, prepare, table, written
 from tillflow.llm.components import label_components, star_edges
+from tillflow.operators.ordering import default_partitions
 
 THRESHOLD = 0.9
 #: Classes the rotations are fitted on (those with the smallest hash).
 SAMPLE_ROWS = 20_000
 BITS = 64
+#: Fewest rotations, and the most code bits that all rotations together may have.
 ROTATIONS = 3
-SUBSTRING_BITS = 16
+MOST_BITS = 1024
 ITERATIONS = 30
-#: Share of all code bits in which a candidate may differ.
+#: Recall wanted for pairs of exactly the threshold, and the pairs drawn to measure it.
+RECALL = 0.98
+DRAWN_PAIRS = 4000
+#: Classes in a bucket that the first substring width aims at.
+OCCUPANCY = 32
+#: Share of all code bits in which a candidate may differ at least.
 RADIUS_SHARE = 1 / 3
 CHUNK = 256
+#: Places of the table's number and the vector's length in a bucket key.
+TABLE_SHIFT = 24
+LENGTH_SHIFT = 40
 PAIRS = 1 << 18
 
 
@@ -55,32 +70,77 @@ def fit_itq(x: np.ndarray, bits: int, seed: int, iterations: int = ITERATIONS) -
     return r
 
 
+def drawn_pairs(unit: np.ndarray, threshold: float, count: int = DRAWN_PAIRS) -> tuple[np.ndarray, np.ndarray]:
+    """Unit rows and partners of exactly the threshold cosine: even rows towards other rows, odd ones anywhere."""
+    rng = np.random.default_rng(0)
+    x, other, third = (unit[rng.integers(len(unit), size=count)] for _ in range(3))
+    way = other - third
+    way[1::2] = rng.standard_normal(way[1::2].shape)
+    way -= (way * x).sum(axis=1, keepdims=True) * x
+    size = np.linalg.norm(way, axis=1, keepdims=True)
+    c = min(threshold, 1.0)
+    return x, np.where(size > 1e-9, c * x + np.sqrt(1 - c * c) * way / np.maximum(size, 1e-9), x)
+
+
 class ItqModel:
-    """Mean and projections of the fitted rotations: a few small matrices."""
+    """Mean and projections of the fitted rotations for vectors of one length: a few small matrices.
+
+    `rows` is the number of classes; up to CHUNK of them are one bucket without codes.
+    """
 
-    def __init__(self, sample: np.ndarray, bits: int = BITS, rotations: int = ROTATIONS):
+    def __init__(self, sample: np.ndarray, rows: int, threshold: float = THRESHOLD, bits: int = BITS):
+        self.maps, self.bits, self.width, self.tables, self.radius = [], 0, 0, 1, 0
+        if rows <= CHUNK:
+            return
         unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
-        self.mean = unit.mean(axis=0)
-        centred = unit - self.mean
+        held = np.arange(len(unit)) % 10 == 0
+        fitted = unit[~held]
+        self.mean = fitted.mean(axis=0)
+        centred = fitted - self.mean
         _, axes = np.linalg.eigh(centred.T @ centred)
         self.bits = min(bits, sample.shape[1])
         axes = axes[:, ::-1][:, :self.bits]
         x = centred @ axes
-        self.maps = [axes @ fit_itq(x, self.bits, seed) for seed in range(rotations)]
-        self.width = min(SUBSTRING_BITS, self.bits)
-        self.tables = rotations * (self.bits // self.width)
+        first, second = drawn_pairs(unit[held], threshold)
+        maps, differ = [], []
+
+        def rotation(k):
+            if k == len(maps):
+                m = axes @ fit_itq(x, self.bits, k)
+                maps.append(m)
+                differ.append(((first - self.mean) @ m >= 0) != ((second - self.mean) @ m >= 0))
+            return differ[k]
+
+        most = max(ROTATIONS, MOST_BITS // self.bits)
+        start = min(self.bits, TABLE_SHIFT, max(1, int(np.log2(rows / OCCUPANCY))))
+        for self.width in range(start, 0, -1):
+            per, met = self.bits // self.width, np.zeros(len(first), bool)
+            for used in range(1, most + 1):
+                parts = rotation(used - 1)[:, :per * self.width].reshape(len(first), per, self.width)
+                met |= ~parts.any(axis=2).all(axis=1)
+                enough = min(met[::2].mean(), met[1::2].mean()) >= RECALL
+                if enough and used >= ROTATIONS:
+                    break
+            if enough:
+                break
+        self.maps, self.tables = maps[:used], used * per
+        self.radius = max(int(self.bits * used * RADIUS_SHARE), int(sum(d.sum(axis=1) for d in differ[:used]).max()))
 
     def codes(self, x: np.ndarray) -> np.ndarray:
         """Boolean code bits, all rotations side by side."""
+        if not self.maps:
+            return np.zeros((len(x), 0), bool)
         unit = x / np.linalg.norm(x, axis=1, keepdims=True) - self.mean
         return np.hstack([unit @ m >= 0 for m in self.maps])
 
     def substrings(self, bits: np.ndarray) -> np.ndarray:
         """Keys of the Hamming tables (rows x tables)."""
+        if not self.maps:
+            return np.zeros((len(bits), 1), np.int32)
         per = self.bits // self.width
-        power = 1 << np.arange(self.width)
+        power = 1 << np.arange(self.width, dtype=np.int32)
         return np.stack([bits[:, r * self.bits + s * self.width:r * self.bits + (s + 1) * self.width] @ power
-                         for r in range(len(self.maps)) for s in range(per)], axis=1).astype(np.int64)
+                         for r in range(len(self.maps)) for s in range(per)], axis=1).astype(np.int32)
 
 
 def storage_type(vectors: DataFrame, column: str) -> str:
@@ -111,53 +171,72 @@ def stacked(rows: list[bytes], kind: str) -> np.ndarray:
 
 
 def hamming_rows(classes: DataFrame, shared, kind: str) -> DataFrame:
-    """(uid, n, vec, code, key): each class once for each Hamming table."""
+    """(uid, code, keys): the code of each class, and its bucket in each Hamming table."""
     def run(batches):
-        model = shared.value
+        models = shared.value
         for b in batches:
-            if not b.num_rows:
-                continue
-            bits = model.codes(stacked(b.column("vec").to_pylist(), kind))
-            keys = model.substrings(bits) + (np.arange(model.tables) << SUBSTRING_BITS)
-            code = [r.tobytes() for r in np.packbits(bits, axis=1, bitorder="little")]
-            yield pa.RecordBatch.from_arrays([b.column("uid"), b.column("n"), b.column("vec"), pa.array(code, pa.binary()),
-                                              pa.array(list(keys), pa.list_(pa.int64()))],
-                                             names=["uid", "n", "vec", "code", "keys"])
-    coded = classes.select("uid", "n", "vec").mapInArrow(run, "uid long, n long, vec binary, code binary, keys array<long>")
-    return coded.select("uid", "n", "vec", "code", F.explode("keys").alias("key"))
-
-
-def compare_buckets(tiles: DataFrame, shared, kind: str, threshold: float) -> DataFrame:
+            dim, vecs = b.column("dim").to_numpy(), b.column("vec").to_pylist()
+            for d in np.unique(dim):
+                at, model = np.nonzero(dim == d)[0], models[int(d)]
+                bits = model.codes(stacked([vecs[k] for k in at], kind))
+                keys = model.substrings(bits) + (np.arange(model.tables) << TABLE_SHIFT) + (int(d) << LENGTH_SHIFT)
+                code = [r.tobytes() for r in np.packbits(bits, axis=1, bitorder="little")]
+                yield pa.RecordBatch.from_arrays([b.column("uid").take(pa.array(at)), pa.array(code, pa.binary()),
+                                                  pa.array(list(keys), pa.list_(pa.int64()))], names=["uid", "code", "keys"])
+    return classes.select("uid", "dim", "vec").mapInArrow(run, "uid long, code binary, keys array<long>")
+
+
+def task_numbers(spark: SparkSession, parts: int):
+    """Column function: the k-th of `parts` numbers that a hash partitioning into `parts` deals to different partitions."""
+    found = spark.range(20 * parts + 100).select(F.pmod(F.hash("id"), F.lit(parts)).alias("p"), "id").groupBy("p").agg(F.min("id").alias("id"))
+    names = F.array(*[F.lit(r["id"]) for r in found.orderBy("p").collect()])
+    return lambda k: F.element_at(names, (F.pmod(k, F.size(names)) + 1).cast("int"))
+
+
+def compare_buckets(dealt: DataFrame, shared, kind: str, threshold: float) -> DataFrame:
     """(a, b, links): link counts of class a (b NULL), and links a-b that connect each task's groups."""
     def run(batches):
-        model = shared.value
-        names = ("key", "i", "j", "chunk", "uid", "n")
-        cols, vecs, codes = [[] for _ in names], [], []
+        models = shared.value
+        names, parts = ("key", "i", "j", "chunk"), ("uid", "n", "dim")
+        cols, tiles, vecs, codes, held = [[] for _ in parts], [[] for _ in names], [], [], []
         for b in batches:
-            for c, name in zip(cols, names):
+            for c, name in zip(cols, parts):
                 c.append(b.column(name).to_numpy())
+            flat = b.column("tiles").flatten()
+            for c, name in zip(tiles, names):
+                c.append(flat.field(name).to_numpy())
+            held.append(np.repeat(np.arange(len(vecs), len(vecs) + b.num_rows), b.column("tiles").value_lengths().to_numpy()))
             vecs += b.column("vec").to_pylist()
             codes += b.column("code").to_pylist()
         if not vecs:
             return
-        key, i, j, chunk, uid, n = (np.concatenate(c) for c in cols)
-        x = stacked(vecs, kind)
-        norm = np.linalg.norm(x, axis=1)
-        code = np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1)
-        bits = np.unpackbits(code, axis=1, bitorder="little")[:, :model.bits * len(model.maps)]
-        strings = model.substrings(bits)
+        uid, n, dim = (np.concatenate(c) for c in cols)
+        key, i, j, chunk = (np.concatenate(c) for c in tiles)
+        row = np.concatenate(held)
         links, ends = np.zeros(len(uid), np.int64), []
-        for a, b in candidates(key, i, j, chunk, code, int(model.bits * len(model.maps) * RADIUS_SHARE)):
-            same = strings[a] == strings[b]
-            at = same.argmax(axis=1) == key[a] >> SUBSTRING_BITS
-            a, b = a[at], b[at]
-            near = np.einsum("ij,ij->i", x[a], x[b]) / (norm[a] * norm[b]) >= threshold
-            a, b = a[near], b[near]
-            if len(a):
-                np.add.at(links, a, n[b])
-                np.add.at(links, b, n[a])
-                # classes, not rows: a class stands in several of this task's buckets
-                ends.append(star_edges(uid[a], uid[b]))
+        for d in np.unique(dim):
+            model, mine = models[int(d)], np.nonzero(dim == d)[0]
+            x = stacked([vecs[k] for k in mine], kind)
+            norm = np.linalg.norm(x, axis=1)
+            code = np.frombuffer(b"".join([codes[k] for k in mine]), np.uint8).reshape(len(mine), -1)
+            words = np.zeros((len(mine), max(1, -(-code.shape[1] // 8))), "<u8")
+            words.view(np.uint8)[:, :code.shape[1]] = code
+            strings = model.substrings(np.unpackbits(code, axis=1, bitorder="little")[:, :model.bits * len(model.maps)])
+            t = np.nonzero(dim[row] == d)[0]
+            t = t[np.lexsort((chunk[t], j[t], i[t], key[t]))]
+            inner = np.searchsorted(mine, row[t])
+            table = key[t] >> TABLE_SHIFT & (1 << LENGTH_SHIFT - TABLE_SHIFT) - 1
+            for p, q in candidates(key[t], i[t], j[t], chunk[t], words, inner, model.radius):
+                a, b = inner[p], inner[q]
+                at = (strings[a] == strings[b]).argmax(axis=1) == table[p]
+                a, b = a[at], b[at]
+                near = np.einsum("ij,ij->i", x[a], x[b]) / (norm[a] * norm[b]) >= threshold
+                a, b = mine[a[near]], mine[b[near]]
+                if len(a):
+                    np.add.at(links, a, n[b])
+                    np.add.at(links, b, n[a])
+                    # classes, not rows: a class may stand in this task more than once
+                    ends.append(star_edges(uid[a], uid[b]))
         some = links > 0
         who, at = np.unique(uid[some], return_inverse=True)
         total = np.bincount(at, links[some], len(who)).astype(np.int64)
@@ -167,11 +246,11 @@ def compare_buckets(tiles: DataFrame, shared, kind: str, threshold: float) -> Da
             a, b = star_edges(np.concatenate([e[0] for e in ends]), np.concatenate([e[1] for e in ends]))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64())], names=["a", "b", "links"])
 
-    return tiles.mapInArrow(run, "a long, b long, links long")
+    return dealt.mapInArrow(run, "a long, b long, links long")
 
 
-def candidates(key, i, j, chunk, code, radius):
-    """Row pairs of each tile whose codes differ in at most radius bits, in parts of bounded size."""
+def candidates(key, i, j, chunk, words, row, radius):
+    """Entry pairs of each tile whose rows' codes differ in at most radius bits, in parts of bounded size."""
     n = len(key)
     new = np.ones(n, bool)
     new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
@@ -182,8 +261,6 @@ def candidates(key, i, j, chunk, code, radius):
     second = (start + np.bincount(tile[chunk == i], minlength=len(start)))[tile]
     first = np.where(cross, second, np.arange(n) + 1)
     last = np.where(cross & (chunk == j), first, last)
-    words = np.zeros((n, -(-code.shape[1] // 8)), "<u8")
-    words.view(np.uint8)[:, :code.shape[1]] = code
     rows = np.nonzero(last > first)[0]
     size = (last - first)[rows]
     done = np.concatenate([[0], np.cumsum(size)])
@@ -192,7 +269,7 @@ def candidates(key, i, j, chunk, code, radius):
         end = max(at + 1, int(np.searchsorted(done, done[at] + PAIRS, side="right")) - 1)
         a = np.repeat(rows[at:end], size[at:end])
         b = np.arange(len(a)) - np.repeat(done[at:end] - done[at], size[at:end]) + np.repeat(first[rows[at:end]], size[at:end])
-        near = np.bitwise_count(words[a] ^ words[b]).sum(axis=1) <= radius
+        near = np.bitwise_count(words[row[a]] ^ words[row[b]]).sum(axis=1, dtype=np.int32) <= radius
         if near.any():
             yield a[near], b[near]
         at = end
@@ -204,24 +281,27 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embeddi
     spark = vectors.sparkSession
     rows = written(vector_rows(vectors, key, column), "vectors")
     common = rows.where("dim IS NOT NULL").groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
-    alone = rows.select("k", F.lit(0).cast("long").alias("n_links"), F.col("k").alias("component"))
-    if common is None:
-        return alone
-    dim = common["dim"]
-    valid = F.coalesce(F.col("dim") == dim, F.lit(False))
-    classes = written(rows.where(valid).groupBy("vec").agg(F.count("*").alias("n"), F.min("k").alias("rep")).withColumn(
+    valid = F.coalesce(F.col("dim") == F.lit(common and common["dim"]).cast("int"), F.lit(False))
+    classes = written(rows.where(valid).groupBy("vec", "dim").agg(F.count("*").alias("n"), F.min("k").alias("rep")).withColumn(
         "uid", F.monotonically_increasing_id()), "classes")
-    sample = hashed_sample(classes.select("vec"), sample_rows, "vec").collect()
-    kind = storage_type(vectors, column)
-    shared = spark.sparkContext.broadcast(ItqModel(stacked([bytes(r.vec) for r in sample], kind)))
-    keyed = written(hamming_rows(classes, shared, kind), "hamming")
+    kind, models = storage_type(vectors, column), {}
+    for r in classes.groupBy("dim").count().collect():
+        sample = [] if r["count"] <= CHUNK else hashed_sample(
+            classes.where(F.col("dim") == r["dim"]).select("vec"), sample_rows, "vec").collect()
+        models[r["dim"]] = ItqModel(stacked([bytes(x.vec) for x in sample], kind) if sample else None, r["count"], threshold)
+    shared = spark.sparkContext.broadcast(models)
+    coded = written(hamming_rows(classes, shared, kind), "hamming")
+    keyed = coded.select("uid", F.explode("keys").alias("key"))
     sizes = written(keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "sizes")
-    held = keyed.join(sizes, "key").withColumn("chunks", F.ceil(F.col("m") / chunk).cast("int")).withColumn(
+    chunked = keyed.join(sizes, "key").withColumn("chunks", F.ceil(F.col("m") / chunk).cast("int")).withColumn(
         "chunk", F.pmod(F.xxhash64("uid"), F.col("chunks")).cast("int"))
-    tiles = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "uid", "n", "vec", "code")
-    dealt = tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "chunk")
-    found = written(compare_buckets(dealt, shared, kind, threshold), "links")
+    tiles = chunked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+        "uid", "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk")
+    parts = default_partitions(classes)
+    numbered = tiles.withColumn("task", task_numbers(spark, parts)(F.xxhash64("key", "i", "j")))
+    lists = numbered.groupBy("uid", "task").agg(F.collect_list(F.struct("key", "i", "j", "chunk")).alias("tiles"))
+    dealt = lists.join(classes.select("uid", "n", "dim", "vec"), "uid").join(coded.select("uid", "code"), "uid").repartition(parts, "task")
+    found = written(compare_buckets(dealt.select("uid", "n", "dim", "vec", "code", "tiles"), shared, kind, threshold), "links")
     labels = label_components(classes.select(F.col("uid").alias("node"), F.col("rep").alias("name")),
                               found.where("b IS NOT NULL").select("a", "b"))
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("u")).agg(F.sum("links").alias("links"))
