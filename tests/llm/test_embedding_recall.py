@@ -1,6 +1,7 @@
 """Embeddings: recall of links just above the threshold, and small tables."""
 
 import numpy as np
+import pytest
 from llm_fixtures import save
 from test_duplicates import brute_links, vectors
 
@@ -21,6 +22,29 @@ def planted(pairs, mean, seed, dim=64, low=0.90, high=0.95):
     return x.astype(np.float32), (c * x + np.sqrt(1 - c * c) * way).astype(np.float32), c[:, 0]
 
 
+def links_of(x):
+    """Number of other rows of cosine 0.9 or more, by comparing all."""
+    unit = x.astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    return np.concatenate([(unit[k:k + 500] @ unit.T >= E.THRESHOLD).sum(axis=1) - 1 for k in range(0, len(unit), 500)])
+
+
+@pytest.mark.parametrize("mean", [0, 1, 2])
+def test_recall_by_cosine_band(spark, tmp_path, mean):
+    x, y, c = planted(3000, mean, 17)
+    both = np.concatenate([x, y])
+    save(vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(both)]), tmp_path, "embeddings")
+    found = {r["vec_id"]: r["n_links"] for r in E.op3_embeddings(spark, str(tmp_path)).collect()}
+    got, want = np.array([found[i] for i in range(len(both))]), links_of(both)
+    assert (got <= want).all()
+    for low, high in ((0.90, 0.92), (0.92, 0.95)):
+        band = np.nonzero((c >= low) & (c < high))[0]
+        band = np.concatenate([band, band + len(c)])
+        recall = got[band].sum() / want[band].sum()
+        print(f"mean {mean}, cosine {low} to {high}: recall {recall:.4f} of {want[band].sum()}")
+        assert recall >= 0.95
+
+
 def test_few_vectors_are_compared_whole(spark, tmp_path):
     x, y, _ = planted(100, 2, 3, 16)
     rows = [(i, [float(f) for f in v]) for i, v in enumerate(np.concatenate([x, y]))]
