@@ -1,4 +1,4 @@
-"""Embeddings: recall of links just above the threshold, and small tables."""
+"""Embeddings: recall of links just above the threshold, and tables with vectors of several lengths."""
 
 import numpy as np
 import pytest
@@ -45,6 +45,24 @@ def test_recall_by_cosine_band(spark, tmp_path, mean):
         assert recall >= 0.95
 
 
+def test_each_length_is_compared_whole(spark, tmp_path):
+    rows = []
+    for dim, pairs in ((16, 200), (24, 400), (5, 20)):
+        x, y, _ = planted(pairs, 0, dim, dim, 0.95, 0.999)
+        rows += [(len(rows) + k, [float(f) for f in v]) for k, v in enumerate(np.concatenate([x, y]))]
+    rows += [(9000, [1.0] * 7), (9001, [1.0] * 7), (9002, [1.0] * 8)]
+    save(vectors(spark, [(i, v, 1) for i, v in rows]), tmp_path, "embeddings")
+    found = {r["vec_id"]: r["n_links"] for r in E.op3_embeddings(spark, str(tmp_path)).collect()}
+    assert len(found) == len(rows)
+    for dim in (5, 7, 8, 16, 24):
+        ids = [i for i, v in rows if len(v) == dim]
+        want = links_of(np.array([v for _, v in rows if len(v) == dim], np.float32))
+        got = np.array([found[i] for i in ids])
+        assert (got <= want).all() and got.sum() >= 0.95 * want.sum()
+        if len(ids) <= E.CHUNK:
+            assert (got == want).all()
+
+
 def test_few_vectors_are_compared_whole(spark, tmp_path):
     x, y, _ = planted(100, 2, 3, 16)
     rows = [(i, [float(f) for f in v]) for i, v in enumerate(np.concatenate([x, y]))]

@@ -4,7 +4,7 @@
    are centred and turned to their principal axes. Iterative quantisation then
    learns a rotation that brings them close to balanced binary codes: signs
    and rotation are fitted in turns. Several rotations, from different starts,
-   give longer codes.
+   give longer codes. Each length of vector has a model of its own.
 2. Each code is cut into substrings. A substring is the key of one Hamming
    table, so every class stands in each table once. Classes in one bucket are
    candidates if their whole codes differ in at most `radius` bits. Substrings
@@ -20,9 +20,8 @@ own. Tiles are dealt to tasks; a vector travels once to each task that holds
 any of its tiles. A task hands on link counts, and one link per class for the
 components, not all pairs.
 
-Defined cases: NULL and zero vectors, vectors with NULL or non-finite
-components, and vectors of another than the most frequent length link with
-nothing. A NULL id takes part, but names a component only if all its members
+Defined cases: NULL and zero vectors, and vectors with NULL or non-finite
+components link with nothing; vectors of different lengths do not link. A NULL id takes part, but names a component only if all its members
 are NULL. Repeated rows link with each other. An empty table gives an empty
 result. Extra columns are ignored.
 """
@@ -280,8 +279,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embeddi
     """(k, n_links, component) of every row: direct links, and the smallest key reachable by links."""
     spark = vectors.sparkSession
     rows = written(vector_rows(vectors, key, column), "vectors")
-    common = rows.where("dim IS NOT NULL").groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
-    valid = F.coalesce(F.col("dim") == F.lit(common and common["dim"]).cast("int"), F.lit(False))
+    valid = F.col("dim").isNotNull()
     classes = written(rows.where(valid).groupBy("vec", "dim").agg(F.count("*").alias("n"), F.min("k").alias("rep")).withColumn(
         "uid", F.monotonically_increasing_id()), "classes")
     kind, models = storage_type(vectors, column), {}
