@@ -1,6 +1,7 @@
 """Packing of tokenised documents into fixed-length sequences by minimum bin slack.
 
-Tokens: a public byte-level BPE, with one separator id behind each document.
+Tokens: a public byte-level BPE as it is read from its file, added tokens
+included, with one separator id behind each document.
 A document longer than a sequence is cut into full pieces behind a shorter
 first one. Full pieces are sequences of their own. The others are dealt at
 random into groups of bounded size, and each group is packed alone: the
@@ -53,13 +54,21 @@ class WordTokenizer:
     then punctuation is two words for the tokenizer, whose merges are asked
     for directly. Other parts are encoded by the whole tokenizer, and so are
     texts with other white space beside a cut.
+
+    With `added`, the tokenizer stays as it was read: a text that holds one of
+    its added tokens gets that token's id, and is encoded whole. Otherwise
+    such tokens are plain text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added: list[str] = []
+        if added:
+            self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        else:
+            self.tokenizer.encode_special_tokens = True
         self.merge = self.tokenizer.model.tokenize
         self.letters = byte_letters()
         self.known: dict[str, bytes | None] = {}
@@ -98,13 +107,16 @@ class WordTokenizer:
             self.known.clear()
         known, parts = self.known, []
         for t in texts:
+            if any(a in t for a in self.added):
+                parts.append(None)
+                continue
             first, *rest = t.split(" ")
             parts.append([first, *[" " + w for w in rest]])
-        self._learn({w for p in parts for w in p if w not in known})
+        self._learn({w for p in parts if p for w in p if w not in known})
         out: list[bytes | None] = []
         whole = []
         for t, p in zip(texts, parts):
-            ids = [known[w] for w in p]
+            ids = [known[w] for w in p] if p else [None]
             if None in ids:
                 whole.append(len(out))
                 out.append(None)
@@ -132,7 +144,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text:
     schema = f"k {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
 
     def run(batches):
-        words = WordTokenizer(tokenizer)
+        words = WordTokenizer(tokenizer, added=True)
         end = np.asarray([SEPARATOR], "<u4").tobytes()
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
