@@ -34,10 +34,12 @@ BASE_KINDS = ("assign", "access", "hex")
 MORE_RULES = (
     ("github", re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}")),
     ("jwt", re.compile(r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")),
-    ("pem", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----")),
+    # the whole key: to its END line, or without one to the end of the key's headers and base64 lines
+    ("pem", re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----(?:(?:(?!-----BEGIN )[\s\S])*?-----END \1-----|"
+                       r"(?:(?:\s|\\[nr])+(?:(?:Proc-Type|DEK-Info): [^\r\n]*|[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9+/]+={1,2}))*)")),
 )
 KINDS = BASE_KINDS + tuple(k for k, _ in MORE_RULES)
-RULE_VERSION = "2"
+RULE_VERSION = "3"
 
 FINDINGS = "array<struct<kind:string,start:int,end:int>>"
 LEDGER = f"blob binary, rules string, findings {FINDINGS}"
