@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tillflow.llm.decontaminate import op10_decontaminate
 from tillflow.llm.embeddings import op3_embeddings
+from tillflow.llm.harmonic import op12_harmonic
 from tillflow.llm.packing import op6_packing
 from tillflow.llm.quality import op2_quality
 from tillflow.llm.secrets import op4_secrets
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_url_filter": op9_url_filter,
     "op10_decontaminate": op10_decontaminate,
+    "op12_harmonic": op12_harmonic,
 }
 
 ORACLE: dict[str, str] = {}
