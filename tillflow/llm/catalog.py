@@ -7,6 +7,7 @@ from tillflow.llm.embeddings import op3_embeddings
 from tillflow.llm.harmonic import op12_harmonic
 from tillflow.llm.packing import op6_packing
 from tillflow.llm.quality import op2_quality
+from tillflow.llm.repair import op11_repair
 from tillflow.llm.secrets import op4_secrets
 from tillflow.llm.simhash import op1_simhash
 from tillflow.llm.suffix_dedup import op5_suffix_dedup
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_url_filter": op9_url_filter,
     "op10_decontaminate": op10_decontaminate,
+    "op11_repair": op11_repair,
     "op12_harmonic": op12_harmonic,
 }
 
