@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillflow.llm.align import op13_align
 from tillflow.llm.decontaminate import op10_decontaminate
 from tillflow.llm.embeddings import op3_embeddings
 from tillflow.llm.harmonic import op12_harmonic
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
     "op11_repair": op11_repair,
     "op12_harmonic": op12_harmonic,
+    "op13_align": op13_align,
 }
 
 ORACLE: dict[str, str] = {}
