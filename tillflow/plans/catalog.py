@@ -43,6 +43,8 @@ STAR_JOBS: dict[str, Callable[[warehouse.Star], DataFrame]] = {
     **{name: getattr(reports, name) for name in (
         "revenue_by_category", "top_customers", "monthly_revenue", "ticket_by_state",
         "top_products_by_category", "rfm_customers", "status_distribution")},
+    # Reads by one key, through the clustered copy of the fact
+    **{name: getattr(reports, name) for name in ("sales_of_customer", "sales_of_product", "sales_between")},
     # Exploratory statistics
     **{name: getattr(profile, name) for name in (
         "numeric_stats", "categorical_stats", "correlation_matrix", "iqr_bounds", "outlier_rows",

@@ -8,12 +8,15 @@ scalar subqueries (computed once, no join).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.functions.money import mean_money_out, money_out, percent_out
+from tillflow.functions.money import mean_money_out, money_out, percent_out, report_columns
+from tillflow.operators.clustering import Lookup
 from tillflow.operators.ordering import global_row_index, ntile_from_index
-from tillflow.plans.warehouse import Star
+from tillflow.plans.warehouse import Star, look_up
 
 
 def _with_products(s: Star) -> DataFrame:
@@ -126,3 +129,24 @@ def status_distribution(s: Star) -> DataFrame:
     g = s.fact.groupBy("Status_Pedido").agg(F.count(F.lit(1)).alias("qtd"))
     return g.select("Status_Pedido", "qtd", percent_out(F.col("qtd"), total).alias("pct")) \
         .orderBy(F.col("qtd").desc())
+
+
+def _looked_up(s: Star, lookup: Lookup) -> DataFrame:
+    found = look_up(s, lookup)
+    return found.select(*report_columns(found))
+
+
+def sales_of_customer(s: Star, customer: str | None = None) -> DataFrame:
+    """All sales of one customer (the first by id unless given), by the customer access path."""
+    customer = customer or s.customers.agg(F.min("ID_Cliente")).first()[0]
+    return _looked_up(s, Lookup("ID_Cliente", (customer or "",)))
+
+
+def sales_of_product(s: Star, product: str = "PRD0001") -> DataFrame:
+    """All sales of one product, by the product access path."""
+    return _looked_up(s, Lookup("ID_Produto", (product,)))
+
+
+def sales_between(s: Star, first: dt.date = dt.date(1997, 3, 1), last: dt.date = dt.date(1997, 3, 7)) -> DataFrame:
+    """All sales of a range of days, by the date access path."""
+    return _looked_up(s, Lookup("Data_Venda", least=first, most=last))

@@ -16,6 +16,10 @@ table; a table that has lost rows or files since is built again.
 Layout: the fact is range-partitioned by sale date, so every file covers a
 narrow range of dates and date filters skip files through Parquet min/max
 statistics.
+
+Access paths: `access_path` lays a second copy of the fact out along a curve
+through customer, product and date (operators.clustering), once per star, for
+reads by any of these keys.
 """
 
 from __future__ import annotations
@@ -31,6 +35,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tillflow.operators.clustering import ZONES, Lookup, read_clustered, write_clustered
 from tillflow.operators.cleaning import finish_clean, median_of, parse_stage
 from tillflow.operators.modelling import dim_customers, dim_products, enriched_sales, fact_sales
 from tillflow.session import ensure_checkpoint_dir, scratch_path
@@ -90,6 +95,27 @@ def open_star(spark: SparkSession, location: str, median: float | None) -> Star:
     return star
 
 
+#: Columns that sales are looked up by, each alone or together.
+ACCESS_COLUMNS = ("ID_Cliente", "ID_Produto", "Data_Venda")
+
+
+def access_path(s: Star) -> str:
+    """The fact clustered on customer, product and date, with its zone map; written once per star."""
+    path = f"{s.location}/fact_by_key"
+    if s.memo.get("access_path") != path:
+        spark = s.fact.sparkSession
+        fs, zones = _files(spark, f"{path}/{ZONES}/_SUCCESS")
+        if not fs.exists(zones):  # the zone map is written last: without it the copy is not whole
+            write_clustered(s.fact, path, list(ACCESS_COLUMNS), ["ID_Transacao"])
+        s.memo["access_path"] = path
+    return path
+
+
+def look_up(s: Star, *lookups: Lookup) -> DataFrame:
+    """Sales that meet all lookups, read from the files of the access path that can hold them."""
+    return read_clustered(s.fact.sparkSession, access_path(s), list(lookups))
+
+
 def table_counts(s: Star) -> dict[str, int]:
     """Rows of each written table (read from the file footers)."""
     return {"parsed": s.memo["parsed"].count(), "products": s.products.count(),
