@@ -17,7 +17,6 @@ pieces. Extra columns are ignored.
 
 from __future__ import annotations
 
-import os
 import zlib
 
 import numpy as np
@@ -26,105 +25,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.llm.common import prepare, table, written
+from tillflow.llm.tokens import ByteTokens, tokenizer_path
 
 CAPACITY = 2048
 SEPARATOR = 0
 #: Pieces packed together; a group holds a few thousand small rows.
 GROUP_PIECES = 4000
-#: Distinct words remembered by one tokenising task (about 200 bytes each).
-CACHE_WORDS = 600_000
-# Fixed value: punctuation that may end a part.
-PUNCTUATION = ".,;:!?"
-
-
-def byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte in a byte-level vocabulary: itself if it can be
-    printed, else the next code point from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {**{b: chr(b) for b in plain}, **{b: chr(256 + k) for k, b in enumerate(rest)}}
 
 
 class WordTokenizer:
-    """Token ids of whole texts, as little-endian unsigned 32-bit bytes.
-
-    The tokenizer splits words before it merges bytes, and always before a
-    single blank that stands between two other characters. So a text can be
-    cut there, and the ids of each part are remembered. A part of letters and
-    then punctuation is two words for the tokenizer, whose merges are asked
-    for directly. Other parts are encoded by the whole tokenizer, and so are
-    texts with other white space beside a cut.
+    """Token ids of whole texts, as little-endian unsigned 32-bit bytes (see `tokens.ByteTokens`).
 
     With `added`, the tokenizer stays as it was read: a text that holds one of
-    its added tokens gets that token's id, and is encoded whole. Otherwise
-    such tokens are plain text.
+    its added tokens gets that token's id. Otherwise such tokens are plain text.
     """
 
     def __init__(self, path: str, added: bool = False):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.added: list[str] = []
-        if added:
-            self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        else:
-            self.tokenizer.encode_special_tokens = True
-        self.merge = self.tokenizer.model.tokenize
-        self.letters = byte_letters()
-        self.known: dict[str, bytes | None] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _word(self, word: str) -> bytes:
-        """Ids of one word as the tokenizer splits them (a leading blank belongs to it)."""
-        spelt = word.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.merge(spelt)], "<u4").tobytes()
-
-    def _learn(self, parts: set[str]) -> None:
-        known, other = self.known, []
-        for part in parts:
-            bare = part[1:] if part[:1] == " " else part
-            core = bare.rstrip(PUNCTUATION)
-            # a part must hold no blank at a cut: neither empty nor with white space at its edges
-            if not bare or bare[0].isspace() or bare[-1].isspace():
-                known[part] = None
-            elif core.isalpha():
-                word, tail = part[:len(part) - len(bare) + len(core)], bare[len(core):]
-                ids = known.get(word) or self._word(word)
-                known[word] = ids
-                if tail:
-                    end = known.get(tail) or self._word(tail)
-                    known[tail] = end
-                    known[part] = ids + end
-            else:
-                other.append(part)
-        known.update(zip(other, self._encode(other)))
+        self.tokens = ByteTokens(path, plain=not added)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        known, parts = self.known, []
-        for t in texts:
-            if any(a in t for a in self.added):
-                parts.append(None)
-                continue
-            first, *rest = t.split(" ")
-            parts.append([first, *[" " + w for w in rest]])
-        self._learn({w for p in parts if p for w in p if w not in known})
-        out: list[bytes | None] = []
-        whole = []
-        for t, p in zip(texts, parts):
-            ids = [known[w] for w in p] if p else [None]
-            if None in ids:
-                whole.append(len(out))
-                out.append(None)
-            else:
-                out.append(b"".join(ids))
-        for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
-            out[i] = ids
-        return out
+        return [ids.tobytes() for ids in self.tokens.encode(texts)]
 
 
 def pieces_of(ids: bytes, capacity: int) -> list[tuple[int, int]]:
@@ -246,11 +166,6 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
     return packed.unionByName(full)
 
 
-def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
-    import public_tokenizers
-    return public_tokenizers.path(name)
-
-
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents with their sequence and place."""
     return pack_pieces(tokenized_pieces(docs, tokenizer or tokenizer_path(), capacity=capacity), capacity)
