@@ -99,3 +99,51 @@ def test_fact_files_cover_disjoint_dates(spark, star_small):
     assert len(files) > 4
     assert all(x["b"] <= y["a"] for x, y in zip(files, files[1:]))  # at most a shared day
     assert fact.exceptAll(star_small.fact).isEmpty()
+
+
+# product reports: queries that read a product column but move no sale for it
+PRODUCT_REPORTS = ["revenue_by_category", "top_products_by_category", "categorical_stats", "dataset_profile",
+                   "dash_category_revenue", "dash_category_revenue_selection", "dash_top_products",
+                   "dash_top_products_selection", "outlier_rows", "outlier_detail", "top_outliers", "filtered_sales",
+                   "enriched_sales", "kpi_summary_selection", "filter_domains"]
+
+
+def exchanges_of_sales(p: str) -> list[str]:
+    """Exchanges of a plan with the scan of the fact below and no aggregate or limit between."""
+    lines = [x for x in p.split("\n") if x.strip()]
+    depth = [len(x) - len(x.lstrip(" :+-*()0123456789")) for x in lines]
+    bad = []
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" not in line and "Exchange rangepartitioning" not in line:
+            continue
+        for j in range(i + 1, len(lines)):
+            if depth[j] <= depth[i] or "Aggregate" in lines[j] or "TakeOrdered" in lines[j]:
+                break
+            if "Scan parquet" in lines[j] and "Faturamento" in lines[j] + line or "/fact" in lines[j]:
+                bad.append(line)
+    return bad
+
+
+@pytest.mark.parametrize("name", PRODUCT_REPORTS)
+def test_product_join_moves_no_sales(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        p = plan(catalog.queries()[name](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "Scan parquet" in p
+    assert exchanges_of_sales(p) == []
+
+
+def test_a_product_dimension_beyond_the_limit_is_not_broadcast(spark, star_small, monkeypatch):
+    from tillflow.plans import warehouse
+    whole = star_small.product_bytes
+    wide = star_small.enriched()
+    assert "BroadcastHashJoin" in plan(wide) and star_small.product_bytes > 0
+    monkeypatch.setattr(warehouse, "PRODUCT_BROADCAST_BYTES", 10)
+    merged = star_small.enriched()
+    assert "Broadcast" not in plan(merged) and exchanges_of_sales(plan(merged)) != []
+    assert merged.exceptAll(wide).isEmpty() and merged.count() == wide.count()
+    # the reports still join sums, not sales
+    assert exchanges_of_sales(plan(reports.revenue_by_category(star_small))) == []
+    assert whole is None or whole == star_small.product_bytes

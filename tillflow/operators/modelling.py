@@ -48,5 +48,8 @@ def fact_sales(clean: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def enriched_sales(fact: DataFrame, products: DataFrame) -> DataFrame:
-    """Fact inner join product -> fact columns plus product name and category."""
+    """Fact inner join product -> fact columns plus product name and category.
+
+    Whether `products` is broadcast is the caller's choice (see Star.named).
+    """
     return fact.join(products, "ID_Produto").select(*FACT_COLUMNS, "Nome_Produto", "Categoria_Produto")

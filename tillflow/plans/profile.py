@@ -7,11 +7,13 @@ until the report edge, where values are rounded half away from zero.
 
 from __future__ import annotations
 
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.functions.money import ratio_out, report_columns, round_double, to_units
+from tillflow.operators.modelling import enriched_sales
 from tillflow.operators.quantiles import COL, quantile_values
 from tillflow.plans.warehouse import Star
 
@@ -72,8 +74,8 @@ def categorical_stats(s: Star) -> DataFrame:
 def numeric_stats_by_column(s: Star) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max per numeric column (rounded to 2).
 
-    One aggregate pass for the moments and extremes; exact quartiles from the
-    distributed histogram (operators.quantiles).
+    One aggregate pass for the moments and extremes; exact quartiles by
+    selection (operators.quantiles).
     """
     df = s.fact
     aggs = []
@@ -99,10 +101,18 @@ def numeric_stats_by_column(s: Star) -> DataFrame:
 
 
 def categorical_stats_by_column(s: Star) -> DataFrame:
-    """Non-null count, distinct values, mode (ties -> smallest value) and its frequency."""
-    df = s.enriched().select(*CATEGORICAL_COLS)
-    long = df.unpivot([], list(CATEGORICAL_COLS), COL, "valor").where(F.col("valor").isNotNull())
+    """Non-null count, distinct values, mode (ties -> smallest value) and its frequency.
+
+    The category is counted by product key first; only those counts meet the dimension.
+    """
+    plain = [c for c in CATEGORICAL_COLS if c in s.fact.columns]
+    long = s.fact.unpivot([], plain, COL, "valor").where(F.col("valor").isNotNull())
     counts = long.groupBy(COL, "valor").agg(F.count(F.lit(1)).alias("n"))
+    per_product = s.named(s.fact.groupBy("ID_Produto").agg(F.count(F.lit(1)).alias("_rows")))
+    for c in CATEGORICAL_COLS:
+        if c not in plain:
+            counts = counts.unionByName(per_product.where(F.col(c).isNotNull()).groupBy(
+                F.lit(c).alias(COL), F.col(c).alias("valor")).agg(F.sum("_rows").alias("n")))
     return counts.groupBy(COL).agg(
         F.sum("n").alias("contagem"),
         F.count(F.lit(1)).alias("unicos"),
@@ -131,32 +141,21 @@ def correlation_matrix(s: Star) -> DataFrame:
                        for i, a in enumerate(NUMERIC_COLS)])
 
 
-def quartiles(s: Star) -> dict[tuple[str, float], object]:
-    """Exact quartiles of the numeric columns {(col, p): Decimal}, once per star (9 scalars)."""
-    if "quartiles" not in s.memo:
-        s.memo["quartiles"] = quantile_values(s.fact, list(NUMERIC_COLS), [0.25, 0.5, 0.75], EXACT)
-    return s.memo["quartiles"]
-
+def quartiles(s: Star, columns=NUMERIC_COLS) -> dict[tuple[str, float], object]:
+    """Exact quartiles of the columns {(col, p): Decimal}, each column once per star."""
+    known = s.memo.setdefault("quartiles", {})
+    new = [c for c in columns if (c, 0.5) not in known]
+    if new:
+        known.update(quantile_values(s.fact, new, [0.25, 0.5, 0.75], EXACT))
+    return known
 
-def fences(s: Star) -> dict[str, tuple]:
-    """Exact IQR fences per numeric column: {col: (q1, q3, lower, upper)} as decimals.
 
-    Six scalars, computed once per star and reused by the outlier queries.
-    """
-    if "fences" in s.memo:
-        return s.memo["fences"]
-    from decimal import Decimal
-    q = quartiles(s)
-    out = {}
-    for c in NUMERIC_COLS:
-        q1, q3 = q[(c, 0.25)], q[(c, 0.75)]
-        if q1 is None:
-            out[c] = (None, None, None, None)
-            continue
-        iqr = q3 - q1
-        k = Decimal(IQR_FACTOR)
-        out[c] = (q1, q3, q1 - k * iqr, q3 + k * iqr)
-    s.memo["fences"] = out
+def fences(s: Star, columns=NUMERIC_COLS) -> dict[str, tuple]:
+    """Exact IQR fences of the columns: {col: (q1, q3, lower, upper)} as decimals (six scalars a column)."""
+    q, k, out = quartiles(s, columns), Decimal(IQR_FACTOR), {}
+    for c in columns:
+        q1, q3 = q[c, 0.25], q[c, 0.75]
+        out[c] = (None,) * 4 if q1 is None else (q1, q3, q1 - k * (q3 - q1), q3 + k * (q3 - q1))
     return out
 
 
@@ -195,7 +194,7 @@ def _report_cols(df: DataFrame) -> list[Column]:
 
 def outlier_rows(s: Star, column: str = "Faturamento") -> DataFrame:
     """E5: sales strictly outside the column's IQR fences."""
-    f = fences(s)
+    f = fences(s, [column])
     df = s.enriched()
     return df.where(_is_outlier(column, f[column])).select(*_report_cols(df))
 
@@ -227,11 +226,11 @@ def outlier_detail(s: Star) -> DataFrame:
 
 def top_outliers(s: Star, column: str = "Faturamento", n: int = 10) -> DataFrame:
     """The n largest outliers of the column (ties by transaction id)."""
-    f = fences(s)
-    df = s.enriched()
-    top = df.where(_is_outlier(column, f[column])) \
-        .orderBy(F.col(column).desc(), F.col("ID_Transacao").asc()).limit(n)
-    return top.select(*_report_cols(df))
+    f = fences(s, [column])
+    order = [F.col(column).desc(), F.col("ID_Transacao").asc()]
+    top = s.fact.where(_is_outlier(column, f[column])).orderBy(*order).limit(n)
+    df = enriched_sales(top, s.measured_products()).orderBy(*order)  # n rows
+    return df.select(*_report_cols(df))
 
 
 def boxplot_stats(s: Star) -> DataFrame:
@@ -259,8 +258,14 @@ def boxplot_stats(s: Star) -> DataFrame:
 
 
 def dataset_profile(s: Star) -> DataFrame:
-    """Rows, distinct customers and distinct product names of the enriched fact."""
-    return s.enriched().agg(
-        F.count(F.lit(1)).alias("linhas"),
-        F.count_distinct("ID_Cliente").alias("clientes_unicos"),
+    """Rows, distinct customers and distinct product names of the enriched fact.
+
+    Rows are counted by product key before the join. Every key of the fact is
+    in the dimension (both come from the same rows), so the customers need no join.
+    """
+    customers = s.fact.where(F.col("ID_Produto").isNotNull()).agg(F.count_distinct("ID_Cliente")).scalar()
+    per_product = s.named(s.fact.groupBy("ID_Produto").agg(F.count(F.lit(1)).alias("_rows")))
+    return per_product.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0).cast("long")).alias("linhas"),
+        customers.alias("clientes_unicos"),
         F.count_distinct("Nome_Produto").alias("produtos_unicos"))

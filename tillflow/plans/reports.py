@@ -4,6 +4,11 @@ Global windows appear only over results that are already aggregated to one
 row per category / month / top-10 row; ranking over all customers goes through
 the distributed global row index. Totals used in percentages are uncorrelated
 scalar subqueries (computed once, no join).
+
+Reports by a product column aggregate by product key first: the sums of a
+product are joined to its name and category and summed again, so no sale is
+shuffled for the join, however skewed the products are. Decimal sums are exact,
+so summing in two steps gives the same values.
 """
 
 from __future__ import annotations
@@ -19,15 +24,12 @@ from tillflow.operators.ordering import global_row_index, ntile_from_index
 from tillflow.plans.warehouse import Star, look_up
 
 
-def _with_products(s: Star) -> DataFrame:
-    return s.fact.join(s.products, "ID_Produto")
-
-
 def revenue_by_category(s: Star) -> DataFrame:
     """Q1: per category sales, revenue, mean ticket and rank by (unrounded) revenue."""
-    g = _with_products(s).groupBy("Categoria_Produto").agg(
-        F.count(F.lit(1)).alias("qtd_vendas"), F.sum("Faturamento").alias("_tot"),
-        F.count("Faturamento").alias("_n"))
+    per_product = s.fact.groupBy("ID_Produto").agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum("Faturamento").alias("_sum"), F.count("Faturamento").alias("_present"))
+    g = s.named(per_product).groupBy("Categoria_Produto").agg(
+        F.sum("_rows").alias("qtd_vendas"), F.sum("_sum").alias("_tot"), F.sum("_present").alias("_n"))
     by_revenue = Window.orderBy(F.col("_tot").desc())  # one row per category
     return (g.select(
         "Categoria_Produto", "qtd_vendas",
@@ -86,8 +88,9 @@ def ticket_by_state(s: Star) -> DataFrame:
 
 def top_products_by_category(s: Star, k: int = 3) -> DataFrame:
     """Q5: the k best-selling products of each category, ties kept (RANK <= k)."""
-    g = _with_products(s).groupBy("Categoria_Produto", "Nome_Produto").agg(
-        F.sum("Quantidade").alias("qtd_total"), F.sum("Faturamento").alias("_tot"))
+    # a product key is one (category, name), so its sums are the group's
+    g = s.named(s.fact.groupBy("ID_Produto").agg(
+        F.sum("Quantidade").alias("qtd_total"), F.sum("Faturamento").alias("_tot")))
     in_category = Window.partitionBy("Categoria_Produto").orderBy(F.col("_tot").desc())
     ranked = g.withColumn("ranking_categoria", F.rank().over(in_category)) \
         .where(F.col("ranking_categoria") <= k)
