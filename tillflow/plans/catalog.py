@@ -13,7 +13,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from tillflow import oracle
-from tillflow.plans import etl_steps, forecast, kpis, profile, reports, warehouse
+from tillflow.plans import cells, dashboard, etl_steps, forecast, kpis, profile, reports, warehouse
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,16 @@ STAR_JOBS: dict[str, Callable[[warehouse.Star], DataFrame]] = {
     **_KPI_VIEWS,
     **{f"{name}_selection": partial(fn, p=kpis.SELECTION) for name, fn in _KPI_VIEWS.items()},
     **{f"{name}_empty": partial(fn, p=kpis.NOTHING) for name, fn in _KPI_VIEWS.items()},
+    # D5, Q4, E10 from kept customer sets
+    "kpi_merged": cells.kpi_merged,
+    "kpi_merged_selection": partial(cells.kpi_merged, p=kpis.SELECTION),
+    "kpi_merged_empty": partial(cells.kpi_merged, p=kpis.NOTHING),
+    "state_merged": cells.state_merged,
+    "profile_merged": cells.profile_merged,
+    # D5-D14 of one dashboard state from one scan
+    "dashboard": dashboard.dashboard,
+    "dashboard_selection": partial(dashboard.dashboard, p=kpis.SELECTION),
+    "dashboard_empty": partial(dashboard.dashboard, p=kpis.NOTHING),
     # forecast
     "daily_revenue_dense": forecast.daily_revenue_dense,
     "calendar_features": forecast.calendar_feature_table,

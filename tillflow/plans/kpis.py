@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tillflow.functions.dates import month_start, week_label
 from tillflow.functions.money import (format_brl, format_int_br, money_out, ratio_out,
                                      report_columns, to_units)
+from tillflow.operators.lifecycle import lifecycle_of, lifecycle_state
 from tillflow.plans.warehouse import Star
 
 # Churn threshold slider (default, min, max, step) and formats.
@@ -50,20 +51,29 @@ DEMO = KpiParams(start=dt.date(1996, 1, 1), end=dt.date(1999, 12, 31),
                  categorias=("Economy", "Promo", "Standard"), status=("F", "O"))
 
 
-def sale_filter(p: KpiParams) -> Column:
-    """D3 predicate: date range AND each non-empty IN-list."""
+def fact_filter(p: KpiParams) -> Column:
+    """The part of the D3 predicate that reads fact columns: date range and three lists."""
     cond = F.lit(True)
     if p.start is not None:
         cond = cond & (F.col("Data_Venda") >= F.lit(p.start))
     if p.end is not None:
         cond = cond & (F.col("Data_Venda") <= F.lit(p.end))
-    for col, values in (("Categoria_Produto", p.categorias), ("Estado", p.estados),
-                        ("Status_Pedido", p.status), ("Metodo_Pagamento", p.metodos)):
+    for col, values in (("Estado", p.estados), ("Status_Pedido", p.status), ("Metodo_Pagamento", p.metodos)):
         if values:
             cond = cond & F.col(col).isin(*values)
     return cond
 
 
+def product_filter(p: KpiParams) -> Column:
+    """The part of the D3 predicate that reads the product dimension."""
+    return F.col("Categoria_Produto").isin(*p.categorias) if p.categorias else F.lit(True)
+
+
+def sale_filter(p: KpiParams) -> Column:
+    """D3 predicate: date range AND each non-empty IN-list."""
+    return fact_filter(p) & product_filter(p)
+
+
 # A selection that uses all four lists and the dates, and one that nothing matches.
 SELECTION = KpiParams(start=dt.date(1996, 2, 1), end=dt.date(1999, 6, 30),
                       categorias=("Economy", "Promo", "Standard"),
@@ -77,7 +87,7 @@ def filtered_sales(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     return s.enriched().where(sale_filter(p))
 
 
-def _sales(s: Star, p: KpiParams) -> DataFrame:
+def selected_sales(s: Star, p: KpiParams) -> DataFrame:
     """Sales that pass the filters, for jobs that read fact columns only: the product
     dimension is joined only where its category filter asks for it."""
     return (s.enriched() if p.categorias else s.fact).where(sale_filter(p))
@@ -98,15 +108,7 @@ def customer_lifecycle(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """
     key = ("lifecycle", p.cut)
     if key not in s.memo:
-        df = s.fact
-        last_day = df.agg(F.max("Data_Venda")).scalar()
-        s.memo[key] = df.groupBy("ID_Cliente").agg(
-            F.max("Data_Venda").alias("ultima_compra"),
-            F.bool_or(F.col("Data_Venda") < F.lit(p.cut)).alias("comprou_h1"),
-            F.bool_or(F.col("Data_Venda") >= F.lit(p.cut)).alias("comprou_h2"),
-        ).withColumn("recencia_dias", F.datediff(last_day, F.col("ultima_compra"))) \
-            .select("ID_Cliente", "ultima_compra", "recencia_dias", "comprou_h1", "comprou_h2") \
-            .checkpoint(eager=True)
+        s.memo[key] = lifecycle_of(lifecycle_state(s.fact, p.cut)).checkpoint(eager=True)
     return s.memo[key]
 
 
@@ -132,7 +134,7 @@ def filter_domains(s: Star) -> DataFrame:
 
 def kpi_summary(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """D5 (+D16): total revenue, mean ticket, orders, distinct customers; zeros when empty."""
-    f = _sales(s, p)
+    f = selected_sales(s, p)
     g = f.agg(F.sum("Faturamento").alias("_tot"), F.count("Faturamento").alias("_n"),
               F.count(F.lit(1)).alias("total_pedidos"),
               F.count_distinct("ID_Cliente").alias("clientes_unicos"))
@@ -148,8 +150,12 @@ def _customer_counts(s: Star, p: KpiParams) -> DataFrame:
     The buyers are made distinct (a partial aggregate) before the semi join, so
     a customer with very many sales reaches the shuffle as one row per task.
     """
-    buyers = _sales(s, p).select("ID_Cliente").distinct()
-    inside = customer_lifecycle(s, p).join(buyers, "ID_Cliente", "left_semi")
+    return customer_counts(customer_lifecycle(s, p), selected_sales(s, p).select("ID_Cliente").distinct(), p)
+
+
+def customer_counts(lifecycle: DataFrame, buyers: DataFrame, p: KpiParams) -> DataFrame:
+    """One row of counts over the lifecycle rows of the buyers (distinct customer ids)."""
+    inside = lifecycle.join(buyers, "ID_Cliente", "left_semi")
     return inside.agg(
         F.count(F.lit(1)).alias("clientes"),
         F.count_if(F.col("recencia_dias") > p.churn_days).alias("perdidos"),
@@ -163,16 +169,24 @@ def _percent_or_zero(part: str, whole: str, scale: int) -> Column:
 
 def churn_rate(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """% of the filter's customers with recency > threshold (0 when none)."""
-    return _customer_counts(s, p).select(F.lit(p.churn_days).alias("limite_dias"), "clientes",
-                                         _percent_or_zero("perdidos", "clientes", 2).alias("churn_pct"))
+    return churn_of(_customer_counts(s, p), p)
+
+
+def churn_of(counts: DataFrame, p: KpiParams) -> DataFrame:
+    return counts.select(F.lit(p.churn_days).alias("limite_dias"), "clientes",
+                         _percent_or_zero("perdidos", "clientes", 2).alias("churn_pct"))
 
 
 def retention_rate(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """Of the filter's first-half buyers, % who also bought in the second half (0 when none)."""
-    return _customer_counts(s, p).select("base_h1", _percent_or_zero("retidos", "base_h1", 2).alias("retencao_pct"))
+    return retention_of(_customer_counts(s, p))
+
+
+def retention_of(counts: DataFrame) -> DataFrame:
+    return counts.select("base_h1", _percent_or_zero("retidos", "base_h1", 2).alias("retencao_pct"))
 
 
-def _period(freq: str, c: str = "Data_Venda") -> Column:
+def period(freq: str, c: str = "Data_Venda") -> Column:
     return {"D": F.col(c), "W": week_label(c), "MS": month_start(c)}[freq]
 
 
@@ -188,8 +202,13 @@ def resample(s: Star, p: KpiParams = DEFAULT, freq: str = "D") -> DataFrame:
     The calendar comes from sequence(first, last) on a one-row aggregate: its
     length is bounded by the time span, not by the data.
     """
-    f = _sales(s, p)
-    sums = f.groupBy(_period(freq).alias("periodo")).agg(F.sum("Faturamento").alias("_fat"))
+    f = selected_sales(s, p)
+    sums = f.groupBy(period(freq).alias("periodo")).agg(F.sum("Faturamento").alias("_fat"))
+    return dense_periods(sums, freq)
+
+
+def dense_periods(sums: DataFrame, freq: str) -> DataFrame:
+    """(periodo, _fat) with the periods between that are empty, and the rolling mean."""
     calendar = sums.agg(F.min("periodo").alias("a"), F.max("periodo").alias("b")) \
         .select(F.explode(F.sequence("a", "b", _step(freq))).alias("periodo"))
     dense = calendar.join(sums, "periodo", "left") \
@@ -201,50 +220,66 @@ def resample(s: Star, p: KpiParams = DEFAULT, freq: str = "D") -> DataFrame:
         .alias("media_movel_3")).orderBy("periodo")
 
 
+def _product_revenue(s: Star, p: KpiParams) -> DataFrame:
+    """Revenue of the filter's sales per product key, with name and category: the sales are summed
+    before the product join, which then moves one row per product."""
+    sums = s.fact.where(fact_filter(p)).groupBy("ID_Produto").agg(F.sum("Faturamento").alias("_sum"))
+    return s.named(sums).where(product_filter(p))
+
+
 def dash_category_revenue(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """Revenue by category, descending (NULL category dropped, as in a pandas groupby)."""
-    g = filtered_sales(s, p).where(F.col("Categoria_Produto").isNotNull()) \
-        .groupBy("Categoria_Produto").agg(F.sum("Faturamento").alias("_fat"))
+    return category_revenue_of(_product_revenue(s, p))
+
+
+def category_revenue_of(per_product: DataFrame) -> DataFrame:
+    g = per_product.where(F.col("Categoria_Produto").isNotNull()) \
+        .groupBy("Categoria_Produto").agg(F.sum("_sum").alias("_fat"))
     return g.select("Categoria_Produto", money_out(F.coalesce("_fat", F.lit(0))).alias("faturamento")) \
         .orderBy(F.col("faturamento").desc())
 
 
 def dash_status_counts(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """Sales per status, descending, NULL status excluded."""
-    return _sales(s, p).where(F.col("Status_Pedido").isNotNull()) \
+    return selected_sales(s, p).where(F.col("Status_Pedido").isNotNull()) \
         .groupBy("Status_Pedido").agg(F.count(F.lit(1)).alias("qtd")).orderBy(F.col("qtd").desc())
 
 
 def dash_top_products(s: Star, p: KpiParams = DEFAULT, n: int = 10) -> DataFrame:
     """Top-n product names by revenue (grouped by name only; ties by name)."""
-    g = filtered_sales(s, p).where(F.col("Nome_Produto").isNotNull()) \
-        .groupBy("Nome_Produto").agg(F.coalesce(F.sum("Faturamento"), F.lit(0)).alias("_fat"))
+    return top_products_of(_product_revenue(s, p), n)
+
+
+def top_products_of(per_product: DataFrame, n: int = 10) -> DataFrame:
+    g = per_product.where(F.col("Nome_Produto").isNotNull()) \
+        .groupBy("Nome_Produto").agg(F.coalesce(F.sum("_sum"), F.lit(0)).alias("_fat"))
     return g.orderBy(F.col("_fat").desc(), F.col("Nome_Produto")).limit(n) \
         .select("Nome_Produto", money_out("_fat").alias("faturamento"))
 
 
 def dash_state_ticket(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
     """Mean ticket per state, descending (NULL state dropped)."""
-    g = _sales(s, p).where(F.col("Estado").isNotNull()) \
+    g = selected_sales(s, p).where(F.col("Estado").isNotNull()) \
         .groupBy("Estado").agg(F.sum("Faturamento").alias("_fat"), F.count("Faturamento").alias("_n"))
     return g.select("Estado", ratio_out(to_units("_fat", 2), F.col("_n") * F.lit(100), 2)
                     .alias("ticket_medio")).orderBy(F.col("ticket_medio").desc())
 
 
-def kpi_formatted(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
-    """The KPI display strings (R$ 1.234,56 / 1.234 / 12,3%).
-
-    Percentages are rounded once, from the exact ratio to one decimal.
-    """
+def rate_texts(counts: DataFrame) -> DataFrame:
+    """One row, one struct: churn and retention as text, rounded once from the exact ratio to one decimal."""
     pct = lambda c: F.concat(F.format_number(c, 1), F.lit("%"))
-    rates = _customer_counts(s, p).select(F.struct(
+    return counts.select(F.struct(
         pct(_percent_or_zero("perdidos", "clientes", 1)).alias("churn"),
         pct(_percent_or_zero("retidos", "base_h1", 1)).alias("retencao")).alias("r"))
+
+
+def kpi_formatted(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
+    """The KPI display strings (R$ 1.234,56 / 1.234 / 12,3%)."""
     return kpi_summary(s, p).select(
         format_brl("faturamento_total").alias("faturamento_total"),
         format_brl("ticket_medio").alias("ticket_medio"),
         format_int_br("total_pedidos").alias("total_pedidos"),
         format_int_br("clientes_unicos").alias("clientes_unicos"),
-        rates.scalar().alias("_r"),
+        rate_texts(_customer_counts(s, p)).scalar().alias("_r"),
     ).select("faturamento_total", "ticket_medio", "total_pedidos", "clientes_unicos",
              F.col("_r.churn").alias("churn"), F.col("_r.retencao").alias("retencao"))

@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from tillflow.functions.money import report_columns
 from tillflow.plans import catalog
-from tillflow.plans.warehouse import Star, build_star
+from tillflow.plans.warehouse import build_star
 from tillflow.session import scratch_path
+from tillflow.sources.release import Release
 from tillflow.sources.sinks import write_csv, write_report, write_table
 from tillflow.sources.tables import MALFORMED, read_raw_sales_csv
 
@@ -37,34 +38,40 @@ def run_reports(spark: SparkSession, sf_dir: str, out_dir: str, names=None) -> d
     return {n: write_report(jobs[n](spark, sf_dir), out_dir, n) for n in _chosen(jobs, names)}
 
 
-def audit(raw: DataFrame, star: Star) -> DataFrame:
-    """C16 for a raw file: its lines, those that do not fit the schema, and the rows of each table."""
-    one = F.count(F.lit(1))
-    return raw.agg(one.alias("linhas_brutas"), F.count_if(MALFORMED).alias("linhas_malformadas")).select(
-        "*", star.clean.agg(one).scalar().alias("linhas_limpas"),
-        star.customers.agg(one).scalar().alias("clientes"), star.products.agg(one).scalar().alias("produtos"),
-        star.fact.agg(one).scalar().alias("vendas"),
-        star.clean.agg(F.count_if(F.col("Valor_Unitario").isNull())).scalar().alias("precos_invalidos"))
+def audit(spark: SparkSession, counted: dict[str, int]) -> DataFrame:
+    """C16 for a raw file: its lines, those that do not fit the schema, and the rows of each table, as counted
+    by the writes of the run."""
+    names = ("linhas_brutas", "linhas_malformadas", "linhas_limpas", "clientes", "produtos", "vendas", "precos_invalidos")
+    return spark.range(1).select(*[F.lit(counted[n]).cast("bigint").alias(n) for n in names])
 
 
 def run_raw(spark: SparkSession, raw_path: str, out_dir: str, names=None, multi_line: bool = False) -> dict[str, str]:
     """Raw sales file or folder -> clean file, dimensions, fact and reports under out_dir; name -> path.
 
-    Written: clean_sales (CSV), tables/customers, tables/products and
-    tables/sales (Parquet, the fact by month and day), etl_audit and one CSV
-    per report.
+    Written: clean_sales (CSV), the tables customers, products and sales
+    (Parquet, the fact by month and day) as one release under tables (see
+    sources.release: readers change over to all three at once), etl_audit and
+    one CSV per report.
     """
     chosen = _chosen(catalog.STAR_JOBS, names)
     out = out_dir.rstrip("/")
     work = scratch_path(spark, f"run-{uuid.uuid4().hex[:12]}")
-    raw = write_table(read_raw_sales_csv(spark, raw_path, multi_line, mark_malformed=True), f"{work}/raw")
+    counted: dict[str, int] = {}
+    raw = write_table(read_raw_sales_csv(spark, raw_path, multi_line, mark_malformed=True), f"{work}/raw", audit=counted,
+                      metrics={"linhas_brutas": F.count(F.lit(1)), "linhas_malformadas": F.count_if(MALFORMED)})
     star = build_star(spark, raw.drop(MALFORMED), f"{work}/star")
-    paths = {"clean_sales": f"{out}/clean_sales", **{t: f"{out}/tables/{t}" for t in ("customers", "products", "sales")}}
+    counted |= star.audit
+    release = Release(spark, f"{out}/tables")
+    paths = {"clean_sales": f"{out}/clean_sales", **{t: release.path(t) for t in ("customers", "products", "sales")}}
     write_csv(star.clean.select(*report_columns(star.clean)), paths["clean_sales"])
     write_table(star.customers, paths["customers"])
+    release.add("customers", counted["clientes"])
     write_table(star.products, paths["products"])
+    release.add("products", counted["produtos"])
     write_table(star.fact, paths["sales"], date_col="Data_Venda", key_col="ID_Transacao", partition_by_month=True)
-    paths["etl_audit"] = write_report(audit(raw, star), out, "etl_audit")
+    release.add("sales", counted["vendas"])
+    release.publish()
+    paths["etl_audit"] = write_report(audit(spark, counted), out, "etl_audit")
     return paths | {n: write_report(catalog.STAR_JOBS[n](star), out, n) for n in chosen}
 
 

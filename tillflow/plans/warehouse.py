@@ -28,11 +28,13 @@ import hashlib
 import threading
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillflow.operators.clustering import ZONES, Lookup, read_clustered, write_clustered
@@ -44,7 +46,10 @@ from tillflow.sources.sinks import write_table
 from tillflow.sources.tables import table_path
 
 # Raise with every change of what the written tables hold.
-TABLES_VERSION = 2
+TABLES_VERSION = 3
+
+# Largest product dimension that is broadcast (bytes in memory).
+PRODUCT_BROADCAST_BYTES = 64 << 20
 
 SOURCE_TABLES = ("lineitem", "orders", "part", "customer", "nation", "region")
 
@@ -58,9 +63,29 @@ class Star:
     fact: DataFrame
     # small driver-side results derived from the tables (e.g. IQR fences), per star
     memo: dict = field(default_factory=dict, repr=False)
+    product_bytes: int | None = None
+    # C16, counted by the ETL's own writes: rows of the raw input and of every table, unparsable prices
+    audit: dict = field(default_factory=dict)
+
+    def measured_products(self) -> DataFrame:
+        """The product dimension, to be broadcast if its measured size allows it.
+
+        Row reports join every sale to its product. A dimension within the
+        limit is broadcast, so no sale is shuffled; beyond it Spark's merge
+        join takes over. The size is that of the rows in memory, measured once
+        per star: text bytes and about 64 bytes of row and hash table.
+        """
+        if self.product_bytes is None:
+            size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in self.products.columns), F.lit(64))
+            self.product_bytes = self.products.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+        return F.broadcast(self.products) if self.product_bytes <= PRODUCT_BROADCAST_BYTES else self.products
+
+    def named(self, rows: DataFrame) -> DataFrame:
+        """Rows with an ID_Produto, joined to the product's name and category."""
+        return rows.join(self.measured_products(), "ID_Produto")
 
     def enriched(self) -> DataFrame:
-        return enriched_sales(self.fact, self.products)
+        return enriched_sales(self.fact, self.measured_products())
 
 
 def build_star(spark: SparkSession, raw: DataFrame, location: str) -> Star:
@@ -71,26 +96,29 @@ def build_star(spark: SparkSession, raw: DataFrame, location: str) -> Star:
     The clean rows themselves are a row-local step over the parsed table
     (median fill, date filter, revenue), so they are not written twice.
     """
-    parsed = write_table(parse_stage(raw), f"{location}/parsed")
+    one, audit = F.count(F.lit(1)), {}
+    parsed = write_table(parse_stage(raw), f"{location}/parsed", audit=audit, metrics={
+        "parsed": one, "linhas_limpas": F.count_if(F.col("Data_Venda").isNotNull())})
     median = median_of(parsed, "Quantidade")
     clean = finish_clean(parsed, median)
-    products = write_table(dim_products(clean), f"{location}/products")
+    products = write_table(dim_products(clean), f"{location}/products", audit=audit, metrics={"produtos": one})
     fact = write_table(fact_sales(clean, products), f"{location}/fact", date_col="Data_Venda",
-                       key_col="ID_Transacao")
+                       key_col="ID_Transacao", audit=audit,
+                       metrics={"vendas": one, "precos_invalidos": F.count_if(F.col("Valor_Unitario").isNull())})
     # from the written fact: one narrow scan instead of another pass over the parsed rows
     customers = write_table(dim_customers(fact).sortWithinPartitions("ID_Cliente"),
-                            f"{location}/customers")
-    star = Star(location, clean, customers, products, fact)
+                            f"{location}/customers", audit=audit, metrics={"clientes": one})
+    star = Star(location, clean, customers, products, fact, audit=audit)
     star.memo.update(parsed=parsed, median=median)
     return star
 
 
-def open_star(spark: SparkSession, location: str, median: float | None) -> Star:
+def open_star(spark: SparkSession, location: str, median: float | None, audit: dict | None = None) -> Star:
     """A star written by build_star, read back."""
     read = spark.read.parquet
     parsed = read(f"{location}/parsed")
     star = Star(location, finish_clean(parsed, median), read(f"{location}/customers"),
-                read(f"{location}/products"), read(f"{location}/fact"))
+                read(f"{location}/products"), read(f"{location}/fact"), audit=dict(audit or {}))
     star.memo.update(parsed=parsed, median=median)
     return star
 
@@ -111,11 +139,26 @@ def access_path(s: Star) -> str:
     return path
 
 
+def written_once(s: Star, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table derived from the star alone, written under its location the first time it is asked for."""
+    path, spark = f"{s.location}/{name}", s.fact.sparkSession
+    if s.memo.get(name) is None:
+        fs, done = _files(spark, f"{path}/_SUCCESS")
+        if not fs.exists(done):
+            build().write.mode("overwrite").parquet(path)
+        s.memo[name] = spark.read.parquet(path)
+    return s.memo[name]
+
+
 def look_up(s: Star, *lookups: Lookup) -> DataFrame:
     """Sales that meet all lookups, read from the files of the access path that can hold them."""
     return read_clustered(s.fact.sparkSession, access_path(s), list(lookups))
 
 
+#: Written table -> name of its row count in the audit.
+AUDITED_TABLES = {"parsed": "parsed", "products": "produtos", "customers": "clientes", "fact": "vendas"}
+
+
 def table_counts(s: Star) -> dict[str, int]:
     """Rows of each written table (read from the file footers)."""
     return {"parsed": s.memo["parsed"].count(), "products": s.products.count(),
@@ -126,11 +169,12 @@ def table_counts(s: Star) -> dict[str, int]:
 
 _LOCK = threading.Lock()
 _BUILT: dict[tuple, Star] = {}
-_RAW: dict[tuple, DataFrame] = {}
+_RAW: dict[tuple, tuple[DataFrame, int]] = {}
 
 _POINTER_SCHEMA = T.StructType([T.StructField("location", T.StringType()),
                                 T.StructField("median", T.DoubleType()),
-                                T.StructField("counts", T.MapType(T.StringType(), T.LongType()))])
+                                T.StructField("counts", T.MapType(T.StringType(), T.LongType())),
+                                T.StructField("audit", T.MapType(T.StringType(), T.LongType()))])
 
 
 def _files(spark: SparkSession, path: str):
@@ -188,12 +232,12 @@ def _read_pointer(spark: SparkSession, path: str | None):
 
 
 def _write_pointer(spark: SparkSession, path: str | None, location: str, counts: dict[str, int],
-                   median: float | None = None) -> None:
+                   median: float | None = None, audit: dict[str, int] | None = None) -> None:
     """Written last, after every table of the build: a pointer always names complete
     tables. The counts are checked when the tables are reopened, so files lost since
     then mean a rebuild, never silently smaller tables."""
     if path is not None:
-        spark.createDataFrame([(location, median, counts)], _POINTER_SCHEMA) \
+        spark.createDataFrame([(location, median, counts, audit or {})], _POINTER_SCHEMA) \
             .coalesce(1).write.mode("overwrite").json(path)
 
 
@@ -236,8 +280,8 @@ def remove_orphans(spark: SparkSession, older_than_hours: float = 24.0) -> list[
     return gone
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw sales records of sf_dir (with `_ord`), landed once.
+def landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """The raw sales records of sf_dir (with `_ord`), landed once, and their number as counted by that write.
 
     In the reference the raw data is a file that every run reads; here the
     raw view over the driver tables is written once to the shared folder and
@@ -252,14 +296,20 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             found = _read_pointer(spark, pointer)
             df = found and _reopen(lambda: spark.read.parquet(found["location"]),
                                    lambda d: {"raw": d.count()}, found["counts"])
+            counts = dict(found["counts"]) if df is not None else {}
             if df is None:
                 location = _location(spark, key, "raw")
-                df = write_table(dirty_sales(spark, sf_dir), location)
-                _write_pointer(spark, pointer, location, {"raw": df.count()})
-            _RAW[session_key] = df
+                df = write_table(dirty_sales(spark, sf_dir), location, metrics={"raw": F.count(F.lit(1))}, audit=counts)
+                _write_pointer(spark, pointer, location, counts)
+            _RAW[session_key] = (df, counts["raw"])
         return _RAW[session_key]
 
 
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed raw sales records."""
+    return landed(spark, sf_dir)[0]
+
+
 def star(spark: SparkSession, sf_dir: str) -> Star:
     """The star schema of the driver tables under sf_dir, built once (see the module doc)."""
     ensure_checkpoint_dir(spark)
@@ -267,16 +317,18 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     session_key = (spark.sparkContext.applicationId, key)
     if session_key in _BUILT:
         return _BUILT[session_key]
-    source = raw(spark, sf_dir)
+    source, raw_rows = landed(spark, sf_dir)
     with _LOCK:
         if session_key not in _BUILT:
             pointer = _pointer(spark, "star", key)
             found = _read_pointer(spark, pointer)
-            built = found and _reopen(lambda: open_star(spark, found["location"], found["median"]),
+            built = found and _reopen(lambda: open_star(spark, found["location"], found["median"], found["audit"]),
                                       table_counts, found["counts"])
             if built is None:
                 built = build_star(spark, source, _location(spark, key, "star"))
-                _write_pointer(spark, pointer, built.location, table_counts(built), built.memo["median"])
+                built.audit["linhas_brutas"] = raw_rows
+                counts = {t: built.audit[n] for t, n in AUDITED_TABLES.items()}
+                _write_pointer(spark, pointer, built.location, counts, built.memo["median"], built.audit)
             _BUILT[session_key] = built
         return _BUILT[session_key]
 

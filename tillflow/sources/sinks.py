@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -21,9 +21,14 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def write_table(df: DataFrame, path: str, date_col: str | None = None,
                 key_col: str | None = None, partition_by_month: bool = False,
-                table: str | None = None) -> DataFrame:
+                table: str | None = None, metrics: dict[str, Column] | None = None,
+                audit: dict[str, int] | None = None) -> DataFrame:
     """S6 + S7: replace-mode Parquet load with an access-path layout.
 
+    `metrics` (name -> aggregate) are collected by the write itself and put
+    into `audit`. They sit behind the last exchange, in the writing tasks, whose
+    results count once even if a stage is run again.
+
     With `date_col` rows are range-partitioned on (date, key): every file
     covers a narrow range of dates, so date filters skip whole files through
     min/max statistics, and a day with very many rows is split by key. With
@@ -38,14 +43,21 @@ def write_table(df: DataFrame, path: str, date_col: str | None = None,
             out = out.withColumn("ano_mes", F.date_format(F.col(date_col), "yyyy-MM"))
             order = ["ano_mes", *order]
         out = out.repartitionByRange(*order).sortWithinPartitions(*order)
+    seen = Observation() if metrics else None
+    if metrics:
+        out = out.observe(seen, *[c.alias(n) for n, c in metrics.items()])
     writer = out.write.mode("overwrite").format("parquet")
     if date_col is not None and partition_by_month:
         writer = writer.partitionBy("ano_mes")
     if table:
         writer.option("path", path).saveAsTable(table)
-        return df.sparkSession.table(table)
-    writer.save(path)
-    return df.sparkSession.read.parquet(path)
+        back = df.sparkSession.table(table)
+    else:
+        writer.save(path)
+        back = df.sparkSession.read.parquet(path)
+    if metrics:
+        audit.update({n: int(v or 0) for n, v in seen.get.items()})
+    return back
 
 
 def write_report(df: DataFrame, out_dir: str, name: str) -> str:
