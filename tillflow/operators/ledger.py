@@ -42,8 +42,8 @@ class KeyLedger:
         if known is None:
             return first.drop(KEY)
         earlier = known.where(F.col(BATCH) < number).select(KEY)
-        # "merge" keeps the ledger in its buckets at every size; the batch is dealt into the same buckets
-        return first.repartition(self.buckets, KEY).join(earlier.hint("merge"), KEY, "left_anti").drop(KEY)
+        # a merge join at every size: the ledger stays in its buckets, and the batch is dealt into the same ones
+        return first.join(earlier.hint("merge"), KEY, "left_anti").drop(KEY)
 
     def land(self, batch: DataFrame, number: int) -> DataFrame:
         """Keep the batch's unseen rows and enter their keys; batches are numbered in order of arrival."""
