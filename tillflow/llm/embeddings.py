@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import hashed_sample, prepare, table, written
+from tillflow.llm.common import Shared, hashed_sample, prepare, table, written
 from tillflow.llm.components import label_components, star_edges
 from tillflow.operators.ordering import default_partitions
 
@@ -122,6 +122,8 @@ class ItqModel:
                     break
             if enough:
                 break
+        if not enough:  # no tables within MOST_BITS reach the recall: one bucket, every pair compared in tiles
+            return
         self.maps, self.tables = maps[:used], used * per
         self.radius = max(int(self.bits * used * RADIUS_SHARE), int(sum(d.sum(axis=1) for d in differ[:used]).max()))
 
@@ -287,7 +289,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embeddi
         sample = [] if r["count"] <= CHUNK else hashed_sample(
             classes.where(F.col("dim") == r["dim"]).select("vec"), sample_rows, "vec").collect()
         models[r["dim"]] = ItqModel(stacked([bytes(x.vec) for x in sample], kind) if sample else None, r["count"], threshold)
-    shared = spark.sparkContext.broadcast(models)
+    shared = Shared(spark, models)
     coded = written(hamming_rows(classes, shared, kind), "hamming")
     keyed = coded.select("uid", F.explode("keys").alias("key"))
     sizes = written(keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "sizes")

@@ -32,13 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import append_columns, hashed_sample, held_out, prepare, table
+from tillflow.llm.common import Shared, append_columns, hashed_sample, held_out, prepare, table, written
 
 #: Labelled rows used for learning, per class (those with the smallest key hash).
 SAMPLE_ROWS = 10_000
-#: Terms kept in the lexicon and words kept as exceptions, the best supported first.
-MAX_TERMS = 5_000
-MAX_EXCEPTIONS = 20_000
 #: A term occurs in so many toxic documents of the sample, and in such a share of them.
 MIN_SUPPORT, MIN_SHARE = 5, 0.005
 MIN_ODDS = 3.0
@@ -239,7 +236,9 @@ def spread(sample: DataFrame) -> DataFrame:
             return low
         return run
     marked = append_columns(sample, ["t"], "m1 long, m2 long", make)
-    return marked.dropDuplicates(["y", "m1"]).dropDuplicates(["y", "m2"]).select("t", "y")
+    # of each group the least text stays, so that the same sample gives the same terms in every run
+    once = marked.groupBy("y", "m1").agg(F.min(F.struct("t", "m2")).alias("s")).select("y", "s.t", "s.m2")
+    return once.groupBy("y", "m2").agg(F.min("t").alias("t")).select("t", "y")
 
 
 def term_counts(sample: DataFrame) -> DataFrame:
@@ -305,32 +304,27 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 30, ridge: float = 1
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """Learn lexicon, exceptions and weights from the labelled training fold (bounded sample)."""
-    sample = spread(labelled_sample(docs, labels, "toxic", sample_rows)).persist()
-    try:
-        sizes = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
-        if not sizes.get(1) or not sizes.get(0):
-            return ToxicityModel({t: MIN_ODDS for t in SEED_TERMS})
-        n_toxic, n_clean = sizes[1], sizes[0]
-        counts = term_counts(sample).persist()
-        try:
-            odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
-            rows = (counts.where((F.col("toxic") >= max(MIN_SUPPORT, MIN_SHARE * n_toxic)) & (odds >= MIN_ODDS))
-                    .orderBy(F.desc("toxic"), "term").limit(MAX_TERMS).collect())
-            trie = LexiconTrie(choose_terms(rows, n_toxic, n_clean))
-            near = append_columns(counts.where("clean > 0 AND term NOT LIKE '%*'").select("term", "toxic", "clean"),
-                                  ["term"], "edits int, target string", _near(trie))
-            exceptions = (near.where((F.col("edits") > 0) & (odds < MIN_ODDS))
-                          .orderBy(F.desc("clean"), "term").limit(MAX_EXCEPTIONS).select("term", "target").collect())
-        finally:
-            counts.unpersist()
-        crowded = Counter(r.target for r in exceptions)
-        model = ToxicityModel(trie.weights, [r.term for r in exceptions], {t for t, n in crowded.items() if n >= 3})
-        shared = docs.sparkSession.sparkContext.broadcast(model)
-        rows = _features(sample, shared).select("y", "f").collect()
-        x, y = np.array([r.f for r in rows]), np.array([r.y for r in rows], dtype=float)
-        return ToxicityModel(trie.weights, model.exceptions, model.trie.exact_only, fit_logistic(x, y))
-    finally:
-        sample.unpersist()
+    sample = written(spread(labelled_sample(docs, labels, "toxic", sample_rows)), "toxicity-sample")
+    sizes = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if not sizes.get(1) or not sizes.get(0):
+        return ToxicityModel({t: MIN_ODDS for t in SEED_TERMS})
+    n_toxic, n_clean = sizes[1], sizes[0]
+    counts = written(term_counts(sample), "toxicity-terms")
+    odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
+    # every term with the support and odds: both ask for a share of the bounded sample, so they are few
+    rows = counts.where((F.col("toxic") >= max(MIN_SUPPORT, MIN_SHARE * n_toxic)) & (odds >= MIN_ODDS)) \
+        .orderBy(F.desc("toxic"), "term").collect()
+    trie = LexiconTrie(choose_terms(rows, n_toxic, n_clean))
+    near = append_columns(counts.where("clean > 0 AND term NOT LIKE '%*'").select("term", "toxic", "clean"),
+                          ["term"], "edits int, target string", _near(trie))
+    exceptions = near.where((F.col("edits") > 0) & (odds < MIN_ODDS)) \
+        .orderBy(F.desc("clean"), "term").select("term", "target").collect()
+    crowded = Counter(r.target for r in exceptions)
+    model = ToxicityModel(trie.weights, [r.term for r in exceptions], {t for t, n in crowded.items() if n >= 3})
+    rows = _features(sample, Shared(docs.sparkSession, model)).select("y", "f").collect()
+    x, y = np.array([r.f for r in rows]), np.array([r.y for r in rows], dtype=float)
+    order = np.lexsort((*x.T, y))  # sums in one order, whatever the order of arrival
+    return ToxicityModel(trie.weights, model.exceptions, model.trie.exact_only, fit_logistic(x[order], y[order]))
 
 
 def _near(trie):
@@ -355,7 +349,7 @@ def _features(rows, shared):
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     """Every row of docs with its toxicity score. Narrow: one map over the texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def make():
         model = shared.value
