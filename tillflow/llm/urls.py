@@ -3,12 +3,13 @@
 Template tree: the paths of a host form a tree of segments. Digits in a
 segment become `<n>`. At each node, segments that hold too small a share of a
 node with many children become the wildcard `*`. Branches that remain beside
-each other are compared with their node: when the distribution of what
-follows them (tail and label) differs little from the node's own, by
-Jensen-Shannon divergence, they are merged into `{}`. A template is rejected
-when its smoothed labelled purity (blocked + prior) / (labelled + weight)
-exceeds a threshold. Labels are any verdicts on URLs; by default those that
-the rules give.
+each other are compared with the node's largest branch: those whose tails are
+distributed much as that branch's, by Jensen-Shannon divergence, are merged
+with it into `{}`. Labels have no part in that; they enter through purity: a
+template is rejected when its smoothed labelled purity
+(blocked + prior) / (labelled + weight) exceeds a threshold. Labels are any
+verdicts on URLs; by default those that the rules give, so a rule on one branch
+also tells of branches that are built like it.
 
 Defined cases: a NULL URL, or one without `://`, has an empty host and path;
 no rule fits it, and its template has no labels, so it is allowed. Segments
@@ -74,23 +75,26 @@ def learn_templates(urls: DataFrame, depth: int = DEPTH, max_children: int = MAX
         seg = F.try_element_at("segs", F.lit(level + 1))
         tail = F.array_join(F.slice("segs", level + 2, depth), "/")
         here = paths.where(F.size("segs") > level)
-        kids = written(here.groupBy("host", "prefix", seg.alias("seg"), tail.alias("tail"), "label").agg(
-            F.sum("n").alias("n")), "kids")
+        kids = written(here.groupBy("host", "prefix", seg.alias("seg"), tail.alias("tail")).agg(F.sum("n").alias("n")), "kids")
         nodes = kids.groupBy("host", "prefix").agg(F.sum("n").alias("node_n"))
         child = kids.groupBy("host", "prefix", "seg").agg(F.sum("n").alias("seg_n"))
         wide = child.groupBy("host", "prefix").agg(F.count("*").alias("width"))
         shares = written(child.join(nodes, ["host", "prefix"]).join(wide, ["host", "prefix"]).withColumn(
             "kept", (F.col("width") <= max_children) | (F.col("seg_n") >= min_share * F.col("node_n"))), "shares")
-        # Jensen-Shannon divergence of each kept branch from its node, over (tail, label)
-        pooled = kids.groupBy("host", "prefix", "tail", "label").agg(F.sum("n").alias("pool"))
-        both = (kids.join(shares.where("kept AND width > 1"), ["host", "prefix", "seg"])
-                .join(pooled, ["host", "prefix", "tail", "label"]))
-        p, q = F.col("n") / F.col("seg_n"), F.col("pool") / F.col("node_n")
+        # Jensen-Shannon divergence of each kept branch from the largest one, over their tails
+        beside = shares.where("kept AND width > 1").select("host", "prefix", "seg", "seg_n")
+        largest = beside.groupBy("host", "prefix").agg(F.max(F.struct("seg_n", "seg")).alias("top")).select(
+            "host", "prefix", F.col("top.seg").alias("seg"), F.col("top.seg_n").alias("top_n"))
+        tops = kids.join(largest, ["host", "prefix", "seg"]).select(
+            "host", "prefix", "tail", (F.col("n") / F.col("top_n")).alias("q"))
+        both = kids.join(beside, ["host", "prefix", "seg"]).join(tops, ["host", "prefix", "tail"])
+        p, q = F.col("n") / F.col("seg_n"), F.col("q")
         m = (p + q) / 2
-        # terms of the pool that the branch lacks have m = q / 2 and add q / 2 each
+        # a tail that only one of them has adds half of its share there
         parts = both.groupBy("host", "prefix", "seg").agg(
-            F.sum(p * F.log2(p / m) / 2 + q * F.log2(q / m) / 2).alias("shared"), F.sum(q).alias("mass"))
-        alike = parts.where(F.col("shared") + (1 - F.col("mass")) / 2 <= similar).select(
+            F.sum(p * F.log2(p / m) / 2 + q * F.log2(q / m) / 2).alias("shared"),
+            F.sum(p).alias("mass_p"), F.sum(q).alias("mass_q"))
+        alike = parts.where(F.col("shared") + (2 - F.col("mass_p") - F.col("mass_q")) / 2 <= similar).select(
             "host", "prefix", "seg", F.lit(True).alias("alike"))
         crowd = alike.groupBy("host", "prefix").agg(F.count("*").alias("crowd"))
         names = written(shares.join(alike, ["host", "prefix", "seg"], "left").join(crowd, ["host", "prefix"], "left").select(
