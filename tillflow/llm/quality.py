@@ -7,10 +7,12 @@ not, is unlabelled web text. For a class prior pi and logistic loss l the risk
 
 is minimised over an additive model g of binned text statistics, by full-batch
 gradient steps: every step is one Spark job over the feature table of all
-training rows, which returns one partial gradient per partition. The class
-prior is estimated from the same two samples: a classifier of trusted against
-unlabelled rows is fitted first, and pi is the smallest ratio of unlabelled to
-positive mass among its top scores, with a confidence margin.
+training rows, whose tasks run side by side; their partial sums are added by a
+few tasks before the driver takes them. The class prior is estimated from the
+same two samples: two classifiers of trusted against unlabelled rows are fitted
+first, each on one half of the rows, and every row is scored by the one that has
+not seen it; pi is the smallest ratio of unlabelled to positive mass among the
+top scores, with a confidence margin.
 
 Defined cases: NULL and empty texts have the statistics of an empty text.
 NULL ids are unlabelled and not held out. An id labelled both ways counts as
@@ -20,11 +22,15 @@ ignored; repeated rows are scored alike.
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +43,8 @@ BINS = 16
 STEPS_PRIOR, STEPS_RISK = 12, 28
 SCORE_BINS = 1000
 RATE = 0.4
+#: Up to so many tasks send their sums straight to the driver.
+FEW_TASKS = 64
 RIDGE = 1e-4
 
 _LETTERS = set(range(65, 91)) | set(range(97, 123))
@@ -118,33 +126,65 @@ def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _sums(rows: DataFrame, edges, weights) -> dict[str, np.ndarray]:
-    """Loss and gradient sums over all rows, by class: one small row per partition reaches the driver."""
-    size = len(FEATURE_NAMES) * BINS + 1
+def added_up(rows: DataFrame, task_sum: Callable[[Iterator[pa.RecordBatch]], np.ndarray], shape: tuple) -> np.ndarray:
+    """Sum over all tasks of task_sum (an array of this shape).
+
+    The tasks run side by side. Their sums are added by about the square root of their number of tasks,
+    so few rows reach the driver at every size, and always in the order of the tasks.
+    """
+    def first(batches):
+        got = np.asarray(task_sum(batches), float)
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()),
+                                          pa.array([got.tobytes()], pa.binary())], names=["task", "s"])
+
+    def second(batches):
+        got = [(k, s) for b in batches for k, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        if got:
+            total = sum((np.frombuffer(s) for _, s in sorted(got)), 0.0)
+            yield pa.RecordBatch.from_arrays([pa.array([min(got)[0]], pa.int64()), pa.array([total.tobytes()], pa.binary())],
+                                             names=["task", "s"])
+
+    parts = rows.mapInArrow(first, "task long, s binary")
+    tasks = rows.rdd.getNumPartitions()
+    if tasks > FEW_TASKS:
+        parts = parts.repartition(math.ceil(math.sqrt(tasks)), "task").mapInArrow(second, "task long, s binary")
+    found = sorted((r.task, bytes(r.s)) for r in parts.collect())
+    return sum((np.frombuffer(s) for _, s in found), np.zeros(int(np.prod(shape)))).reshape(shape)
+
+
+def _half(column) -> np.ndarray:
+    """Which half of the rows each belongs to, by its statistics."""
+    return np.fromiter((zlib.crc32(s) & 1 for s in column.to_pylist()), np.int64, len(column))
+
+
+def _sums(rows: DataFrame, edges, weights: list[np.ndarray]) -> list[dict[str, np.ndarray]]:
+    """Loss and gradient sums by class, for each model: one model over all rows, or one for each half."""
+    size, models = len(FEATURE_NAMES) * BINS + 1, len(weights)
 
     def run(batches):
-        total = np.zeros((3, size + 2))
+        total = np.zeros((models, 3, size + 2))
         for b in batches:
             if not b.num_rows:
                 continue
-            x = _matrix(b.column("stats"))
-            cols = binned(x, edges)
-            g = weights[-1] + weights[cols].sum(axis=1)
-            pos = np.array(b.column("good").to_pylist(), bool)
-            # l(g) for positives; l(-g) for positives and for all rows
-            for k, (mask, sign) in enumerate(((pos, 1.0), (pos, -1.0), (np.ones(len(pos), bool), -1.0))):
-                if mask.any():
-                    gm = sign * g[mask]
-                    slope = -sign * _sigmoid(-gm)
-                    total[k, :size - 1] += np.bincount(cols[mask].ravel(), np.repeat(slope, cols.shape[1]), size - 1)
-                    total[k, size - 1] += slope.sum()
-                    total[k, size] += np.logaddexp(0, -gm).sum()
-                    total[k, size + 1] += mask.sum()
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["s"])
-
-    parts = [np.frombuffer(bytes(r.s)).reshape(3, size + 2) for r in rows.mapInArrow(run, "s binary").toLocalIterator()]
-    total = sum(parts, np.zeros((3, size + 2)))
-    return {k: total[i] for i, k in enumerate(("pos_loss", "pos_neg", "unl_neg"))}
+            every = binned(_matrix(b.column("stats")), edges)
+            good = np.array(b.column("good").to_pylist(), bool)
+            half = _half(b.column("stats")) if models > 1 else np.zeros(len(good), np.int64)
+            for m, w in enumerate(weights):
+                cols, pos = every[half == m], good[half == m]
+                g = w[-1] + w[cols].sum(axis=1)
+                # l(g) for positives; l(-g) for positives and for all rows
+                for k, (mask, sign) in enumerate(((pos, 1.0), (pos, -1.0), (np.ones(len(pos), bool), -1.0))):
+                    if mask.any():
+                        gm = sign * g[mask]
+                        slope = -sign * _sigmoid(-gm)
+                        total[m, k, :size - 1] += np.bincount(cols[mask].ravel(), np.repeat(slope, cols.shape[1]), size - 1)
+                        total[m, k, size - 1] += slope.sum()
+                        total[m, k, size] += np.logaddexp(0, -gm).sum()
+                        total[m, k, size + 1] += mask.sum()
+        return total
+
+    total = added_up(rows, run, (models, 3, size + 2))
+    return [dict(zip(("pos_loss", "pos_neg", "unl_neg"), t)) for t in total]
 
 
 class _Adam:
@@ -158,58 +198,72 @@ class _Adam:
         return RATE * (self.m / (1 - 0.8 ** self.t)) / (np.sqrt(self.v / (1 - 0.95 ** self.t)) + 1e-8)
 
 
-def estimate_prior(rows: DataFrame, edges, weights) -> float:
-    """Smallest unlabelled-to-positive ratio of mass above a score, with a deviation margin."""
+def estimate_prior(rows: DataFrame, edges, weights: list[np.ndarray]) -> float:
+    """Smallest unlabelled-to-positive ratio of mass above a score, with a deviation margin.
+
+    weights: the models of both halves; a row is scored by that of the other half.
+    """
     def run(batches):
         hist = np.zeros((2, SCORE_BINS))
         for b in batches:
             if b.num_rows:
-                at = np.minimum((_sigmoid(margins(_matrix(b.column("stats")), edges, weights)) * SCORE_BINS).astype(int), SCORE_BINS - 1)
+                x, half = _matrix(b.column("stats")), _half(b.column("stats"))
+                g = np.where(half == 0, margins(x, edges, weights[1]), margins(x, edges, weights[0]))
+                at = np.minimum((_sigmoid(g) * SCORE_BINS).astype(int), SCORE_BINS - 1)
                 pos = np.array(b.column("good").to_pylist(), bool)
                 hist[0] += np.bincount(at[pos], minlength=SCORE_BINS)
                 hist[1] += np.bincount(at, minlength=SCORE_BINS)
-        yield pa.RecordBatch.from_arrays([pa.array([hist.tobytes()], pa.binary())], names=["s"])
-    hist = sum((np.frombuffer(bytes(r.s)).reshape(2, SCORE_BINS) for r in rows.mapInArrow(run, "s binary").toLocalIterator()),
-               np.zeros((2, SCORE_BINS)))
+        return hist
+
+    hist = added_up(rows, run, (2, SCORE_BINS))
     above = hist[:, ::-1].cumsum(axis=1)
     n_pos, n_unl = above[:, -1]
     p, u = above[0] / n_pos, above[1] / n_unl
-    margin = np.sqrt(np.log(4 / 0.1) / (2 * n_unl)) + np.sqrt(np.log(4 / 0.1) / (2 * n_pos))
+    spread_u, spread_p = (np.sqrt(np.log(4 / 0.1) / (2 * n)) for n in (n_unl, n_pos))
     ok = p > 0
-    bound = (u[ok] + margin) / p[ok]
-    best = int(np.argmin(bound))
-    return float(np.clip(u[ok][best] / p[ok][best], 0.05, 0.99))
+    best = int(np.argmin((u[ok] + spread_u + spread_p) / p[ok]))
+    # the lower end of what the unlabelled rows tell: a prior above the true one lets every row pass for good
+    return float(np.clip((u[ok][best] - spread_u) / p[ok][best], 0.05, 0.95))
+
+
+def trusted_against_rest(train: DataFrame, edges) -> list[np.ndarray] | None:
+    """Weights of a classifier of trusted against unlabelled rows, classes weighing alike, for each half of
+    the rows; None where a half has no trusted row."""
+    size = len(FEATURE_NAMES) * BINS + 1
+    weights, adam = [np.zeros(size), np.zeros(size)], [_Adam(size), _Adam(size)]
+    for _ in range(STEPS_PRIOR):
+        for m, s in enumerate(_sums(train, edges, weights)):
+            if not s["pos_loss"][-1]:
+                return None
+            grad = 0.5 * s["pos_loss"][:size] / s["pos_loss"][-1] + 0.5 * s["unl_neg"][:size] / s["unl_neg"][-1]
+            weights[m] = weights[m] - adam[m].step(grad + RIDGE * weights[m])
+    return weights
 
 
 def fit_quality(train: DataFrame) -> dict:
-    """Model (edges, weights, prior) from train(stats, good): all training rows, good marking trusted ones."""
+    """Model (edges, weights, prior) from train(stats, good): all training rows, good marking trusted ones.
+
+    With a single trusted row, or none in a half, the prior cannot be estimated and is 0.5.
+    """
     edges = bin_edges(train)
     size = len(FEATURE_NAMES) * BINS + 1
-    weights = np.zeros(size)
-    adam, prior, best = _Adam(size), 0.5, None
-    for step in range(STEPS_PRIOR + STEPS_RISK):
-        s = _sums(train, edges, weights)
+    halves = trusted_against_rest(train, edges)
+    prior = estimate_prior(train, edges, halves) if halves else 0.5
+    weights, adam, best = np.zeros(size), _Adam(size), None
+    for _ in range(STEPS_RISK):
+        s, = _sums(train, edges, [weights])
         n_pos, n_unl = s["pos_loss"][-1], s["unl_neg"][-1]
         if not n_pos:
             return {"edges": edges, "weights": None, "prior": None}
-        if step == STEPS_PRIOR:
-            prior = estimate_prior(train, edges, weights)
-            adam, weights = _Adam(size), np.zeros(size)
-            s = _sums(train, edges, weights)
         pos, pos_neg, unl = s["pos_loss"] / n_pos, s["pos_neg"] / n_pos, s["unl_neg"] / n_unl
-        pi = prior if step >= STEPS_PRIOR else n_pos / (n_pos + n_unl)
-        if step < STEPS_PRIOR:  # trusted against unlabelled, classes weighing alike
-            grad = 0.5 * pos[:size] + 0.5 * unl[:size]
-        else:
-            rest = unl[size] - pi * pos_neg[size]
-            risk = pi * pos[size] + max(0.0, rest)
-            if best is None or risk < best[0]:
-                best = (risk, weights.copy())
-            # where the estimated negative risk falls below zero, step back from it
-            grad = pi * pos[:size] + (unl[:size] - pi * pos_neg[:size]) if rest >= 0 else \
-                pi * pos_neg[:size] - unl[:size]
-        grad = grad + RIDGE * weights
-        weights = weights - adam.step(grad)
+        rest = unl[size] - prior * pos_neg[size]
+        risk = prior * pos[size] + max(0.0, rest)
+        if best is None or risk < best[0]:
+            best = (risk, weights.copy())
+        # where the estimated negative risk falls below zero, step back from it
+        grad = prior * pos[:size] + (unl[:size] - prior * pos_neg[:size]) if rest >= 0 else \
+            prior * pos_neg[:size] - unl[:size]
+        weights = weights - adam.step(grad + RIDGE * weights)
     return {"edges": edges, "weights": best[1], "prior": prior}
 
 
