@@ -36,6 +36,29 @@ def test_sets_merge_to_exact_counts(spark, monkeypatch, few):
     assert by_x == {x: (sum(r[0] == x for r in data), len({r[2] for r in data if r[0] == x})) for x in {r[0] for r in data}}
 
 
+def test_bitmaps_are_made_after_the_shuffle(spark):
+    """A cell and block of few members travels as positions, never as a bitmap of 4 KB."""
+    df = spark.range(2000).select(F.col("id").alias("x"), F.col("id").alias(D.NUMBER), F.lit(1).alias("n"))
+    plan = D.sets_by_cell(df, ["x"], {"n": F.col("n")})._jdf.queryExecution().sparkPlan().toString()
+    executed = D.sets_by_cell(df, ["x"], {"n": F.col("n")})._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bitmap_construct_agg" in plan
+    made = executed[executed.index("bitmap_construct_agg"):executed.rindex("partial_bitmap_construct_agg")]
+    assert "Exchange" not in made
+
+
+def test_files_of_cells_hold_few_blocks(spark, tmp_path):
+    """Laid out by block, the pairs of file and block number files plus blocks at most."""
+    rows = spark.range(12 * 32_768).select((F.col("id") % 40).alias("x"), F.col("id").alias(D.NUMBER), F.lit(1).alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        D.by_block(D.sets_by_cell(rows, ["x"], {"n": F.col("n")}), ["x"]).write.parquet(str(tmp_path / "cells"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = spark.read.parquet(str(tmp_path / "cells")).select("_metadata.file_path", D.BLOCK)
+    files, blocks = back.select("file_path").distinct().count(), back.select(D.BLOCK).distinct().count()
+    assert files > 4 and blocks >= 12 and back.distinct().count() <= files + blocks
+
+
 def _holds(cond, r):
     return {"true": True, "x = 'a'": r[0] == "a", "y in (1, 3) and x is null": r[1] in (1, 3) and r[0] is None}.get(cond, False)
 

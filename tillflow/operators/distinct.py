@@ -10,8 +10,9 @@ Sums that merge (rows, money) ride along.
 
 The answer to any selection is the union of the sets of its cells: bitmaps are
 OR-ed, positions are set as bits, and bits are counted. Only cells are read,
-and what is shuffled is one bitmap per block, task and group, however many
-sales or customers there are.
+and what is shuffled is one bitmap per block, task and group. Cells laid out by
+block (`by_block`) put few blocks into a task, so these bitmaps grow with the
+number of blocks and tasks, not with their product.
 """
 
 from __future__ import annotations
@@ -36,14 +37,23 @@ def sets_by_cell(rows: DataFrame, cell: list[str], sums: dict[str, Column]) -> D
     """One row per cell and block: the members' numbers (`_numero` of rows) as bits or positions, and the sums.
 
     Rows are first reduced to one per cell and member, so a member with very many rows is one row per task.
+    What is shuffled is two bytes a member; a bitmap is made only of a block that is full enough, once it is whole.
     """
     members = rows.groupBy(*cell, NUMBER).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    position = F.bitmap_bit_position(NUMBER)
     blocks = members.groupBy(*cell, F.bitmap_bucket_number(NUMBER).alias(BLOCK)).agg(
-        F.bitmap_construct_agg(position).alias(BITS), F.collect_list(position.cast("smallint")).alias(PLACES),
-        *[F.sum(n).alias(n) for n in sums])  # at most 32,768 positions
+        F.collect_list(F.bitmap_bit_position(NUMBER).cast("smallint")).alias(PLACES),  # at most 32,768 positions
+        *[F.sum(n).alias(n) for n in sums])
     few = F.size(PLACES) < FEW
-    return blocks.withColumns({BITS: F.when(~few, F.col(BITS)), PLACES: F.when(few, F.col(PLACES))})
+    sparse = blocks.where(few).select(*cell, BLOCK, F.lit(None).cast("binary").alias(BITS), PLACES, *sums)
+    # the keys hold the block whole, so its positions become bits without another shuffle
+    dense = blocks.where(~few).select(*cell, BLOCK, *sums, F.explode(PLACES).alias("_p")).groupBy(*cell, BLOCK, *sums) \
+        .agg(F.bitmap_construct_agg(F.col("_p").cast("bigint")).alias(BITS))
+    return sparse.unionByName(dense.withColumn(PLACES, F.lit(None).cast("array<smallint>")))
+
+
+def by_block(cells: DataFrame, cell: list[str]) -> DataFrame:
+    """Cells laid out by block, and by cell within a block, so a range of the first cell column skips row groups."""
+    return cells.repartitionByRange(BLOCK, *cell).sortWithinPartitions(BLOCK, *cell)
 
 
 def merged_counts(cells: DataFrame, group: list[str], sums: list[str], distinct: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.functions.money import mean_money_out, money_out, ratio_out, to_units
-from tillflow.operators.distinct import NUMBER, dense_numbers, merged_counts, sets_by_cell
+from tillflow.operators.distinct import NUMBER, by_block, dense_numbers, merged_counts, sets_by_cell
 from tillflow.plans.kpis import DEFAULT, KpiParams, sale_filter
 from tillflow.plans.warehouse import Star, written_once
 
@@ -20,7 +20,7 @@ SUMS = ["_rows", "_sum", "_present"]
 
 
 def customer_cells(s: Star) -> DataFrame:
-    """The cells of a star, sorted by day, so a range of days skips row groups."""
+    """The cells of a star, laid out by block of customers and sorted by day in it."""
     def build() -> DataFrame:
         # one row per customer and product cell before anything is joined
         keys = ["ID_Cliente", "ID_Produto", *[c for c in CELL if c in s.fact.columns]]
@@ -28,8 +28,8 @@ def customer_cells(s: Star) -> DataFrame:
             F.count(F.lit(1)).alias("_rows"), F.sum("Faturamento").alias("_sum"), F.count("Faturamento").alias("_present"))
         numbered = s.named(sales).join(dense_numbers(s.customers, "ID_Cliente"), "ID_Cliente").drop("ID_Cliente")
         cells = sets_by_cell(numbered.select(NUMBER, *CELL, *SUMS), CELL, {n: F.col(n) for n in SUMS})
-        return cells.repartitionByRange(*CELL).sortWithinPartitions(*CELL)
-    return written_once(s, "customer_cells", build)
+        return by_block(cells, CELL)
+    return written_once(s, "customer_cells_by_block", build)
 
 
 def kpi_merged(s: Star, p: KpiParams = DEFAULT) -> DataFrame:
