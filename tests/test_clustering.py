@@ -101,3 +101,13 @@ def test_access_path_is_written_once_per_star(spark, star_small):
     assert spark.read.parquet(f"{path}/{K.ZONES}").collect() == first
     got = reports.sales_of_customer(star_small)
     assert got.count() == star_small.fact.where(F.col("ID_Cliente") == star_small.customers.agg(F.min("ID_Cliente")).first()[0]).count()
+
+
+def test_zone_map_does_not_sort_the_rows(spark, tmp_path):
+    """Text bounds are taken without sorting the rows of a task by file."""
+    spark.range(1000).select(F.col("id").cast("string").alias("k")).repartition(4).write.parquet(str(tmp_path / "t"))
+    zones = K.zone_map(spark.read.parquet(str(tmp_path / "t")), ["k"])
+    plan = zones._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "Sort" not in plan
+    got = zones.agg(F.min("k_least"), F.max("k_most"), F.sum("rows"), F.min("bytes") > 0).first()
+    assert tuple(got) == ("0", "999", 1000, True)

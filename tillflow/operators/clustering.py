@@ -94,10 +94,15 @@ def clustered(df: DataFrame, columns: list[str], ties: list[str] = (), cells: in
 
 
 def zone_map(table: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per file: file, rows and for each column the least and largest value and the number of NULLs."""
+    """One row per file: file, rows, bytes and for each column the least and largest value and the number of NULLs.
+
+    The bounds may be text, which Spark's hash aggregate cannot update in place: it would sort all rows of a
+    task by file. A collected set (of the file's one size) makes it keep the few groups of a task as objects.
+    """
     zones = [x for c in columns for x in (F.min(c).alias(f"{c}_least"), F.max(c).alias(f"{c}_most"),
                                           F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"))]
-    return table.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"), *zones)
+    return table.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.array_max(F.collect_set("_metadata.file_size")).alias("bytes"), *zones)
 
 
 def write_clustered(df: DataFrame, path: str, columns: list[str], ties: list[str] = (), cells: int | None = None,
