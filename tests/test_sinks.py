@@ -143,3 +143,10 @@ def test_orphaned_tables_are_removed(spark, tmp_path, monkeypatch):
     gone = {p.rstrip("/").rsplit("/", 1)[-1] for p in W.remove_orphans(spark, older_than_hours=-1)}
     assert gone == {"star-aa-1", "raw-bb-1"}
     assert (tmp_path / "star-aa-2").exists() and (tmp_path / "other").exists()
+
+
+def test_prices_become_text_once_per_part(spark):
+    """The price texts are made of the parts before they are joined to the sales."""
+    from tillflow.sources.dirty import dirty_sales
+    plan = dirty_sales(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("format_number") and plan.index("Join") < plan.index("format_string(%.2f")

@@ -33,6 +33,8 @@ REPEAT_MOD, REPEAT_REM = 53, 3                    # exact repeats of a whole rec
 PRICE_FINE_MOD, PRICE_FINE_REM = 11, 3            # plain prices with six decimals
 PRICE_OUTLIER_MOD, PRICE_OUTLIER_REM = 211, 7     # a price far outside the others
 PRICE_OUTLIER_PREFIX = "9"                        # ... by a digit in front
+# Columns of the joined parts with the price as text.
+PRICE_LOCAL, PRICE_PLAIN = "_price_local", "_price_plain"
 
 # Keep-first order among copies of one transaction: a total order over the
 # line-item columns, so that every engine picks the same copy.
@@ -54,7 +56,9 @@ def dirty_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(customers, F.col("o_custkey") == F.col("c_custkey")))
     items = read_table(spark, sf_dir, "lineitem",
                        ["l_orderkey", "l_linenumber", *ORDINAL_COLUMNS])
-    parts = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_retailprice"])
+    # a price is written as text once per part, not once per sale
+    parts = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_retailprice"]) \
+        .select("p_partkey", "p_name", "p_type", *price_texts())
     base = (items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(parts, F.col("l_partkey") == F.col("p_partkey")))
     copies = F.explode(F.when(_k_is(REPEAT_MOD, REPEAT_REM), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
@@ -65,6 +69,13 @@ def _k_is(mod: int, rem: int):
     return (F.col("o_orderkey") % mod) == rem
 
 
+def price_texts():
+    """The price of a part in both spellings: `R$ 1.234,56` and `1234.56`."""
+    price = F.col("p_retailprice")
+    local = F.concat(F.lit("R$ "), F.translate(F.format_number(price, 2), ",.", ".,"))
+    return [local.alias(PRICE_LOCAL), F.format_string("%.2f", price).alias(PRICE_PLAIN)]
+
+
 def raw_columns():
     k = F.col("o_orderkey")
     day = F.col("o_orderdate")
@@ -72,9 +83,7 @@ def raw_columns():
                  .when(k % 3 == 0, F.date_format(day, "yyyy-MM-dd"))
                  .when(k % 3 == 1, F.date_format(day, "dd/MM/yyyy"))
                  .otherwise(F.date_format(day, "MM-dd-yyyy")))
-    price = F.col("p_retailprice")
-    price_local = F.concat(F.lit("R$ "), F.translate(F.format_number(price, 2), ",.", ".,"))
-    price_plain = F.format_string("%.2f", price)
+    price_local, price_plain = F.col(PRICE_LOCAL), F.col(PRICE_PLAIN)
     fine = F.lpad(((F.col("l_partkey") * 37 + 5) % 10000).cast("string"), 4, "0")
     price_plain = F.when(_k_is(PRICE_FINE_MOD, PRICE_FINE_REM), F.concat(price_plain, fine)).otherwise(price_plain)
     price_plain = F.when(_k_is(PRICE_OUTLIER_MOD, PRICE_OUTLIER_REM), F.concat(F.lit(PRICE_OUTLIER_PREFIX), price_plain)) \
