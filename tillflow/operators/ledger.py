@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.operators.cleaning import TRANSACTION_KEY, dedupe_keep_first
+from tillflow.operators.ordering import default_partitions
 
 KEY, BATCH = "_chave", "_lote"
 
@@ -37,7 +38,10 @@ class KeyLedger:
 
     def unseen(self, batch: DataFrame, number: int) -> DataFrame:
         """First rows of the batch whose key no earlier batch had (needs the input-order column)."""
-        first = dedupe_keep_first(batch, self.key).withColumn(KEY, ledger_key(self.key))
+        # by the ledger's key where a shuffle has as many partitions as the ledger has buckets: the rows of the
+        # window then lie, sorted, in these buckets; else Spark would deal out the ledger again instead of the batch
+        same = self.buckets == default_partitions(batch)
+        first = dedupe_keep_first(batch.withColumn(KEY, ledger_key(self.key)), KEY if same else self.key)
         known = self._known()
         if known is None:
             return first.drop(KEY)
