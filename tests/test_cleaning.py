@@ -1,3 +1,4 @@
+import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -104,3 +105,13 @@ def test_lazy_cleaning_equals_staged_warehouse_build(spark, star_small):
     with_ord = raw.transform(C.dedupe_rows).select(*visible)
     without = raw.select(*visible).transform(C.dedupe_rows)
     assert with_ord.exceptAll(without).count() == 0 and without.exceptAll(with_ord).count() == 0
+
+
+def test_dates_and_prices_are_parsed_before_the_shuffle(spark):
+    """As values they are narrower than as text; the copy that is kept does not depend on them."""
+    rows = [sale("A", date="sem data", price="R$ 1.234,50"), sale("A", price="7.00"), sale("B", date="31/01/2025", price="x")]
+    parsed = C.parse_stage(raw_df(spark, rows))
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning") < plan.index("R$")
+    assert [(r["ID_Transacao"], r["Data_Venda"], r["Valor_Unitario"]) for r in parsed.orderBy("ID_Transacao").collect()] == [
+        ("A", None, Decimal("1234.500000")), ("B", dt.date(2025, 1, 31), None)]

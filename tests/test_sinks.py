@@ -1,7 +1,9 @@
+import time
 import uuid
 
 from pyspark.sql import functions as F
 
+from tillflow.plans import warehouse as W
 from tillflow.plans.runner import run_raw, run_reports
 from tillflow.session import scratch_path
 from tillflow.sources.sinks import write_csv, write_table
@@ -150,3 +152,44 @@ def test_prices_become_text_once_per_part(spark):
     from tillflow.sources.dirty import dirty_sales
     plan = dirty_sales(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.index("format_number") and plan.index("Join") < plan.index("format_string(%.2f")
+
+
+def shuffle_files(spark) -> set[str]:
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(found.size())
+            if (name := found.apply(i).getName()).startswith("shuffle_") and name.endswith(".data")}
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path, star_small):
+    """The shuffle files of a write go with it, not with the driver's next garbage collection."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(key), shuffle_files(spark)
+    rows = spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").count()
+    write_table(rows, str(tmp_path / "plain"))
+    write_table(rows, str(tmp_path / "ranged"), date_col="k")
+    star = W.Star(str(tmp_path), *[star_small.fact] * 4)
+    assert W.written_once(star, "once", lambda: rows).count() == 7
+    for _ in range(50):  # the files are removed in the background
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)
+    # count() above is not a write: its single shuffle may stay
+    assert len(shuffle_files(spark) - before) <= 1 and spark.conf.get(key) == setting
+
+
+def test_what_follows_from_a_row_is_written_behind_the_exchange(spark, tmp_path):
+    """`finish` sees rows already laid out, so its columns are not shuffled."""
+    rows = spark.range(500).select(F.col("id").alias("k"), (F.col("id") % 10).alias("d"))
+    back = write_table(rows, str(tmp_path / "t"), date_col="d", key_col="k",
+                       finish=lambda x: x.withColumn("twice", F.col("k") * 2).withColumn("task", F.spark_partition_id()))
+    assert back.where("twice <> 2 * k").isEmpty() and back.count() == 500
+    ends = back.groupBy("task").agg(F.min("d").alias("a"), F.max("d").alias("b")).orderBy("a", "b").collect()
+    assert all(x["b"] <= y["a"] for x, y in zip(ends, ends[1:]))
+
+
+def test_names_of_the_geography_are_not_shuffled(spark):
+    """Nation and region names are joined to the sales behind the last shuffle."""
+    from tillflow.sources.dirty import dirty_sales
+    plan = dirty_sales(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("n_nationkey") < plan.index("Exchange hashpartitioning")
+    assert plan.count("BroadcastExchange") == 1  # the geography alone

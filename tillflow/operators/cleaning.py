@@ -153,9 +153,17 @@ def derive_revenue(df: DataFrame) -> DataFrame:
 
 def row_local_cleaning(df: DataFrame) -> DataFrame:
     """The steps that look at one row at a time (no shuffle)."""
+    return df.transform(typed_columns).transform(text_columns)
+
+
+def typed_columns(df: DataFrame) -> DataFrame:
+    """C7 + C8: the steps that make a row narrower."""
+    return df.transform(parse_dates).transform(parse_prices)
+
+
+def text_columns(df: DataFrame) -> DataFrame:
+    """C6, C9-C11."""
     return (df.transform(impute_constant)
-            .transform(parse_dates)
-            .transform(parse_prices)
             .transform(normalize_text)
             .transform(trim_text)
             .transform(split_location))
@@ -179,9 +187,13 @@ def clean_sales(raw: DataFrame, stage: Callable[[DataFrame], DataFrame] | None =
 
 
 def parse_stage(raw: DataFrame) -> DataFrame:
-    """C2 + C3 + the row-local steps C6-C11: the rows the median is taken over."""
-    keyed = raw.transform(dedupe_keep_first).transform(drop_null_keys).drop(ORDINAL)
-    return keyed.transform(row_local_cleaning)
+    """C2 + C3 + the row-local steps C6-C11: the rows the median is taken over.
+
+    Which copy is kept depends on the key and the ordinal alone, so dates and
+    prices are parsed before the rows are sorted and shuffled: as text they are wider.
+    """
+    keyed = raw.transform(typed_columns).transform(dedupe_keep_first).transform(drop_null_keys).drop(ORDINAL)
+    return keyed.transform(text_columns)
 
 
 def finish_clean(parsed: DataFrame, median: float | None) -> DataFrame:

@@ -35,16 +35,15 @@ def dim_products(clean: DataFrame) -> DataFrame:
         F.format_string(PRODUCT_KEY_FORMAT, F.col("_row") + 1).alias("ID_Produto"), *PRODUCT_KEYS)
 
 
-def fact_sales(clean: DataFrame, products: DataFrame) -> DataFrame:
+def fact_sales(clean: DataFrame, products: DataFrame, columns=FACT_COLUMNS) -> DataFrame:
     """M4 + M5: left join on (name, category), NULL matching NULL, 12 columns.
 
-    No broadcast hint: a dimension is broadcast only when its measured bytes
-    are below the session's thresholds.
+    Whether `products` is broadcast is the caller's choice (see warehouse.by_size).
     """
     cond = (clean["Nome_Produto"].eqNullSafe(products["Nome_Produto"])
             & clean["Categoria_Produto"].eqNullSafe(products["Categoria_Produto"]))
     joined = clean.join(products, cond, "left")
-    return joined.select(*[clean[c] if c != "ID_Produto" else products[c] for c in FACT_COLUMNS])
+    return joined.select(*[clean[c] if c != "ID_Produto" else products[c] for c in columns])
 
 
 def enriched_sales(fact: DataFrame, products: DataFrame) -> DataFrame:

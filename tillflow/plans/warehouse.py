@@ -38,11 +38,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillflow.operators.clustering import ZONES, Lookup, read_clustered, write_clustered
-from tillflow.operators.cleaning import finish_clean, median_of, parse_stage
-from tillflow.operators.modelling import dim_customers, dim_products, enriched_sales, fact_sales
-from tillflow.session import ensure_checkpoint_dir, scratch_path
+from tillflow.operators.cleaning import derive_revenue, finish_clean, median_of, parse_stage
+from tillflow.operators.modelling import FACT_COLUMNS, dim_customers, dim_products, enriched_sales, fact_sales
+from tillflow.session import ensure_checkpoint_dir, scratch_path, settings, shuffles_dropped
 from tillflow.sources.dirty import dirty_sales
-from tillflow.sources.sinks import write_table
+from tillflow.sources.sinks import TABLE_CODEC, write_table
 from tillflow.sources.tables import table_path
 
 # Raise with every change of what the written tables hold.
@@ -51,6 +51,9 @@ TABLES_VERSION = 3
 # Largest product dimension that is broadcast (bytes in memory).
 PRODUCT_BROADCAST_BYTES = 64 << 20
 
+# Largest split of the raw records that a task sorts before the keep-first shuffle (about 15 times that in memory).
+SORTED_SPLIT_BYTES = 32 << 20
+
 SOURCE_TABLES = ("lineitem", "orders", "part", "customer", "nation", "region")
 
 
@@ -72,13 +75,11 @@ class Star:
 
         Row reports join every sale to its product. A dimension within the
         limit is broadcast, so no sale is shuffled; beyond it Spark's merge
-        join takes over. The size is that of the rows in memory, measured once
-        per star: text bytes and about 64 bytes of row and hash table.
+        join takes over. The size is measured once per star.
         """
         if self.product_bytes is None:
-            size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in self.products.columns), F.lit(64))
-            self.product_bytes = self.products.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-        return F.broadcast(self.products) if self.product_bytes <= PRODUCT_BROADCAST_BYTES else self.products
+            self.product_bytes = bytes_in_memory(self.products)
+        return by_size(self.products, self.product_bytes)
 
     def named(self, rows: DataFrame) -> DataFrame:
         """Rows with an ID_Produto, joined to the product's name and category."""
@@ -88,31 +89,53 @@ class Star:
         return enriched_sales(self.fact, self.measured_products())
 
 
+def bytes_in_memory(texts: DataFrame) -> int:
+    """Size of a dimension's rows in memory: text bytes and about 64 bytes of row and hash table."""
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts.columns), F.lit(64))
+    return texts.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+
+
+def by_size(dimension: DataFrame, measured: int) -> DataFrame:
+    """The dimension, to be broadcast if its measured size allows it."""
+    return F.broadcast(dimension) if measured <= PRODUCT_BROADCAST_BYTES else dimension
+
+
 def build_star(spark: SparkSession, raw: DataFrame, location: str) -> Star:
     """Run the cleaning and modelling jobs on `raw`, writing the tables under `location`.
 
     Written: the de-duplicated, parsed rows (read by the median job and by
     everything after it), the product and customer dimensions and the fact.
     The clean rows themselves are a row-local step over the parsed table
-    (median fill, date filter, revenue), so they are not written twice.
+    (median fill, date filter, revenue), so they are not written twice. The fact
+    is shuffled for its layout alone, and its revenue is derived behind that.
     """
     one, audit = F.count(F.lit(1)), {}
-    parsed = write_table(parse_stage(raw), f"{location}/parsed", audit=audit, metrics={
-        "parsed": one, "linhas_limpas": F.count_if(F.col("Data_Venda").isNotNull())})
+    with settings(spark, _split_bytes(spark)):
+        parsed = write_table(parse_stage(raw), f"{location}/parsed", audit=audit, metrics={
+            "parsed": one, "linhas_limpas": F.count_if(F.col("Data_Venda").isNotNull())})
     median = median_of(parsed, "Quantidade")
     clean = finish_clean(parsed, median)
     products = write_table(dim_products(clean), f"{location}/products", audit=audit, metrics={"produtos": one})
-    fact = write_table(fact_sales(clean, products), f"{location}/fact", date_col="Data_Venda",
-                       key_col="ID_Transacao", audit=audit,
+    product_bytes = bytes_in_memory(products)
+    sales = fact_sales(clean, by_size(products, product_bytes), [c for c in FACT_COLUMNS if c != "Faturamento"])
+    fact = write_table(sales, f"{location}/fact", date_col="Data_Venda", key_col="ID_Transacao", audit=audit,
+                       finish=lambda d: derive_revenue(d).select(*FACT_COLUMNS),
                        metrics={"vendas": one, "precos_invalidos": F.count_if(F.col("Valor_Unitario").isNull())})
     # from the written fact: one narrow scan instead of another pass over the parsed rows
     customers = write_table(dim_customers(fact).sortWithinPartitions("ID_Cliente"),
                             f"{location}/customers", audit=audit, metrics={"clientes": one})
-    star = Star(location, clean, customers, products, fact, audit=audit)
+    star = Star(location, clean, customers, products, fact, product_bytes=product_bytes, audit=audit)
     star.memo.update(parsed=parsed, median=median)
     return star
 
 
+def _split_bytes(spark: SparkSession) -> dict[str, str]:
+    """The keep-first sorts a split before its shuffle: splits small enough that no task spills."""
+    key = "spark.sql.files.maxPartitionBytes"
+    now = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return {key: str(min(now, SORTED_SPLIT_BYTES))}
+
+
 def open_star(spark: SparkSession, location: str, median: float | None, audit: dict | None = None) -> Star:
     """A star written by build_star, read back."""
     read = spark.read.parquet
@@ -145,7 +168,9 @@ def written_once(s: Star, name: str, build: Callable[[], DataFrame]) -> DataFram
     if s.memo.get(name) is None:
         fs, done = _files(spark, f"{path}/_SUCCESS")
         if not fs.exists(done):
-            build().write.mode("overwrite").parquet(path)
+            table = build()
+            with shuffles_dropped(spark):
+                table.write.mode("overwrite").option("compression", TABLE_CODEC).parquet(path)
         s.memo[name] = spark.read.parquet(path)
     return s.memo[name]
 

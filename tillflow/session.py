@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +63,32 @@ def configure(spark: SparkSession, conf: dict | None = None) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Runtime SQL settings for a block; afterwards they are as they were."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def shuffles_dropped(spark: SparkSession):
+    """A block whose writes remove their shuffle files once they are done.
+
+    Spark keeps them until the driver happens to collect its garbage. A job of
+    several writes would hold the shuffles of all of them, many times the input,
+    while only the written tables are read again.
+    """
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tillflow.session import shuffles_dropped
+
+
+# Fixed value: the tables are read far less often than they take up disk.
+TABLE_CODEC = "zstd"
+
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Flat CSV with a header, replacing what is there (one file per task).
@@ -22,7 +30,8 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_table(df: DataFrame, path: str, date_col: str | None = None,
                 key_col: str | None = None, partition_by_month: bool = False,
                 table: str | None = None, metrics: dict[str, Column] | None = None,
-                audit: dict[str, int] | None = None) -> DataFrame:
+                audit: dict[str, int] | None = None,
+                finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """S6 + S7: replace-mode Parquet load with an access-path layout.
 
     `metrics` (name -> aggregate) are collected by the write itself and put
@@ -34,7 +43,10 @@ def write_table(df: DataFrame, path: str, date_col: str | None = None,
     min/max statistics, and a day with very many rows is split by key. With
     `partition_by_month` the files also go to `ano_mes=yyyy-MM` folders
     (partition pruning). `table` also registers it in the catalog
-    (saveAsTable) instead of a path-only write.
+    (saveAsTable) instead of a path-only write. `finish` adds what follows from a
+    row alone, behind the exchange, so that it is not shuffled.
+
+    The shuffle files of the write go as soon as it is done.
     """
     out = df
     if date_col is not None:
@@ -43,18 +55,20 @@ def write_table(df: DataFrame, path: str, date_col: str | None = None,
             out = out.withColumn("ano_mes", F.date_format(F.col(date_col), "yyyy-MM"))
             order = ["ano_mes", *order]
         out = out.repartitionByRange(*order).sortWithinPartitions(*order)
+    out = out.transform(finish) if finish else out
     seen = Observation() if metrics else None
     if metrics:
         out = out.observe(seen, *[c.alias(n) for n, c in metrics.items()])
-    writer = out.write.mode("overwrite").format("parquet")
+    writer = out.write.mode("overwrite").format("parquet").option("compression", TABLE_CODEC)
     if date_col is not None and partition_by_month:
         writer = writer.partitionBy("ano_mes")
-    if table:
-        writer.option("path", path).saveAsTable(table)
-        back = df.sparkSession.table(table)
-    else:
-        writer.save(path)
-        back = df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    with shuffles_dropped(spark):
+        if table:
+            writer.option("path", path).saveAsTable(table)
+        else:
+            writer.save(path)
+    back = spark.table(table) if table else spark.read.parquet(path)
     if metrics:
         audit.update({n: int(v or 0) for n, v in seen.get.items()})
     return back
