@@ -46,6 +46,17 @@ def test_bitmaps_are_made_after_the_shuffle(spark):
     assert "Exchange" not in made
 
 
+def test_rows_are_shuffled_once_for_their_sets(spark):
+    """No row is shuffled to its cell and member first: a task reduces its rows to positions by itself."""
+    df = spark.range(2000).select((F.col("id") % 3).alias("x"), (F.col("id") % 2 + 1).alias(D.NUMBER), F.lit(1).alias("n"))
+    kept = D.sets_by_cell(df, ["x"], {"n": F.col("n")})
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # the same one, read for positions and for bitmaps
+    assert "partial_collect_set" in plan[plan.index("Exchange hashpartitioning"):]
+    assert {(r["x"], r["n"], tuple(sorted(r[D.PLACES]))) for r in kept.collect()} == {
+        (0, 667, (0, 1)), (1, 667, (0, 1)), (2, 666, (0, 1))}
+
+
 def test_files_of_cells_hold_few_blocks(spark, tmp_path):
     """Laid out by block, the pairs of file and block number files plus blocks at most."""
     rows = spark.range(12 * 32_768).select((F.col("id") % 40).alias("x"), F.col("id").alias(D.NUMBER), F.lit(1).alias("n"))

@@ -36,13 +36,12 @@ def dense_numbers(keys: DataFrame, column: str) -> DataFrame:
 def sets_by_cell(rows: DataFrame, cell: list[str], sums: dict[str, Column]) -> DataFrame:
     """One row per cell and block: the members' numbers (`_numero` of rows) as bits or positions, and the sums.
 
-    Rows are first reduced to one per cell and member, so a member with very many rows is one row per task.
-    What is shuffled is two bytes a member; a bitmap is made only of a block that is full enough, once it is whole.
+    Every task reduces its rows to one per cell and block, where a member with very many rows is one position.
+    So rows are shuffled once, two bytes a member; a bitmap is made only of a block that is full enough, once it is whole.
     """
-    members = rows.groupBy(*cell, NUMBER).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    blocks = members.groupBy(*cell, F.bitmap_bucket_number(NUMBER).alias(BLOCK)).agg(
-        F.collect_list(F.bitmap_bit_position(NUMBER).cast("smallint")).alias(PLACES),  # at most 32,768 positions
-        *[F.sum(n).alias(n) for n in sums])
+    blocks = rows.groupBy(*cell, F.bitmap_bucket_number(NUMBER).alias(BLOCK)).agg(
+        F.collect_set(F.bitmap_bit_position(NUMBER).cast("smallint")).alias(PLACES),  # at most 32,768 positions
+        *[F.sum(c).alias(n) for n, c in sums.items()])
     few = F.size(PLACES) < FEW
     sparse = blocks.where(few).select(*cell, BLOCK, F.lit(None).cast("binary").alias(BITS), PLACES, *sums)
     # the keys hold the block whole, so its positions become bits without another shuffle

@@ -22,13 +22,11 @@ SUMS = ["_rows", "_sum", "_present"]
 def customer_cells(s: Star) -> DataFrame:
     """The cells of a star, laid out by block of customers and sorted by day in it."""
     def build() -> DataFrame:
-        # one row per customer and product cell before anything is joined
-        keys = ["ID_Cliente", "ID_Produto", *[c for c in CELL if c in s.fact.columns]]
-        sales = s.fact.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_rows"), F.sum("Faturamento").alias("_sum"), F.count("Faturamento").alias("_present"))
-        numbered = s.named(sales).join(dense_numbers(s.customers, "ID_Cliente"), "ID_Cliente").drop("ID_Cliente")
-        cells = sets_by_cell(numbered.select(NUMBER, *CELL, *SUMS), CELL, {n: F.col(n) for n in SUMS})
-        return by_block(cells, CELL)
+        # sales are shuffled to their customers' numbers with nothing but their cell and revenue, and reduced behind that
+        sales = s.named(s.fact).select("ID_Cliente", *CELL, "Faturamento")
+        numbered = sales.join(dense_numbers(s.customers, "ID_Cliente"), "ID_Cliente").select(NUMBER, *CELL, "Faturamento")
+        sums = dict(zip(SUMS, (F.lit(1), F.col("Faturamento"), F.col("Faturamento").isNotNull().cast("bigint"))))
+        return by_block(sets_by_cell(numbered, CELL, sums), CELL)
     return written_once(s, "customer_cells_by_block", build)
 
 
