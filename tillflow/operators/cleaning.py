@@ -18,13 +18,15 @@ from tillflow.functions.dates import parse_multi_format_date
 from tillflow.functions.location import DEFAULT_COUNTRY, parse_location
 from tillflow.functions.money import parse_currency, revenue
 from tillflow.functions.text import strip, strip_title, title_case
+from tillflow.operators.dictionary import dictionaries
 from tillflow.operators.quantiles import quantile_values
 from tillflow.sources.tables import ORDINAL
 
 # Fixed values used by the cleaning rules.
 MISSING_METHOD = "Nao Informado"
 CRITICAL_KEYS = ("ID_Cliente", "ID_Transacao")
-TITLE_COLUMNS = ("Categoria_Produto", "Metodo_Pagamento", "Status_Pedido")
+PRODUCT_TITLES, PLACE_TITLES = ("Categoria_Produto",), ("Metodo_Pagamento", "Status_Pedido")
+TITLE_COLUMNS = (*PRODUCT_TITLES, *PLACE_TITLES)
 TRANSACTION_KEY = "ID_Transacao"
 
 CLEAN_COLUMNS = ("ID_Transacao", "Data_Venda", "ID_Cliente", "Nome_Produto", "Categoria_Produto",
@@ -163,12 +165,21 @@ def typed_columns(df: DataFrame) -> DataFrame:
 
 def text_columns(df: DataFrame) -> DataFrame:
     """C6, C9-C11."""
+    return df.transform(place_texts).transform(product_texts)
+
+
+def place_texts(df: DataFrame) -> DataFrame:
+    """C6, C9 and C11 of place, method and status."""
     return (df.transform(impute_constant)
-            .transform(normalize_text)
-            .transform(trim_text)
+            .transform(lambda d: normalize_text(d, PLACE_TITLES))
             .transform(split_location))
 
 
+def product_texts(df: DataFrame) -> DataFrame:
+    """C9 of the category, C10 of the product."""
+    return df.transform(lambda d: normalize_text(d, PRODUCT_TITLES)).transform(trim_text)
+
+
 def clean_sales(raw: DataFrame, stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The whole cleaning job.
 
@@ -186,14 +197,25 @@ def clean_sales(raw: DataFrame, stage: Callable[[DataFrame], DataFrame] | None =
     return finish_clean(parsed, median_of(parsed, "Quantidade"))
 
 
-def parse_stage(raw: DataFrame) -> DataFrame:
+#: Raw text columns that take few values together, and the steps that look at nothing else.
+TEXT_GROUPS = {("Localidade_Venda", *PLACE_TITLES): place_texts, ("Nome_Produto", *PRODUCT_TITLES): product_texts}
+
+
+def parse_stage(raw: DataFrame, stored: bool = False) -> DataFrame:
     """C2 + C3 + the row-local steps C6-C11: the rows the median is taken over.
 
     Which copy is kept depends on the key and the ordinal alone, so dates and
     prices are parsed before the rows are sorted and shuffled: as text they are wider.
+    With `stored` (raw is a written table) text columns travel as numbers (operators.dictionary).
     """
-    keyed = raw.transform(typed_columns).transform(dedupe_keep_first).transform(drop_null_keys).drop(ORDINAL)
-    return keyed.transform(text_columns)
+    rows = raw.transform(typed_columns)
+    found = dictionaries(raw, *TEXT_GROUPS) if stored else [None] * len(TEXT_GROUPS)
+    for words in filter(None, found):
+        rows = words.encoded(rows)
+    rows = rows.transform(dedupe_keep_first).transform(drop_null_keys).drop(ORDINAL)
+    for words, clean in zip(found, TEXT_GROUPS.values()):
+        rows = words.decoded(rows, clean(words.values())) if words else clean(rows)
+    return rows
 
 
 def finish_clean(parsed: DataFrame, median: float | None) -> DataFrame:

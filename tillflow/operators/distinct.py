@@ -17,6 +17,8 @@ number of blocks and tasks, not with their product.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,9 +52,14 @@ def sets_by_cell(rows: DataFrame, cell: list[str], sums: dict[str, Column]) -> D
     return sparse.unionByName(dense.withColumn(PLACES, F.lit(None).cast("array<smallint>")))
 
 
-def by_block(cells: DataFrame, cell: list[str]) -> DataFrame:
-    """Cells laid out by block, and by cell within a block, so a range of the first cell column skips row groups."""
-    return cells.repartitionByRange(BLOCK, *cell).sortWithinPartitions(BLOCK, *cell)
+def by_block(cells: DataFrame, cell: list[str], finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Cells laid out by block, and by cell within a block, so a range of the first cell column skips row groups.
+
+    `finish` adds what follows from a row alone, behind the exchange.
+    """
+    laid_out = cells.repartitionByRange(BLOCK, *cell)
+    laid_out = laid_out.transform(finish) if finish else laid_out
+    return laid_out.sortWithinPartitions(BLOCK, *[c for c in cell if c in laid_out.columns])
 
 
 def merged_counts(cells: DataFrame, group: list[str], sums: list[str], distinct: str) -> DataFrame:

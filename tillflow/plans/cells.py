@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.functions.money import mean_money_out, money_out, ratio_out, to_units
+from tillflow.operators.dictionary import dictionaries
 from tillflow.operators.distinct import NUMBER, by_block, dense_numbers, merged_counts, sets_by_cell
 from tillflow.plans.kpis import DEFAULT, KpiParams, sale_filter
 from tillflow.plans.warehouse import Star, written_once
 
-CELL = ["Data_Venda", "Categoria_Produto", "Estado", "Status_Pedido", "Metodo_Pagamento"]
+CELL_TEXTS = ["Categoria_Produto", "Estado", "Status_Pedido", "Metodo_Pagamento"]
+CELL = ["Data_Venda", *CELL_TEXTS]
 SUMS = ["_rows", "_sum", "_present"]
 
 
@@ -24,9 +26,12 @@ def customer_cells(s: Star) -> DataFrame:
     def build() -> DataFrame:
         # sales are shuffled to their customers' numbers with nothing but their cell and revenue, and reduced behind that
         sales = s.named(s.fact).select("ID_Cliente", *CELL, "Faturamento")
-        numbered = sales.join(dense_numbers(s.customers, "ID_Cliente"), "ID_Cliente").select(NUMBER, *CELL, "Faturamento")
+        words, = dictionaries(sales, tuple(CELL_TEXTS))  # the texts of a cell travel as one number
+        cell = ["Data_Venda", words.code] if words else CELL
+        numbered = (words.encoded(sales) if words else sales).join(dense_numbers(s.customers, "ID_Cliente"), "ID_Cliente")
         sums = dict(zip(SUMS, (F.lit(1), F.col("Faturamento"), F.col("Faturamento").isNotNull().cast("bigint"))))
-        return by_block(sets_by_cell(numbered, CELL, sums), CELL)
+        cells = sets_by_cell(numbered.select(NUMBER, *cell, "Faturamento"), cell, sums)
+        return by_block(cells, cell, words.decoded if words else None)
     return written_once(s, "customer_cells_by_block", build)
 
 

@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 
 from tillflow.operators.clustering import ZONES, Lookup, read_clustered, write_clustered
 from tillflow.operators.cleaning import derive_revenue, finish_clean, median_of, parse_stage
+from tillflow.operators.dictionary import dictionaries
 from tillflow.operators.modelling import FACT_COLUMNS, dim_customers, dim_products, enriched_sales, fact_sales
 from tillflow.session import ensure_checkpoint_dir, scratch_path, settings, shuffles_dropped
 from tillflow.sources.dirty import dirty_sales
@@ -54,6 +55,9 @@ PRODUCT_BROADCAST_BYTES = 64 << 20
 # Largest split of the raw records that a task sorts before the keep-first shuffle (about 15 times that in memory).
 SORTED_SPLIT_BYTES = 32 << 20
 
+# Texts of a sale that take few values together.
+PLACE_COLUMNS = ("Cidade", "Estado", "Pais", "Metodo_Pagamento", "Status_Pedido")
+
 SOURCE_TABLES = ("lineitem", "orders", "part", "customer", "nation", "region")
 
 
@@ -100,26 +104,33 @@ def by_size(dimension: DataFrame, measured: int) -> DataFrame:
     return F.broadcast(dimension) if measured <= PRODUCT_BROADCAST_BYTES else dimension
 
 
-def build_star(spark: SparkSession, raw: DataFrame, location: str) -> Star:
+def build_star(spark: SparkSession, raw: DataFrame, location: str, stored: bool = False) -> Star:
     """Run the cleaning and modelling jobs on `raw`, writing the tables under `location`.
 
     Written: the de-duplicated, parsed rows (read by the median job and by
     everything after it), the product and customer dimensions and the fact.
     The clean rows themselves are a row-local step over the parsed table
     (median fill, date filter, revenue), so they are not written twice. The fact
-    is shuffled for its layout alone, and its revenue is derived behind that.
+    is shuffled for its layout alone, and its revenue is derived behind that; its
+    texts travel as numbers. With `stored` raw is a written table, not a job to be run.
     """
     one, audit = F.count(F.lit(1)), {}
     with settings(spark, _split_bytes(spark)):
-        parsed = write_table(parse_stage(raw), f"{location}/parsed", audit=audit, metrics={
+        parsed = write_table(parse_stage(raw, stored), f"{location}/parsed", audit=audit, metrics={
             "parsed": one, "linhas_limpas": F.count_if(F.col("Data_Venda").isNotNull())})
     median = median_of(parsed, "Quantidade")
     clean = finish_clean(parsed, median)
     products = write_table(dim_products(clean), f"{location}/products", audit=audit, metrics={"produtos": one})
     product_bytes = bytes_in_memory(products)
     sales = fact_sales(clean, by_size(products, product_bytes), [c for c in FACT_COLUMNS if c != "Faturamento"])
-    fact = write_table(sales, f"{location}/fact", date_col="Data_Venda", key_col="ID_Transacao", audit=audit,
-                       finish=lambda d: derive_revenue(d).select(*FACT_COLUMNS),
+    words, = dictionaries(parsed, PLACE_COLUMNS)
+
+    def finish(laid_out: DataFrame) -> DataFrame:
+        whole = words.decoded(laid_out) if words else laid_out
+        return whole.transform(derive_revenue).select(*FACT_COLUMNS)
+
+    fact = write_table(words.encoded(sales) if words else sales, f"{location}/fact", date_col="Data_Venda",
+                       key_col="ID_Transacao", audit=audit, finish=finish,
                        metrics={"vendas": one, "precos_invalidos": F.count_if(F.col("Valor_Unitario").isNull())})
     # from the written fact: one narrow scan instead of another pass over the parsed rows
     customers = write_table(dim_customers(fact).sortWithinPartitions("ID_Cliente"),
@@ -350,7 +361,7 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
             built = found and _reopen(lambda: open_star(spark, found["location"], found["median"], found["audit"]),
                                       table_counts, found["counts"])
             if built is None:
-                built = build_star(spark, source, _location(spark, key, "star"))
+                built = build_star(spark, source, _location(spark, key, "star"), stored=True)
                 built.audit["linhas_brutas"] = raw_rows
                 counts = {t: built.audit[n] for t, n in AUDITED_TABLES.items()}
                 _write_pointer(spark, pointer, built.location, counts, built.memo["median"], built.audit)

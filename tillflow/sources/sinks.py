@@ -54,8 +54,10 @@ def write_table(df: DataFrame, path: str, date_col: str | None = None,
         if partition_by_month:
             out = out.withColumn("ano_mes", F.date_format(F.col(date_col), "yyyy-MM"))
             order = ["ano_mes", *order]
-        out = out.repartitionByRange(*order).sortWithinPartitions(*order)
-    out = out.transform(finish) if finish else out
+        out = out.repartitionByRange(*order)
+        out = (out.transform(finish) if finish else out).sortWithinPartitions(*order)
+    elif finish:
+        out = out.transform(finish)
     seen = Observation() if metrics else None
     if metrics:
         out = out.observe(seen, *[c.alias(n) for n, c in metrics.items()])
